@@ -1,0 +1,22 @@
+"""Repeatable draws by integer mixing, so that any engine derives the same rows from the same keys."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, functions as F
+
+# The mixing constants every consumer of these draws has to agree on.
+MODULUS = 1_000_003
+FACTORS = (7_919, 104_729, 1_299_709, 15_485_863)
+LINEAR = 12_345
+
+
+def draw(bound: int, *keys: Column | int) -> Column:
+    """A whole number in ``0 .. bound-1`` that depends only on up to four integer keys."""
+    terms = [
+        (key.cast("long") if isinstance(key, Column) else F.lit(key).cast("long")) * factor
+        for key, factor in zip(keys, FACTORS, strict=False)
+    ]
+    seed = reduce(lambda a, b: a + b, terms) % MODULUS
+    return ((seed * seed + seed * LINEAR) % MODULUS % bound).cast("int")

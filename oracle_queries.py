@@ -378,7 +378,7 @@ _FAB = {
         "killer AS is_killer FROM dtype"
     ),
     "bin_codes": (
-        "SELECT i AS bin_code_id, i AS bin_number, name AS bin_name, kind AS bin_category, i = 1 AS is_pass FROM (VALUES "
+        "SELECT i AS bin_code_id, i AS bin_number, name AS bin_name, kind AS bin_category, i = 1 AS is_pass, NULL::VARCHAR AS description FROM (VALUES "
         "(1, 'Pass', 'Pass'), (2, 'Open', 'Hard Fail'), (3, 'Short', 'Hard Fail'), (4, 'Speed Fail', 'Parametric Fail'), "
         "(5, 'Leakage', 'Parametric Fail'), (6, 'IDDQ', 'Parametric Fail'), (7, 'Gross Fail', 'Hard Fail'), "
         "(8, 'Functional', 'Hard Fail')) AS v(i, name, kind)"

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from waferscope.operators.cohort import Tables, flag_cohort
-from waferscope.operators.sides import broadcast_if_counted
+from waferscope.operators.sides import broadcast_if_counted, is_counted_small
+from waferscope.sources.inline import inline_rows
 
 # Names and offsets of the lot formula.
 FIRST_LOT = 24_000
@@ -121,17 +121,22 @@ def assignment_catalog(tables: Tables, modules: Sequence[ModuleTools]) -> DataFr
     Options are numbered within their tool and then offset by the options of earlier tools, so no
     ordered pass is longer than the tools of a module or the chambers of a tool.
     """
-    tools = tables["tools"].select("tool_id", "tool_code", "tool_type")
+    spark = tables["tools"].sparkSession
+    served = inline_rows(
+        spark,
+        "module string, tool_type string, by_chamber boolean",
+        [(entry.module, kind, entry.by_chamber) for entry in modules for kind in entry.tool_types],
+    )
+    tools = tables["tools"].select("tool_id", "tool_code", "tool_type").join(served, "tool_type")
     chambers = tables["chambers"].select("tool_id", "chamber_id", "chamber_code")
-    whole = tools.select("*", F.lit(None).cast(chambers.schema["chamber_id"].dataType).alias("chamber_id"))
-    whole = whole.withColumn("chamber_code", F.lit(""))
-    split = tools.join(chambers, "tool_id").select(*whole.columns)
-
-    def options(entry: ModuleTools) -> DataFrame:
-        source = split if entry.by_chamber else whole
-        return source.filter(F.col("tool_type").isin(*entry.tool_types)).withColumn("module", F.lit(entry.module))
-
-    listed = reduce(DataFrame.unionByName, [options(entry) for entry in modules])
+    split = tools.filter("by_chamber").join(chambers, "tool_id")
+    whole = tools.filter("NOT by_chamber").withColumns(
+        {
+            "chamber_id": F.lit(None).cast(chambers.schema["chamber_id"].dataType),
+            "chamber_code": F.lit(""),
+        }
+    )
+    listed = split.unionByName(whole)
     within = Window.partitionBy("module", "tool_code").orderBy("chamber_code")
     earlier = Window.partitionBy("module").orderBy("tool_code").rowsBetween(Window.unboundedPreceding, -1)
     per_tool = (
@@ -170,22 +175,17 @@ def expand_route(tables: Tables) -> DataFrame:
 def round_robin_assign(route: DataFrame, catalog: DataFrame, turn: Column | None = None) -> DataFrame:
     """Deal route rows evenly over their module's options: option ``turn % opt_count + 1``.
 
-    ``turn`` defaults to the wafer id. Runs small jobs that count the modules and the options.
+    ``turn`` defaults to the wafer id. Runs a small job that counts the options.
     """
-    counts = catalog.groupBy("module").agg(F.max("opt_count").alias("opt_count"))
-    options = catalog.select("module", "opt_no", "tool_id", "chamber_id")
-    dealt = route.join(
-        broadcast_if_counted(counts, catalog.select("module")), F.col("process_module") == F.col("module")
-    ).drop("module")
+    keys = catalog.select("module", "opt_no")
+    counts = catalog.filter(F.col("opt_no") == 1).select(F.col("module").alias("process_module"), "opt_count")
+    options = catalog.select(F.col("module").alias("process_module"), "opt_no", "tool_id", "chamber_id")
+    few = is_counted_small(keys)
     opt_no = (turn if turn is not None else F.col("wafer_id")) % F.col("opt_count") + 1
     return (
-        dealt.withColumn("opt_no", opt_no)
-        .join(
-            broadcast_if_counted(
-                options.withColumnRenamed("module", "process_module"), catalog.select("module", "opt_no")
-            ),
-            ["process_module", "opt_no"],
-        )
+        route.join(F.broadcast(counts) if few else counts, "process_module")
+        .withColumn("opt_no", opt_no)
+        .join(F.broadcast(options) if few else options, ["process_module", "opt_no"])
         .drop("opt_no", "opt_count")
     )
 
@@ -267,12 +267,15 @@ def weighted_category(
 
 
 def die_grid(wafers: DataFrame, side: int = GRID_SIDE) -> DataFrame:
-    """Every site of every wafer with its squared distance from the grid's centre."""
+    """Every site of every wafer with its squared distance from the grid's centre.
+
+    Wafers are placed by id before they multiply, so that work per wafer downstream needs no shuffle of dies.
+    """
     axis = F.sequence(F.lit(1), F.lit(side))
-    sites = wafers.withColumn("die_x", F.explode(axis)).withColumn("die_y", F.explode(axis))
-    # Distances from a half-integer centre: twice the offset is whole, a quarter of its square exact.
-    across, down = F.col("die_x") * 2 - (side + 1), F.col("die_y") * 2 - (side + 1)
-    return sites.withColumn("dist_sq", ((across * across + down * down) / F.lit(4)).cast("decimal(10,2)"))
+    sites = wafers.repartition("wafer_id").withColumn("die_x", F.explode(axis)).withColumn("die_y", F.explode(axis))
+    # Offsets from the centre are halves and their squares quarters, both exact as doubles.
+    across, down = F.col("die_x") - (side + 1) / 2, F.col("die_y") - (side + 1) / 2
+    return sites.withColumn("dist_sq", across * across + down * down)
 
 
 def radial_zone(grid: DataFrame) -> DataFrame:

@@ -7,15 +7,18 @@ from pyspark.sql import DataFrame, Window, functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
+def is_counted_small(keys: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether there are at most ``max_rows`` distinct keys. Runs one small job."""
+    return keys.distinct().limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_counted(side: DataFrame, keys: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark ``side`` for broadcast only after counting the distinct ``keys`` it has one row for.
 
-    Runs one small job. Spark cannot estimate the size of an aggregate before it ran and would shuffle
-    the large side by a handful of keys. Above ``max_rows`` the side is returned unmarked, so Spark
-    joins by shuffle instead.
+    Spark cannot estimate the size of an aggregate before it ran and would shuffle the large side by
+    a handful of keys. Above ``max_rows`` the side is returned unmarked, so Spark joins by shuffle.
     """
-    found = keys.distinct().limit(max_rows + 1).count()
-    return F.broadcast(side) if found <= max_rows else side
+    return F.broadcast(side) if is_counted_small(keys, max_rows) else side
 
 
 def rank_by_value(df: DataFrame, value: str, name: str) -> DataFrame:

@@ -9,12 +9,19 @@ from waferscope.operators.cohort import Suspect, Tables, cohort_through, flag_co
 from waferscope.operators.sides import broadcast_if_counted
 
 
-def readings(tables: Tables) -> DataFrame:
-    """Readings with the wafer and tool of their run. Readings that carry both are used as they are."""
+def readings(tables: Tables, *run_columns: str) -> DataFrame:
+    """Readings with the named columns of their run.
+
+    Readings that carry the columns are used as they are, then those of an optional
+    ``metrology_readings`` table, which sources without a unique run key provide; otherwise the run
+    is looked up.
+    """
     measured = tables["metrology_measurements"]
-    if {"wafer_id", "tool_id"} <= set(measured.columns):
+    if set(run_columns) <= set(measured.columns):
         return measured
-    return measured.join(tables["process_runs"].select("process_run_id", "wafer_id", "tool_id"), "process_run_id")
+    if "metrology_readings" in tables:
+        return tables["metrology_readings"]
+    return measured.join(tables["process_runs"].select("process_run_id", *run_columns), "process_run_id")
 
 
 def _center() -> Column:
@@ -64,7 +71,7 @@ def spc_group_shift(tables: Tables, suspect: Suspect, metric: str = "CD") -> Dat
     Overall centre and sigma are used unrounded here. Readings are summed per wafer before the cohort
     is joined; the overall figures need no join at all.
     """
-    chosen = readings(tables).filter(F.col("metric_type") == metric)
+    chosen = readings(tables, "wafer_id").filter(F.col("metric_type") == metric)
     overall = chosen.agg(F.avg("value").alias("mu"), F.stddev_samp("value").alias("sg"))
     overall = overall.select(F.struct("mu", "sg").alias("overall")).scalar()
     mu, sg = overall["mu"], overall["sg"]
@@ -89,7 +96,7 @@ def spc_group_shift(tables: Tables, suspect: Suspect, metric: str = "CD") -> Dat
 def spc_by_tool(tables: Tables, metric: str = "CD") -> DataFrame:
     """Centre and sigma of one metric per measuring tool, highest centre first."""
     per_tool = (
-        readings(tables)
+        readings(tables, "tool_id")
         .filter(F.col("metric_type") == metric)
         .groupBy("tool_id")
         .agg(F.count(F.lit(1)).alias("readings"), _center().alias("center_line_cd"), _sigma())

@@ -138,7 +138,7 @@ def signal_metrology(tables: Tables, suspect: Suspect) -> DataFrame:
 def metric_sums_by_wafer(tables: Tables) -> DataFrame:
     """``wafer_id, metric_type, n, total``: readings summed before any cohort is joined."""
     return (
-        readings(tables)
+        readings(tables, "wafer_id")
         .groupBy("wafer_id", "metric_type")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     )

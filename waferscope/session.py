@@ -15,11 +15,19 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+# For one machine and small data: few shuffle partitions, kept apart so that every core has one, and
+# no recording of Python call sites per column expression.
+LOCAL = {
+    "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def local_session(name: str, cores: int | str = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster use the session you are given."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
-    settings = {**SETTINGS, "spark.sql.shuffle.partitions": "8", "spark.driver.memory": memory, **extra}
+    settings = {**SETTINGS, **LOCAL, "spark.driver.memory": memory, **extra}
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

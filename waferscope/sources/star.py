@@ -76,7 +76,8 @@ def bind_star(spark: SparkSession, folder: str) -> LazyTables:
             "process_runs": lambda: _process_runs(src),
             "defect_inspections": lambda: _inspections(src),
             "bin_results": lambda: _bin_results(src),
-            "metrology_measurements": lambda: _metrology(src),
+            "metrology_measurements": lambda: _metrology(src["lineitem"], src["events"], src),
+            "metrology_readings": lambda: _readings(src),
             "defects": lambda: _defects(src),
         }
     )
@@ -189,14 +190,17 @@ def _bin_results(src: LazyTables) -> DataFrame:
     )
 
 
-def _metrology(src: LazyTables) -> DataFrame:
-    """One reading per line item, its metric set by the line number, plus one per event.
+def _readings(src: LazyTables) -> DataFrame:
+    """Readings with the tool of their run: the run's natural key is not quite unique, so joining
+    readings back to runs could multiply rows."""
+    events = src["events"].withColumn("tool_id", (F.col("event_id") % 25).cast("int"))
+    return _metrology(_lines_with_tool(src), events, src, "tool_id")
 
-    Readings carry the wafer, tool and chamber of their run: the run's natural key is not quite
-    unique, so joining back on it could multiply rows.
-    """
+
+def _metrology(lines: DataFrame, events: DataFrame, src: LazyTables, *extra: str) -> DataFrame:
+    """One reading per line item, its metric set by the line number, plus one per event."""
     turn = F.col("l_linenumber") % 3
-    per_line = _lines_with_tool(src).select(
+    per_line = lines.select(
         F.concat(F.lit("L"), _line_id()).alias("measurement_id"),
         _line_id().alias("process_run_id"),
         F.when(turn == 0, "CD").when(turn == 1, "Overlay").otherwise("Film Thickness").alias("metric_type"),
@@ -211,11 +215,10 @@ def _metrology(src: LazyTables) -> DataFrame:
         F.when(turn == 2, "A").otherwise("nm").alias("unit"),
         F.col("l_shipdate").alias("measured_at"),
         F.col("l_orderkey").alias("wafer_id"),
-        "tool_id",
-        _chamber_of_line().alias("chamber_id"),
+        *extra,
     )
     missing = F.lit(None)
-    per_event = src["events"].select(
+    per_event = events.select(
         F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("measurement_id"),
         missing.cast("string").alias("process_run_id"),
         F.lit("Sheet Resistance").alias("metric_type"),
@@ -226,8 +229,7 @@ def _metrology(src: LazyTables) -> DataFrame:
         F.lit("ohm/sq").alias("unit"),
         F.col("ts").alias("measured_at"),
         _wafer_of_event(src).alias("wafer_id"),
-        (F.col("event_id") % 25).cast("int").alias("tool_id"),
-        missing.cast("long").alias("chamber_id"),
+        *extra,
     )
     return per_line.unionByName(per_event)
 

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from waferscope.operators.cohort import Tables
-from waferscope.sources.contract import TABLES, Table
+from waferscope.sources.contract import TABLES, Field, Rule, Table
 from waferscope.sources.inline import inline_rows
 
 
@@ -77,12 +77,32 @@ def _link_name(child: str, column: str) -> str:
     return f"{child}.{column}"
 
 
+def _broken(rule: Rule) -> Column:
+    """Rows that break a value rule; a rule that comes out NULL passes."""
+    return F.count(F.when(~F.expr(rule.holds), F.lit(1)))
+
+
+def _nulls(f: Field) -> Column:
+    return F.count(F.when(F.col(f.name).isNull(), F.lit(1))) if f.required else F.lit(0).cast("long")
+
+
+def _too_long(f: Field) -> Column:
+    if not f.max_length:
+        return F.lit(0).cast("long")
+    return F.count(F.when(F.length(f.name) > f.max_length, F.lit(1)))
+
+
+def _watched(tables: Tables, table: Table) -> list[Field]:
+    present = set(tables[table.name].columns)
+    return [f for f in table.fields if f.name in present and (f.required or f.max_length)]
+
+
 def check_audit(tables: Tables) -> DataFrame:
     """Rows that break a value rule. A rule that comes out NULL passes."""
     return _union(
         [
             tables[table.name]
-            .agg(F.count(F.when(~F.expr(rule.holds), F.lit(1))).alias("violations"))
+            .agg(_broken(rule).alias("violations"))
             .select(
                 F.lit(rule.name).alias("check_name"), F.lit(table.name).alias("table_name"), "violations"
             )
@@ -96,19 +116,10 @@ def not_null_audit(tables: Tables) -> DataFrame:
     """Missing values in required columns and texts longer than declared, in one scan per table."""
 
     def one(table: Table) -> DataFrame:
-        present = set(tables[table.name].columns)
-        watched = [f for f in table.fields if f.name in present and (f.required or f.max_length)]
-        counts = []
-        for f in watched:
-            nulls = F.count(F.when(F.col(f.name).isNull(), F.lit(1))) if f.required else F.lit(0).cast("long")
-            too_long = (
-                F.count(F.when(F.length(f.name) > f.max_length, F.lit(1)))
-                if f.max_length
-                else F.lit(0).cast("long")
-            )
-            counts.append(
-                F.struct(F.lit(f.name).alias("column"), nulls.alias("nulls"), too_long.alias("too_long"))
-            )
+        counts = [
+            F.struct(F.lit(f.name).alias("column"), _nulls(f).alias("nulls"), _too_long(f).alias("too_long"))
+            for f in _watched(tables, table)
+        ]
         return (
             tables[table.name]
             .agg(F.array(*counts).alias("found"))
@@ -118,6 +129,16 @@ def not_null_audit(tables: Tables) -> DataFrame:
     return _union([one(table) for table in _audited(tables)])
 
 
+def _row_audit(tables: Tables, table: Table) -> DataFrame:
+    """Rows and all row-level violations of a table in one scan: values missing, texts too long, rules broken."""
+    found = [_nulls(f) + _too_long(f) for f in _watched(tables, table)] + [_broken(rule) for rule in table.rules]
+    return (
+        tables[table.name]
+        .agg(F.count(F.lit(1)).alias("rows"), reduce(lambda a, b: a + b, found).alias("found"))
+        .select(F.lit(table.name).alias("table_name"), "rows", "found")
+    )
+
+
 def contract_links(spark: SparkSession) -> DataFrame:
     """Every declared link, child to parent."""
     rows = [
@@ -128,16 +149,22 @@ def contract_links(spark: SparkSession) -> DataFrame:
     return inline_rows(spark, "fk_name string, child_table string, parent_table string", rows)
 
 
+def _keyed(audit: DataFrame, name: str, found: str) -> DataFrame:
+    """Key and link findings in the shape of ``_row_audit``; they add no rows."""
+    return audit.select(
+        F.col(name).alias("table_name"), F.lit(0).cast("long").alias("rows"), F.col(found).alias("found")
+    )
+
+
 def contract_summary(tables: Tables) -> DataFrame:
     """Rows, declared links and violations per table, and their totals in a last row."""
     spark = next(iter(tables.values())).sparkSession
     found = _union(
         [
-            pk_audit(tables).select("table_name", F.col("bad_rows").alias("found")),
-            unique_audit(tables).select("table_name", F.col("bad_rows").alias("found")),
-            fk_audit(tables).select(F.col("child_table").alias("table_name"), F.col("orphans").alias("found")),
-            check_audit(tables).select("table_name", F.col("violations").alias("found")),
-            not_null_audit(tables).select("table_name", (F.col("nulls") + F.col("too_long")).alias("found")),
+            *[_row_audit(tables, table) for table in _audited(tables)],
+            _keyed(pk_audit(tables), "table_name", "bad_rows"),
+            _keyed(unique_audit(tables), "table_name", "bad_rows"),
+            _keyed(fk_audit(tables), "child_table", "orphans"),
         ]
     )
     declared = inline_rows(
@@ -145,17 +172,10 @@ def contract_summary(tables: Tables) -> DataFrame:
         "table_name string, tables bigint, links bigint",
         [(table.name, 1, len(table.links)) for table in _audited(tables)],
     )
-    sizes = _union(
-        [
-            tables[table.name]
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.lit(table.name).alias("table_name"), "rows")
-            for table in _audited(tables)
-        ]
-    )
     per_table = (
-        declared.join(sizes, "table_name")
-        .join(found.groupBy("table_name").agg(F.sum("found").alias("violations")), "table_name")
+        found.groupBy("table_name")
+        .agg(F.sum("rows").alias("rows"), F.sum("found").alias("violations"))
+        .join(declared, "table_name")
         .select("table_name", "tables", "links", "rows", "violations")
     )
     totals = per_table.agg(

@@ -15,12 +15,13 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
-# For one machine and small data: few shuffle partitions, kept apart so that every core has one, and
-# no recording of Python call sites per column expression.
+# For one machine and small data: few shuffle partitions, kept apart so that every core has one, no
+# recording of Python call sites per column expression, and room for all the code Spark generates.
 LOCAL = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.driver.extraJavaOptions": "-XX:ReservedCodeCacheSize=1g -XX:+UseParallelGC",
 }
 
 

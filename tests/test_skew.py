@@ -74,3 +74,43 @@ def test_facts_are_reduced_before_the_shuffle(hot):
     for exchange in ("Exchange hashpartitioning(wafer_id",):
         first = plan.index(exchange)
         assert "HashAggregate" in plan[first : first + 600]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """No broadcasts, and partitions counted as skewed at a size the test data reaches."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def test_a_hot_run_is_split_in_the_join_to_its_readings(spark, fab, shuffled_joins):
+    """A third of all readings sit on one run; the join leaves Spark free to split its partition."""
+    tables = fab()
+    tables["process_runs"] = spark.range(2000).select(
+        F.col("id").alias("process_run_id"), F.col("id").alias("wafer_id"), (F.col("id") % 3 + 1).alias("tool_id")
+    )
+    n = F.col("id")
+    tables["metrology_measurements"] = spark.range(0, 60000, 1, 16).select(
+        F.when(n % 3 == 0, F.lit(7)).otherwise(n % 2000).alias("process_run_id"),
+        F.lit("CD").alias("metric_type"),
+        (n % 100).cast("decimal(12,4)").alias("value"),
+    )
+    df = spc.spc_by_tool(tables)
+    found = {r.tool_code: r.readings for r in df.collect()}
+    assert sum(found.values()) == 60000
+    assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_results_do_not_depend_on_broadcasts(hot, shuffled_joins):
+    test_results_are_whole(hot)

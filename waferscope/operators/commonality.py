@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from waferscope.functions.decimals import PERCENT, mean_of_sums
+from waferscope.functions.labels import PEERS, SUSPECT_PREFIX
 from waferscope.functions.spread import exact_square, sigma_of_sums
 from waferscope.operators.cohort import Suspect, Tables, suspect_tool
 from waferscope.operators.sides import rank_by_value
@@ -74,7 +75,7 @@ def suspect_vs_peers(
     ``wafers`` counts wafer-chamber pairs. ``tool_type`` defaults to the type of the suspect's tool.
     """
     kind = F.lit(tool_type) if tool_type is not None else suspect_tool(tables, suspect, "tool_type")
-    peers = F.lit(peers_label) if peers_label else F.concat(F.lit("Other "), kind, F.lit(" chambers"))
+    peers = F.lit(peers_label) if peers_label else F.concat(F.lit(PEERS[0]), kind, F.lit(PEERS[1]))
     is_suspect = (F.col("tool_code") == suspect.tool_code) & (F.col("chamber_code") == suspect.chamber_code)
     n, total = F.sum("n"), F.sum("total")
     return (
@@ -89,7 +90,7 @@ def suspect_vs_peers(
             sigma_of_sums(n, total, F.sum("squares")).cast(PERCENT).alias("sigma"),
         )
         .select(
-            F.when(F.col("is_suspect"), F.concat(F.lit("Suspect: "), suspect.label)).otherwise(peers).alias("grp"),
+            F.when(F.col("is_suspect"), F.concat(F.lit(SUSPECT_PREFIX), suspect.label)).otherwise(peers).alias("grp"),
             "wafers",
             "avg_yield_pct",
             "min_yield",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waferscope.functions.decimals import PERCENT, mean_of_sums, pct_or_null
+from waferscope.functions.labels import ALL_OTHERS, BAD_SUFFIX
 from waferscope.operators.cohort import Suspect, Tables, cohort_through, flag_cohort
 from waferscope.operators.defects import defects_by_wafer_and_type, wafer_defects
 from waferscope.operators.yields import wafer_yield
@@ -92,7 +93,7 @@ def cohort_fingerprint(
             pct_or_null(named_defects, defects).alias("particle_flake_pct"),
         )
         .select(
-            F.when(F.col("in_cohort"), F.concat(suspect.label, F.lit(" (bad)"))).otherwise("All others").alias("grp"),
+            F.when(F.col("in_cohort"), F.concat(suspect.label, F.lit(BAD_SUFFIX))).otherwise(ALL_OTHERS).alias("grp"),
             "wafers",
             "avg_yield_pct",
             "avg_defects",

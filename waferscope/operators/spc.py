@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waferscope.functions.decimals import READING, count_if, mean_of_sums
+from waferscope.functions.labels import OTHERS
 from waferscope.operators.cohort import Suspect, Tables, cohort_through, flag_cohort
 from waferscope.operators.sides import broadcast_if_counted
 
@@ -82,7 +83,7 @@ def spc_group_shift(tables: Tables, suspect: Suspect, metric: str = "CD") -> Dat
         .groupBy("in_cohort")
         .agg(F.sum("n").alias("readings"), F.sum("total").alias("total"))
         .select(
-            F.when(F.col("in_cohort"), suspect.label).otherwise("Others").alias("grp"),
+            F.when(F.col("in_cohort"), suspect.label).otherwise(OTHERS).alias("grp"),
             "readings",
             group_mean.cast(READING).alias("group_mean_cd"),
             mu.cast(READING).alias("overall_center"),

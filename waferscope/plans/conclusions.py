@@ -16,9 +16,21 @@ from waferscope.operators.defects import defect_mix_by_cohort, defect_pareto, wa
 from waferscope.operators.yields import wafer_yield, yield_by_product, yield_by_tool
 from waferscope.plans.load_checks import metric_sums_by_wafer
 
-PASS, CHECK = "PASS", "**CHECK**"
 MEASURED = "decimal(12,3)"
 
+# Status words and check names that reports are read by. A name with a gap takes the
+# suspect's tool or chamber.
+PASS, CHECK = "PASS", "**CHECK**"
+PRODUCT_FLAT = "B1 yield: product spread flat"
+TOOL_TRAILS = ("B1 yield: ", " trails peers")
+CD_DRIFTS = "B3 spc: CD drift present (bad-others, nm)"
+OVERLAY_STEADY = "B3 spc: Overlay NOT shifted"
+FILM_STEADY = "B3 spc: Film Thickness NOT shifted"
+WORST_CHAMBER = ("B4 commonality: ", " is worst chamber")
+BANDS_ORDERED = "B5 correlation: high-defect band yields less"
+PARETO_CLOSES = "B2 pareto: cumulative share closes at 100"
+TYPE_OVER_INDEXES = "B2 pareto: {} over-indexes"
+
 
 @dataclass(frozen=True)
 class MetricLimit:
@@ -32,12 +44,16 @@ class MetricLimit:
 
 # The metric expected to drift and the two that must not.
 METRIC_LIMITS = (
-    MetricLimit("B3 spc: CD drift present (bad-others, nm)", "CD", "0.5", True),
-    MetricLimit("B3 spc: Overlay NOT shifted", "Overlay", "0.5", False),
-    MetricLimit("B3 spc: Film Thickness NOT shifted", "Film Thickness", "3.0", False),
+    MetricLimit(CD_DRIFTS, "CD", "0.5", True),
+    MetricLimit(OVERLAY_STEADY, "Overlay", "0.5", False),
+    MetricLimit(FILM_STEADY, "Film Thickness", "3.0", False),
 )
 
 
+def _about(name: tuple[str, str], subject: Column) -> Column:
+    return F.concat(F.lit(name[0]), subject, F.lit(name[1]))
+
+
 def _verdict(name: str | Column, measured: Column, holds: Column) -> list[Column]:
     return [
         (name if isinstance(name, Column) else F.lit(name)).alias("check_name"),
@@ -62,7 +78,7 @@ def view_totals_check(tables: Tables, expected_wafers: int | Column) -> DataFram
 def check_product_flat(tables: Tables, limit: str = "1.0") -> DataFrame:
     spread = yield_by_product(tables).agg((F.max("yield_pct") - F.min("yield_pct")).alias("spread"))
     return spread.select(
-        *_verdict("B1 yield: product spread flat", F.col("spread"), F.col("spread") < F.lit(limit).cast("decimal(5,2)"))
+        *_verdict(PRODUCT_FLAT, F.col("spread"), F.col("spread") < F.lit(limit).cast("decimal(5,2)"))
     )
 
 
@@ -77,7 +93,7 @@ def check_tool_trails(tables: Tables, suspect: Suspect) -> DataFrame:
             F.avg(F.when(~is_suspect, F.col("yield_pct"))).alias("peers"),
         )
     )
-    name = F.concat(F.lit("B1 yield: "), suspect.tool_code, F.lit(" trails peers"))
+    name = _about(TOOL_TRAILS, suspect.tool_code)
     return sides.select(*_verdict(name, F.col("own"), F.col("own") < F.col("peers")))
 
 
@@ -117,7 +133,7 @@ def check_metric_shift(
 def check_worst_chamber(tables: Tables, suspect: Suspect) -> DataFrame:
     is_suspect = (F.col("tool_code") == suspect.tool_code) & (F.col("chamber_code") == suspect.chamber_code)
     found = commonality_rank(tables).agg(F.max(F.when(is_suspect, F.col("worst_rank"))).alias("worst_rank"))
-    name = F.concat(F.lit("B4 commonality: "), suspect.label, F.lit(" is worst chamber"))
+    name = _about(WORST_CHAMBER, suspect.label)
     return found.select(*_verdict(name, F.col("worst_rank"), F.col("worst_rank") == 1))
 
 
@@ -130,7 +146,7 @@ def check_band_order(tables: Tables, low: int = 3, high: int = 7) -> DataFrame:
     )
     return bands.select(
         *_verdict(
-            "B5 correlation: high-defect band yields less",
+            BANDS_ORDERED,
             (F.col("low") - F.col("high")).cast(PERCENT),
             F.col("high") < F.col("low"),
         )
@@ -157,13 +173,13 @@ def check_pareto(tables: Tables, suspect: Suspect, defect_names: Sequence[str] =
     """The running share closes at 100, and each named type is over-represented in the cohort."""
     closing = defect_pareto(tables).agg(F.max("cumulative_pct").alias("closing"))
     closed = closing.select(
-        *_verdict("B2 pareto: cumulative share closes at 100", F.col("closing"), F.col("closing") == 100)
+        *_verdict(PARETO_CLOSES, F.col("closing"), F.col("closing") == 100)
     )
     mix = defect_mix_by_cohort(tables, suspect)
 
     def excess(name: str) -> DataFrame:
         named = F.col("defect_name") == name
         gap = mix.agg(F.max(F.when(named, F.col("pct_bad_group") - F.col("pct_others_group"))).alias("gap"))
-        return gap.select(*_verdict(f"B2 pareto: {name} over-indexes", F.col("gap"), F.col("gap") > 0))
+        return gap.select(*_verdict(TYPE_OVER_INDEXES.format(name), F.col("gap"), F.col("gap") > 0))
 
     return reduce(DataFrame.unionByName, [closed, *[excess(name) for name in defect_names]])

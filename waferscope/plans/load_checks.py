@@ -12,8 +12,11 @@ from waferscope.functions.decimals import count_if, mean_of_sums
 from waferscope.operators.cohort import Suspect, Tables, cohort_through, flag_cohort
 from waferscope.operators.spc import readings
 
+# Status words and signal names that reports are read by.
 OK, MISMATCH, CHECK = "OK", "**MISMATCH**", "**CHECK**"
 RECONCILED = "OK (rows = sum of counts)"
+DEFECT_SIGNAL, YIELD_SIGNAL, METRIC_SIGNAL = "B1 defect_count", "B2 die_yield_pct", "B3 "
+OTHERS = "others"
 
 
 def _expected(value: int | Column) -> Column:
@@ -84,7 +87,7 @@ def die_grid_check(tables: Tables, dies_per_wafer: int) -> DataFrame:
 
 
 def _group(suspect: Suspect) -> Column:
-    return F.when(F.col("in_cohort"), suspect.label).otherwise("others").alias("grp")
+    return F.when(F.col("in_cohort"), suspect.label).otherwise(OTHERS).alias("grp")
 
 
 def signal_defects(tables: Tables, suspect: Suspect) -> DataFrame:
@@ -99,7 +102,7 @@ def signal_defects(tables: Tables, suspect: Suspect) -> DataFrame:
         flag_cohort(per_wafer, cohort_through(tables, suspect))
         .groupBy("in_cohort")
         .agg(n.alias("wafers"), mean_of_sums(total, n, 1).cast("decimal(6,2)").alias("avg_metric"))
-        .select(F.lit("B1 defect_count").alias("signal"), _group(suspect), "wafers", "avg_metric")
+        .select(F.lit(DEFECT_SIGNAL).alias("signal"), _group(suspect), "wafers", "avg_metric")
     )
 
 
@@ -118,7 +121,7 @@ def signal_yield(tables: Tables, suspect: Suspect) -> DataFrame:
         flag_cohort(per_wafer, cohort_through(tables, suspect))
         .groupBy("in_cohort")
         .agg(F.count(F.lit(1)).alias("wafers"), F.avg("yield_pct").cast("decimal(6,2)").alias("avg_metric"))
-        .select(F.lit("B2 die_yield_pct").alias("signal"), _group(suspect), "wafers", "avg_metric")
+        .select(F.lit(YIELD_SIGNAL).alias("signal"), _group(suspect), "wafers", "avg_metric")
     )
 
 
@@ -130,7 +133,7 @@ def signal_metrology(tables: Tables, suspect: Suspect) -> DataFrame:
         flag_cohort(per_wafer, cohort_through(tables, suspect))
         .groupBy("metric_type", "in_cohort")
         .agg(n.alias("readings"), mean_of_sums(total, n, 4).cast("decimal(8,3)").alias("avg_metric"))
-        .select(F.concat(F.lit("B3 "), "metric_type").alias("signal"), _group(suspect), "readings", "avg_metric")
+        .select(F.concat(F.lit(METRIC_SIGNAL), "metric_type").alias("signal"), _group(suspect), "readings", "avg_metric")
         .orderBy("signal", "grp")
     )
 

@@ -221,7 +221,7 @@ def inspection_header(
         tool.alias("tool_id"),
         date.alias("inspection_date"),
         F.lit(step).alias("inspection_step"),
-        (base + F.when(F.col("in_cohort"), boost).otherwise(0)).alias("defect_count"),
+        (base + F.when(F.col("in_cohort"), boost).otherwise(0)).cast("long").alias("defect_count"),
     )
 
 

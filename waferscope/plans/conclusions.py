@@ -175,11 +175,12 @@ def check_pareto(tables: Tables, suspect: Suspect, defect_names: Sequence[str] =
     closed = closing.select(
         *_verdict(PARETO_CLOSES, F.col("closing"), F.col("closing") == 100)
     )
-    mix = defect_mix_by_cohort(tables, suspect)
-
-    def excess(name: str) -> DataFrame:
-        named = F.col("defect_name") == name
-        gap = mix.agg(F.max(F.when(named, F.col("pct_bad_group") - F.col("pct_others_group"))).alias("gap"))
-        return gap.select(*_verdict(TYPE_OVER_INDEXES.format(name), F.col("gap"), F.col("gap") > 0))
-
-    return reduce(DataFrame.unionByName, [closed, *[excess(name) for name in defect_names]])
+    share_gap = F.col("pct_bad_group") - F.col("pct_others_group")
+    gaps = defect_mix_by_cohort(tables, suspect).agg(
+        *[F.max(F.when(F.col("defect_name") == name, share_gap)).alias(f"g{i}") for i, name in enumerate(defect_names)]
+    )
+    excess = [
+        F.struct(*_verdict(TYPE_OVER_INDEXES.format(name), F.col(f"g{i}"), F.col(f"g{i}") > 0))
+        for i, name in enumerate(defect_names)
+    ]
+    return closed.unionByName(gaps.select(F.inline(F.array(*excess))))

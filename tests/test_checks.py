@@ -115,6 +115,6 @@ def test_view_totals_and_views(spark, fab):
         "JOIN v_wafer_yield y ON y.wafer_id = w.wafer_id JOIN v_wafer_defects d ON d.wafer_id = w.wafer_id"
     )
     assert (1, Decimal("33.33"), 8) in rows(joined)
-    for name in views.BASE_VIEWS:
+    for name in [*tables, *views.BASE_VIEWS]:
         spark.catalog.dropTempView(name)
     assert {r[1] for r in rows(views.views_check(spark))} == {"**CHECK**"}

@@ -19,15 +19,17 @@ def final_plan(df):
 def saved(spark):
     yield lambda: saved_tables(spark)
     for name in TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS default.{name}")
 
 
 def test_bucketed_facts_meet_without_a_shuffle_by_wafer(spark, star_folder, tmp_path, saved):
     source = bind_excursion(spark, star_folder)
+    spark.range(1).createOrReplaceTempView("bin_results")  # must not be mistaken for the table
     save_tables(source, str(tmp_path), buckets=4)
     ranked = commonality_rank(saved())
     assert rows(ranked) == rows(commonality_rank(source))
     assert "hashpartitioning(wafer_id" not in final_plan(ranked)
+    spark.catalog.dropTempView("bin_results")
 
 
 def test_a_hot_wafer_is_not_bucketed(fab, tmp_path, saved, spark):
@@ -38,7 +40,7 @@ def test_a_hot_wafer_is_not_bucketed(fab, tmp_path, saved, spark):
     )
     save_tables(tables, str(tmp_path), buckets=4)
     buckets = {
-        name: [r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect() if r.col_name == "Num Buckets"]
+        name: [r.data_type for r in spark.sql(f"DESCRIBE FORMATTED default.{name}").collect() if r.col_name == "Num Buckets"]
         for name in ("bin_results", "process_runs")
     }
     assert buckets == {"bin_results": [], "process_runs": ["4"]}

@@ -51,6 +51,11 @@ def _is_even(df: DataFrame, key: str, buckets: int) -> bool:
     return found.rows is None or found.most * buckets <= found.rows
 
 
+def _qualified(spark: SparkSession, name: str) -> str:
+    """The catalogue table, not a temporary view of the same name."""
+    return f"{spark.catalog.currentDatabase()}.{name}"
+
+
 def save_tables(tables: Mapping[str, DataFrame], folder: str, buckets: int) -> None:
     """Replace catalogue tables kept under ``folder``, with the facts bucketed and sorted by wafer.
 
@@ -69,9 +74,9 @@ def save_tables(tables: Mapping[str, DataFrame], folder: str, buckets: int) -> N
             writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write
         else:
             writer = df.write
-        writer.mode("overwrite").option("path", target).saveAsTable(name)
+        writer.mode("overwrite").option("path", target).saveAsTable(_qualified(df.sparkSession, name))
 
 
 def saved_tables(spark: SparkSession) -> LazyTables:
     """The tables ``save_tables`` left in the session's catalogue."""
-    return LazyTables({name: lambda name=name: spark.table(name) for name in TABLES})
+    return LazyTables({name: lambda name=name: spark.table(_qualified(spark, name)) for name in TABLES})

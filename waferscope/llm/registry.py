@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from waferscope.llm import simhash
+from waferscope.llm import packing, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +22,25 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens in power-of-two pieces, each a sequence of its own."""
+    made = packing.pieces(table(spark, folder, "documents"), "word_bpe_49k.json", end_id=2, longest=4096)
+    # Only the digest of the ids is wanted, so only that is moved to number the pieces.
+    digests = made.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.numbered(digests)
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it has over 512."""
+    return token_counts.with_token_counts(table(spark, folder, "documents"), "byte_bpe_50k.json", limit=512)
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash}
+    return {
+        "op1_simhash": op1_simhash,
+        "op4_packing": op4_packing,
+        "op5_token_counts": op5_token_counts,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from waferscope.llm import packing, simhash, token_counts
+from waferscope.llm import decontamination, packing, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,11 +35,18 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.with_token_counts(table(spark, folder, "documents"), "byte_bpe_50k.json", limit=512)
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item, the alignment's score and its share of the item."""
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "share", F.size("spans").alias("n_spans"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
         "op4_packing": op4_packing,
         "op5_token_counts": op5_token_counts,
+        "op9_decontamination": op9_decontamination,
     }
 
 

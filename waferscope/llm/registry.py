@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waferscope.llm import decontamination, packing, simhash, token_counts
+from waferscope.llm import decontamination, language, packing, simhash, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def crc_fold(parts: int) -> Column:
+    """crc32 of doc_id written as text, modulo parts; null for a null doc_id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's fingerprint and near-duplicate component: 4-word shingles, at most 4 differing bits."""
     found = simhash.near_duplicates(table(spark, folder, "documents"), shingle_words=4, distance=4)
@@ -22,6 +27,17 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels of four folds of five."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.coalesce(crc_fold(5) == 0, F.lit(False))
+    model = toxicity.train(docs, labels.where(~held_out))
+    found = toxicity.with_scores(docs, model, "text", "doc_id", held_out.alias("held_out"))
+    return found.select(
+        "doc_id", "held_out", F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's tokens in power-of-two pieces, each a sequence of its own."""
     made = packing.pieces(table(spark, folder, "documents"), "word_bpe_49k.json", end_id=2, longest=4096)
@@ -35,6 +51,15 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.with_token_counts(table(spark, folder, "documents"), "byte_bpe_50k.json", limit=512)
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's language, learned from the documents of two folds of three."""
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(crc_fold(3) == 1, F.lit(False))
+    model = language.train(docs.where(~held_out), per_language=3_000, order=5)
+    found = language.with_language(docs, model, "text", "doc_id", held_out.alias("held_out"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item, the alignment's score and its share of the item."""
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -44,8 +69,10 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
+        "op3_toxicity": op3_toxicity,
         "op4_packing": op4_packing,
         "op5_token_counts": op5_token_counts,
+        "op7_language": op7_language,
         "op9_decontamination": op9_decontamination,
     }
 

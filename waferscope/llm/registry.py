@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from waferscope.llm import decontamination, language, packing, simhash, token_counts, toxicity
+from waferscope.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,8 +67,16 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "item_id", "score", "share", F.size("spans").alias("n_spans"))
 
 
+def _where_tasks_run(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return query(spark, folder)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
+    found = {
         "op1_simhash": op1_simhash,
         "op3_toxicity": op3_toxicity,
         "op4_packing": op4_packing,
@@ -75,6 +84,7 @@ def queries() -> dict[str, Query]:
         "op7_language": op7_language,
         "op9_decontamination": op9_decontamination,
     }
+    return {name: _where_tasks_run(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

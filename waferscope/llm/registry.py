@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waferscope.llm import decontamination, language, packing, simhash, token_counts, toxicity
+from waferscope.llm import decontamination, language, packing, pii, simhash, token_counts, toxicity
 from waferscope.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,20 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "item_id", "score", "share", F.size("spans").alias("n_spans"))
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's personal data: base spans counted and digested, and all spans."""
+    found = pii.find(table(spark, folder, "documents"))
+    written = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")
+    )
+
+
 def _where_tasks_run(query: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         ship(spark)
@@ -83,6 +97,7 @@ def queries() -> dict[str, Query]:
         "op5_token_counts": op5_token_counts,
         "op7_language": op7_language,
         "op9_decontamination": op9_decontamination,
+        "op10_pii": op10_pii,
     }
     return {name: _where_tasks_run(query) for name, query in found.items()}
 

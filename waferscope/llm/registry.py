@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waferscope.llm import decontamination, language, packing, pii, simhash, token_counts, toxicity
+from waferscope.llm import decontamination, embeddings, language, packing, pii, simhash, token_counts, toxicity
 from waferscope.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,11 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector's links of a cosine of 0.95 or more, and the component they make."""
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"), threshold=0.95)
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item, the alignment's score and its share of the item."""
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -96,6 +101,7 @@ def queries() -> dict[str, Query]:
         "op4_packing": op4_packing,
         "op5_token_counts": op5_token_counts,
         "op7_language": op7_language,
+        "op8_embeddings": op8_embeddings,
         "op9_decontamination": op9_decontamination,
         "op10_pii": op10_pii,
     }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waferscope.llm import decontamination, embeddings, language, packing, pii, simhash, token_counts, toxicity
+from waferscope.llm import chat, decontamination, embeddings, language, packing, pii, simhash, token_counts, toxicity, urls
 from waferscope.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,26 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation formatted, with what its output gives back: turns, and the text under the loss mask."""
+    control = "\\### Assistant: </turn> ok"
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    chats = chat.with_format(chat.with_turns(chat.records_of(rows.unionByName(probe))))
+    turns = chat.read_turns(F.col("formatted"))
+    lost = chat.read_under(F.col("formatted"), F.col("loss_spans"))
+    written = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    read = chats.select("conv_id", "formatted", turns.alias("turns"), lost.alias("lost"))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(written, 256).alias("turns_sha256"),
+        F.length("lost").cast("long").alias("loss_chars"),
+        F.sha2("lost", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's toxicity, learned from the labels of four folds of five."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -52,6 +72,20 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.with_token_counts(table(spark, folder, "documents"), "byte_bpe_50k.json", limit=512)
 
 
+URL_RULES = [
+    urls.host_rule("allow", "com/"),
+    urls.host_rule("block", "example.com/en/"),
+    urls.host_rule("allow", "www.example.com/en/"),
+    urls.host_rule("block", "net/es/"),
+    urls.host_rule("block", "net/fr/"),
+]
+
+
+def op6_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's URL judged by the named rules, and by the default ones where none of them fits."""
+    return urls.judge(table(spark, folder, "pages"), [*URL_RULES, *urls.DEFAULT_RULES])
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's language, learned from the documents of two folds of three."""
     docs = table(spark, folder, "documents")
@@ -86,6 +120,52 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), escaped AS (
+  SELECT *, length(replace(replace(replace(replace(role, '\', '\b'), '#', '\h'), '<', '\l'), ':', '\c'))
+          + length(replace(replace(replace(replace(text, '\', '\b'), '#', '\h'), '<', '\l'), ':', '\c'))
+          + length('### : </turn>') + 1 AS written
+  FROM rows
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns, sum(written) AS formatted_chars,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS lost
+  FROM escaped GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(lost) AS loss_chars, sha256(lost) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM whole
+"""
+
+URL_SQL = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, lower(rest) AS address, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+  FROM cut
+), ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM parts
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN regexp_matches(address, '(^|[^\\p{{L}}\\p{{N}}])({"|".join(urls.BLOCKED_WORDS)})([^\\p{{L}}\\p{{N}}]|$)') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
 def _where_tasks_run(query: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         ship(spark)
@@ -97,9 +177,11 @@ def _where_tasks_run(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     found = {
         "op1_simhash": op1_simhash,
+        "op2_chat": op2_chat,
         "op3_toxicity": op3_toxicity,
         "op4_packing": op4_packing,
         "op5_token_counts": op5_token_counts,
+        "op6_urls": op6_urls,
         "op7_language": op7_language,
         "op8_embeddings": op8_embeddings,
         "op9_decontamination": op9_decontamination,
@@ -109,4 +191,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat": CHAT_SQL, "op6_urls": URL_SQL}

@@ -103,5 +103,5 @@ def numbered(found: DataFrame) -> DataFrame:
 
 
 def pack(docs: DataFrame, **options) -> DataFrame:
-    """Every piece with its ids, numbered as a sequence of its own: see pieces() and numbered()."""
-    return numbered(pieces(docs, **options))
+    """Every piece with its ids and their crc32, numbered as a sequence of its own: see pieces() and numbered()."""
+    return numbered(pieces(docs, **options).withColumn("ids_crc32", F.crc32("ids")))

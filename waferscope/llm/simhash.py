@@ -18,7 +18,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from waferscope.llm.graph import components, forest
 from waferscope.llm.storage import stored
@@ -208,12 +208,29 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4, distance: int = 4) -> DataFrame:
     """The rows of docs whose id is the smallest of their component, all columns kept.
 
-    Rows that repeat that id in one component are one document and stay once, the smallest text of them. Rows without an
-    id cannot be told apart: they stay if nothing in their component has an id.
+    An id names one document: it goes if any of its rows has a smaller id in its component, and of rows that repeat a
+    kept id the one with the smallest text stays. Rows without an id cannot be told apart and stay. No rows: no rows.
     """
     found = near_duplicates(docs, id_col, text_col, shingle_words, distance)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    unnamed = docs.where(F.col(id_col).isNull())
-    named = docs.where(F.col(id_col).isNotNull())
-    kept = named.join(dropped, named[id_col] == dropped["_id"], "left_anti").dropDuplicates([id_col])
-    return kept.unionByName(unnamed)
+    by_id = found.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.max(F.col("doc_id") > F.col("component_id")).alias("goes")
+    )
+    # Few ids are dropped or repeated, so only those are matched with the texts.
+    marked = stored(by_id.where("goes or rows > 1").select(F.col("doc_id").alias("_id"), "goes"))
+    own = F.col(id_col).cast("long")
+    single = docs.join(marked, own == marked["_id"], "left_anti")
+    repeated = marked.where("not goes")
+    again = docs.join(repeated, own == repeated["_id"], "left_semi")
+    order = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first(), *[c for c in _orderable(docs) if c != text_col])
+    place = _unused(docs, "_place")
+    return single.unionByName(again.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place))
+
+
+def _orderable(docs: DataFrame) -> list[str]:
+    return [f.name for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant", "array", "struct")]
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name

@@ -397,3 +397,21 @@ def with_scores(docs: DataFrame, model: Model | None, text_col: str, *keep: Colu
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.drop("_text").schema.fields)
     return kept.mapInArrow(batches, f"{fields}toxicity double, hits double")
+
+
+def without_toxic(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of docs that score below the threshold, all columns kept, without a shuffle."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        reader = Reader(model) if model else None
+        for whole in found:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                if reader:
+                    hits = [reader.hits(t or "") for t in batch.column(text_col).to_pylist()]
+                    batch = batch.filter(pa.array(scores(np.array([features(h, model) for h in hits]), model) < threshold))
+                yield batch
+
+    return docs.mapInArrow(batches, docs.schema)

@@ -34,21 +34,11 @@ def _mean2(total: str, rows: str, precision: int = 5) -> str:
     return _dec(_div(_div(f"({total}) * 10000", rows), "10000"), 2, precision)
 
 
-def _mean_count(total: str, rows: str, precision: int = 5) -> str:
+def _mean_count(total: str, rows: str, precision: int = 12) -> str:
     """Mean of whole numbers: rounded to five digits, then to two."""
     return _dec(_div(_div(f"({total}) * 100000", rows), "1000"), 2, precision)
 
 
-def _draw(bound: int, w: str, x: str, y: str, s: int) -> str:
-    seed = f"((({w}) * 7919 + ({x}) * 104729 + ({y}) * 1299709 + {s * 15485863}) % 1000003)"
-    return f"(({seed} * {seed} + {seed} * 12345) % 1000003 % {bound})"
-
-
-def _case(subject: str, ladder: list[tuple[int, str]]) -> str:
-    arms = " ".join(f"WHEN {subject} < {upper} THEN '{code}'" for upper, code in ladder)
-    return f"CASE {arms} END"
-
-
 # Named relations. A query pulls in what it uses, and what that uses, in this order.
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "tool": (
@@ -77,7 +67,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         "SELECT lot, 'LOT-' || (24000 + lot) AS lot_number, "
         "['SoC-A17', 'GPU-B20', 'MEM-C10'][lot % 3 + 1] AS product, "
         "['3nm', '5nm', '7nm'][lot // 3 % 3 + 1] AS technology_node, "
-        "CAST(DATE '2024-01-01' + CAST(lot % 36500 AS INTEGER) AS DATE) AS start_date, "
+        "CAST(DATE '2024-01-01' + CAST(lot AS INTEGER) AS DATE) AS start_date, "
         "CASE WHEN lot % 10 = 0 THEN 'In Process' ELSE 'Completed' END AS status "
         "FROM (SELECT DISTINCT lot FROM waf)",
         ("waf",),
@@ -101,7 +91,8 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "ev": (
         "SELECT event_id AS id, event_type AS kind, ts, value, "
-        "(event_id * 37 + user_id) % (SELECT count(*) // 8 FROM orders) AS w FROM events",
+        "CASE WHEN event_id % 2 = 0 THEN (event_id * 37 + user_id) % (SELECT count(*) FROM orders) "
+        "ELSE (event_id * 37 + user_id) % (SELECT (count(*) + 7) // 8 FROM orders) * 8 END AS w FROM events",
         (),
     ),
     "wd": (
@@ -149,64 +140,6 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         "ON kind = ttype)",
         ("tool", "cham"),
     ),
-    # the labelled excursion
-    "xw": ("SELECT o_orderkey + 1 AS w, (o_orderkey + 1) % 8 = 5 AS bad FROM orders", ()),
-    "xs": (
-        "SELECT w, bad, x, y, (2 * x - 13) * (2 * x - 13) + (2 * y - 13) * (2 * y - 13) AS d4, "
-        f"{_draw(100, 'w', 'x', 'y', 1)} AS roll "
-        "FROM xw, (SELECT unnest(range(1, 13)) AS x), (SELECT unnest(range(1, 13)) AS y)",
-        ("xw",),
-    ),
-    "xz": (
-        "SELECT *, CASE WHEN d4 > 160 THEN 'edge' WHEN d4 > 100 THEN 'mid' ELSE 'center' END AS zone, "
-        "8 + CASE WHEN d4 > 160 THEN 6 WHEN d4 > 100 THEN 3 ELSE 0 END + CASE WHEN bad THEN 6 ELSE 0 END AS cut FROM xs",
-        ("xs",),
-    ),
-    "xy": (
-        "SELECT w, bad, (20000 * p + t) // (2 * t) AS y FROM (SELECT w, bad, count(*) AS t, "
-        "count(*) FILTER (roll >= cut) AS p FROM xz GROUP BY w, bad)",
-        ("xz",),
-    ),
-    "xi": (
-        f"SELECT w, bad, 2 + {_draw(5, 'w', '0', '0', 2)} "
-        f"+ CASE WHEN bad THEN 1 + {_draw(3, 'w', '0', '0', 3)} ELSE 0 END AS d FROM xw",
-        ("xw",),
-    ),
-    "xd": (
-        "SELECT w, bad, i, roll, CASE WHEN bad THEN "
-        + _case("roll", [(45, "PART"), (70, "FLAKE"), (82, "BRIDGE"), (91, "RESIDUE"), (100, "SCRATCH")])
-        + " ELSE "
-        + _case(
-            "roll",
-            [
-                (20, "PART"),
-                (38, "BRIDGE"),
-                (54, "OPEN"),
-                (68, "RESIDUE"),
-                (80, "VOID"),
-                (90, "CONTAM"),
-                (96, "SCRATCH"),
-                (100, "FLAKE"),
-            ],
-        )
-        + f" END AS code FROM (SELECT w, bad, i, {_draw(100, 'w', 'i', '0', 4)} AS roll "
-        "FROM (SELECT w, bad, unnest(range(1, d + 1)) AS i FROM xi))",
-        ("xi",),
-    ),
-    "xc": (
-        "SELECT tcode, ccode, w FROM xw JOIN (VALUES (0, 'ETCH-01', 'A'), (1, 'ETCH-01', 'B'), (2, 'ETCH-01', 'C'), "
-        "(3, 'ETCH-02', 'A'), (4, 'ETCH-02', 'B'), (5, 'ETCH-02', 'C'), (6, 'ETCH-03', 'A'), (7, 'ETCH-03', 'B')) "
-        "AS e(k, tcode, ccode) ON k = w % 8 UNION ALL "
-        "SELECT tcode, ccode, w FROM xw JOIN (VALUES (0, 'DEP-01', 'A'), (1, 'DEP-01', 'B'), (2, 'DEP-01', 'C'), "
-        "(3, 'DEP-01', 'D'), (4, 'DEP-02', 'A'), (5, 'DEP-02', 'B')) AS e(k, tcode, ccode) ON k = w % 6",
-        ("xw",),
-    ),
-    # CD is read on the last of the ten steps; its run number is the wafer's tenth
-    "xcd": (
-        f"SELECT w, bad, 10000 * 42 + 1000 * ({_draw(31, 'w * 10', '0', '0', 8)} "
-        f"+ {_draw(31, 'w * 10', '0', '0', 9)}) + CASE WHEN bad THEN 10000 ELSE 0 END AS v FROM xw",
-        ("xw",),
-    ),
 }
 
 
@@ -234,7 +167,12 @@ _IN = "w IN (SELECT w FROM coh)"
 
 
 def _analyses() -> dict[str, str]:
+    # Fixed values in the texts below: names, labels and thresholds that results must equal.
     lot_yield = f"count(*) AS wafers, {_WEIGHTED} AS yield_pct FROM wy JOIN waf USING (w) JOIN lot USING (lot)"
+    sites = (
+        "SELECT l_orderkey AS w, l_linenumber AS x, l_partkey AS y, l_returnflag <> 'R' AS ok, count(*) AS n "
+        "FROM lineitem GROUP BY ALL"
+    )
     sq = "sqrt((n * q - s::DOUBLE * s) / (n::DOUBLE * (n - 1)))"
     return {
         "commonality_rank": _with(
@@ -346,10 +284,66 @@ def _analyses() -> dict[str, str]:
             "sus",
         ),
         "wafer_map": (
-            "SELECT w AS wafer_id, CAST(x // 64 AS INTEGER) AS tile_x, CAST(y // 64 AS INTEGER) AS tile_y, "
-            "string_agg(concat(x, ':', y, ':', CASE WHEN ok THEN 'P' ELSE 'F' END, ':', n), ' ' ORDER BY x, y, ok) "
-            "AS dies FROM (SELECT l_orderkey AS w, l_linenumber AS x, l_partkey AS y, l_returnflag <> 'R' AS ok, "
-            "count(*) AS n FROM lineitem GROUP BY ALL) GROUP BY w, x // 64, y // 64"
+            "SELECT w AS wafer_id, string_agg(concat(x, ':', y, ':', CASE WHEN ok THEN 'P' ELSE 'F' END, ':', n), ' ' "
+            f"ORDER BY x, y, ok) AS dies FROM ({sites}) GROUP BY w"
+        ),
+        "wafer_sites": f"SELECT w AS wafer_id, CAST(x AS INTEGER) AS die_x, y AS die_y, ok AS is_pass, n AS tests FROM ({sites})",
+        "yield_by_zone": (
+            f"SELECT zone, count(*) AS total_dies, sum(p)::BIGINT AS pass_dies, {_pct('sum(p)::BIGINT', 'count(*)')} AS yield_pct "
+            "FROM (SELECT p, CASE WHEN d4 > 160 THEN 'edge' WHEN d4 > 100 THEN 'mid' ELSE 'center' END AS zone FROM ("
+            "SELECT CASE l_returnflag WHEN 'R' THEN 0 ELSE 1 END AS p, (2 * l_linenumber - 13) * (2 * l_linenumber - 13) "
+            "+ (2 * (l_partkey % 12 + 1) - 13) * (2 * (l_partkey % 12 + 1) - 13) AS d4 FROM lineitem)) GROUP BY zone"
+        ),
+        "killer_pareto": _with(
+            "SELECT kind AS defect_name, category, killer AS is_killer, c AS defect_count, "
+            f"{_pct('c', 'g')} AS pct_of_total, {_pct('r', 'g')} AS cumulative_pct FROM ("
+            "SELECT *, sum(c) OVER ()::BIGINT AS g, sum(c) OVER (ORDER BY c DESC, kind)::BIGINT AS r FROM ("
+            "SELECT kind, category, killer, count(*) AS c FROM ev JOIN dtype USING (kind) WHERE killer GROUP BY ALL))",
+            "ev",
+            "dtype",
+        ),
+        "defect_sizes": _with(
+            "SELECT kind AS defect_name, killer AS is_killer, count(*) AS defect_count, count(s) AS sized, "
+            f"{_dec('min(s)', 4, 10)} AS smallest_um, "
+            f"{_dec(_div(_div('sum(s)::BIGINT * 10000', 'count(s)'), '10000'), 4, 10)} AS mean_um, "
+            f"{_dec('max(s)', 4, 10)} AS largest_um "
+            f"FROM (SELECT kind, {_div('CAST(round(10000 * value) AS BIGINT)', '100')} AS s FROM ev) JOIN dtype USING (kind) "
+            "GROUP BY kind, killer",
+            "ev",
+            "dtype",
+        ),
+        "spc_by_chamber": _with(
+            "SELECT tcode AS tool_code, ccode AS chamber_code, count(*) AS readings, "
+            f"{_dec(_div(_div('sum(v)::BIGINT * 10000', 'count(*)'), '10000'), 4, 12)} AS center_line_cd, "
+            "CAST(stddev_samp(v / 10000.0) AS DECIMAL(12,4)) AS sigma FROM "
+            "(SELECT DISTINCT w, cid FROM run WHERE cid IS NOT NULL) JOIN rd USING (w) JOIN cham USING (cid) "
+            "WHERE m = 'CD' GROUP BY cid, tcode, ccode",
+            "run",
+            "rd",
+            "cham",
+        ),
+        "spc_run_rules": _with(
+            "SELECT tcode AS tool_code, m AS metric_type, sum(k)::BIGINT AS readings, "
+            "count(*) FILTER (s <> 0 AND k >= 8) AS runs, "
+            "coalesce(sum(k) FILTER (s <> 0 AND k >= 8), 0)::BIGINT AS readings_in_runs, "
+            "max(k) FILTER (s <> 0) AS longest_run FROM (SELECT tid, m, s, g, count(*) AS k FROM (SELECT tid, m, s, "
+            "row_number() OVER (PARTITION BY tid, m ORDER BY began, mid, v) "
+            "- row_number() OVER (PARTITION BY tid, m, s ORDER BY began, mid, v) AS g "
+            "FROM (SELECT rd.tid, m, began, mid, v, sign(v - c) AS s FROM rd JOIN lim USING (m))) GROUP BY ALL) "
+            "JOIN tool USING (tid) GROUP BY tcode, m",
+            "rd",
+            "lim",
+            "tool",
+        ),
+        "capability": _with(
+            f"SELECT m AS metric_type, {_dec('lo', 4, 12)} AS spec_low, {_dec('hi', 4, 12)} AS spec_high, n AS readings, "
+            f"bad AS out_of_spec, {_pct('bad', 'n')} AS out_of_spec_pct, "
+            "CAST((hi - lo) / 10000.0 / (6 * sd) AS DECIMAL(12,3)) AS cp, "
+            "CAST(least(hi * 10000::BIGINT - m8, m8 - lo * 10000::BIGINT) / 1e8 / (3 * sd) AS DECIMAL(12,3)) AS cpk FROM ("
+            "SELECT m, lo, hi, count(*) AS n, count(*) FILTER (v < lo OR v > hi) AS bad, "
+            f"{_div('sum(v)::BIGINT * 10000', 'count(*)')} AS m8, stddev_samp(v / 10000.0) AS sd "
+            "FROM rd JOIN (VALUES ('CD', 10000, 500000), ('Overlay', -50000, 50000)) AS t(m, lo, hi) USING (m) GROUP BY ALL)",
+            "rd",
         ),
         "defect_yield_points": _with(
             f"SELECT w AS wafer_id, d AS defect_count, {_dec('y', 2, 5)} AS yield_pct FROM wy JOIN wd USING (w)",
@@ -416,6 +410,36 @@ _FAB = {
         "FROM ev LEFT JOIN dtype USING (kind)"
     ),
 }
+# The same tables with the damage that the audited copy carries.
+_DAMAGED = {
+    **_FAB,
+    "wafers": (
+        "SELECT CASE WHEN w % 101 = 1 THEN w - 1 ELSE w END AS wafer_id, CASE WHEN w % 83 <> 0 THEN 'LOT-' || (24000 + lot) "
+        "|| '.' || lpad(CAST(w % 25 + 1 AS VARCHAR), 2, '0') END AS wafer_scribe, CASE WHEN w % 97 = 0 THEN -1 ELSE lot END "
+        "AS lot_id, CASE WHEN w % 89 = 0 THEN 26 ELSE w % 25 + 1 END AS slot_no, 'Good' AS status FROM waf"
+    ),
+    "process_runs": (
+        "SELECT rid AS process_run_id, w AS wafer_id, step AS process_step_id, CASE WHEN w % 79 = 0 THEN -1 ELSE tid END "
+        "AS tool_id, cid AS chamber_id, began AS run_start, began + INTERVAL 20 MINUTE AS run_end, "
+        "CASE WHEN w % 73 = 0 THEN repeat('x', 21) ELSE 'Completed' END AS run_status FROM run"
+    ),
+    "defect_inspections": (
+        "SELECT w AS inspection_id, w AS wafer_id, w % 25 AS tool_id, min(ts) AS inspection_date, "
+        "'Post-Etch (Metal-1)' AS inspection_step, CASE WHEN w % 16 = 0 THEN -1 ELSE count(*) END AS defect_count "
+        "FROM ev GROUP BY w"
+    ),
+    "metrology_measurements": (
+        "SELECT mid AS measurement_id, CASE WHEN m <> 'Sheet Resistance' THEN substr(mid, 2) END AS process_run_id, "
+        "m AS metric_type, v AS value, CASE m WHEN 'CD' THEN 10000 WHEN 'Overlay' THEN CASE v WHEN 0 THEN 90000 ELSE -50000 END "
+        "END AS spec_low, CASE m WHEN 'CD' THEN 500000 WHEN 'Overlay' THEN 50000 END AS spec_high, "
+        "CASE m WHEN 'Film Thickness' THEN 'A' WHEN 'Sheet Resistance' THEN 'ohm/sq' ELSE 'nm' END AS unit FROM rd "
+        "WHERE NOT (m = 'CD' AND v = 130000)"
+    ),
+    "defects": (
+        "SELECT id AS defect_id, CASE WHEN id % 61 = 0 THEN -5 ELSE ev.w END AS inspection_id, dtype.tid AS defect_type_id, "
+        "CASE WHEN id % 50 = 0 THEN -1 ELSE value / 100 END AS defect_size_um FROM ev LEFT JOIN dtype USING (kind)"
+    ),
+}
 _FAB_USES = ("tool", "step", "dtype", "lot", "waf", "run", "ev", "rd")
 
 _PRIMARY = {
@@ -538,12 +562,16 @@ _WATCHED = {
 }
 
 
-def _fab_with(body: str) -> str:
+def _fab_with(body: str, tables: dict[str, str] = _FAB) -> str:
     base = _with("", *_FAB_USES)
-    fab = ", ".join(f"fab_{name} AS ({sql})" for name, sql in _FAB.items())
+    fab = ", ".join(f"fab_{name} AS ({sql})" for name, sql in tables.items())
     return f"{base}, {fab} {body}"
 
 
+def _damaged_with(body: str) -> str:
+    return _fab_with(body, _DAMAGED)
+
+
 def _duplicates(table: str, key: str) -> str:
     # Rows beyond the first of each complete key; rows with an incomplete key all count.
     complete = " AND ".join(f"{column.strip()} IS NOT NULL" for column in key.split(","))
@@ -568,7 +596,7 @@ def _broken(name: str, table: str, broken: str) -> str:
 def _gaps(table: str, column: str, required: int, longest: int) -> str:
     nulls = f"(SELECT count(*) FROM fab_{table} WHERE {column} IS NULL)" if required else "0::BIGINT"
     long = f"(SELECT count(*) FROM fab_{table} WHERE length({column}) > {longest})" if longest else "0::BIGINT"
-    return f"SELECT '{table}' AS table_name, '{column}' AS column, {nulls} AS nulls, {long} AS too_long"
+    return f"SELECT '{table}' AS table_name, '{column}' AS column, true AS present, {nulls} AS nulls, {long} AS too_long"
 
 
 def _audits() -> dict[str, str]:
@@ -607,17 +635,25 @@ def _audits() -> dict[str, str]:
         for column, value, default in columns
     )
     return {
-        "pk_audit": _fab_with(pk),
-        "unique_audit": _fab_with(uq),
-        "fk_audit": _fab_with(fk),
-        "check_audit": _fab_with(ck),
-        "not_null_audit": _fab_with(gaps),
+        "pk_audit": _damaged_with(pk),
+        "unique_audit": _damaged_with(uq),
+        "fk_audit": _damaged_with(fk),
+        "check_audit": _damaged_with(ck),
+        "not_null_audit": _damaged_with(gaps),
         "apply_defaults": _fab_with(filled),
-        "contract_summary": _fab_with(
+        "contract_links": _fab_with(
+            " UNION ALL ".join(
+                f"SELECT '{child}.{column}' AS fk_name, '{child}' AS child_table, '{parent}' AS parent_table, "
+                f"(SELECT count({column}) FROM fab_{child}) AS rows"
+                for child, column, parent in _LINKS
+            )
+        ),
+        "contract_summary": _damaged_with(
             f", sized AS ({sizes}), hits AS (SELECT table_name, sum(x)::BIGINT AS violations FROM ({found}) "
             "GROUP BY table_name), per AS (SELECT * FROM sized JOIN hits USING (table_name)) "
+            "SELECT *, CASE WHEN violations = 0 THEN 'PASS' ELSE '**CHECK**' END AS status FROM ("
             "SELECT table_name, tables, links, rows, violations FROM per UNION ALL "
-            "SELECT '(all)', sum(tables)::BIGINT, sum(links)::BIGINT, sum(rows)::BIGINT, sum(violations)::BIGINT FROM per"
+            "SELECT '(all)', sum(tables)::BIGINT, sum(links)::BIGINT, sum(rows)::BIGINT, sum(violations)::BIGINT FROM per)"
         ),
     }
 
@@ -645,7 +681,23 @@ def _load_checks() -> dict[str, str]:
         "row_count_check": _fab_with(
             f"SELECT *, CASE WHEN expected = actual THEN 'OK' ELSE '**MISMATCH**' END AS status FROM ({counts})"
         ),
-        "defect_reconcile": _fab_with(
+        "unreconciled_inspections": _damaged_with(
+            "SELECT inspection_id, defect_count, coalesce(n, 0) AS actual_rows FROM fab_defect_inspections LEFT JOIN "
+            "(SELECT inspection_id, count(*) AS n FROM fab_defects GROUP BY inspection_id) USING (inspection_id) "
+            "WHERE defect_count <> coalesce(n, 0)"
+        ),
+        "views_check": _with(
+            "SELECT 'v_wafer_yield' AS object_name, 'PASS' AS status, (SELECT count(*) FROM wy) AS rows UNION ALL "
+            "SELECT 'v_wafer_defects', 'PASS', (SELECT count(*) FROM wd)",
+            "wy",
+            "wd",
+        ),
+        "fab_round_trip": _fab_with(
+            " UNION ALL ".join(
+                f"SELECT '{table}' AS table_name, (SELECT count(*) FROM fab_{table}) AS rows, true AS same" for table in _PRIMARY
+            )
+        ),
+        "defect_reconcile": _damaged_with(
             "SELECT 'defects' AS table_name, a AS actual_rows, b AS must_equal_sum_counts, "
             "CASE WHEN a = b THEN 'OK (rows = sum of counts)' ELSE '**MISMATCH**' END AS status FROM ("
             "SELECT (SELECT count(*) FROM fab_defects) AS a, "
@@ -653,13 +705,14 @@ def _load_checks() -> dict[str, str]:
         ),
         "metrology_count_check": _with(
             "SELECT 'metrology_measurements' AS table_name, a AS actual_rows, e AS expected_rows, "
-            "CASE WHEN a = e THEN 'OK' ELSE '**CHECK**' END AS status FROM (SELECT (SELECT count(*) FROM rd) AS a, "
+            "CASE WHEN a = e THEN 'OK' ELSE '**CHECK**' END AS status FROM (SELECT (SELECT count(*) FROM rd "
+            "WHERE NOT (m = 'CD' AND v = 130000)) AS a, "
             "(SELECT count(*) FROM lineitem) + (SELECT count(*) FROM events) AS e)",
             "rd",
         ),
         "signal_defects": _with(
             f"SELECT 'B1 defect_count' AS signal, {grp}, count(*) AS wafers, "
-            f"{_mean_count('sum(d)::BIGINT', 'count(*)', 6)} AS avg_metric FROM ("
+            f"{_mean_count('sum(d)::BIGINT', 'count(*)')} AS avg_metric FROM ("
             f"SELECT {_IN} AS inside, count(*) AS d FROM ev GROUP BY w, inside) GROUP BY inside",
             "ev",
             "coh",
@@ -675,7 +728,7 @@ def _load_checks() -> dict[str, str]:
         ),
         "signal_metrology": _with(
             f"SELECT 'B3 ' || m AS signal, {grp}, count(*) AS readings, "
-            f"{_dec(_div(_div('sum(v)::BIGINT * 10000', 'count(*)'), '100000'), 3, 8)} AS avg_metric "
+            f"{_dec(_div(_div('sum(v)::BIGINT * 10000', 'count(*)'), '100000'), 3, 12)} AS avg_metric "
             f"FROM (SELECT m, v, {_IN} AS inside FROM rd) GROUP BY m, inside",
             "rd",
             "coh",
@@ -767,6 +820,7 @@ def _conclusion_checks() -> dict[str, str]:
     return {
         **{key: _with(body, *names) for key, (body, names) in checks.items()},
         "conclusion_report": _with(report, *used),
+        "conclusion_report_stored": _with(report, *used),
         "view_totals_check": _with(
             "SELECT a AS yield_wafers, b AS defect_wafers, c AS total_defects, "
             "CASE WHEN a = n AND b = n THEN 'PASS' ELSE '**CHECK**' END AS status FROM ("
@@ -784,13 +838,15 @@ def _conclusion_checks() -> dict[str, str]:
 
 
 def _shaping() -> dict[str, str]:
-    site_sum = "sum(x * 100 + y)::BIGINT AS site_sum"
     return {
         "resolve_keys": (
             "SELECT s_suppkey AS chamber_id, n_name AS tool_code, n_nationkey AS tool_id "
-            "FROM supplier JOIN nation ON n_name = concat('NATION_', s_nationkey)"
+            "FROM supplier JOIN nation ON n_name = concat('NATION_', CASE WHEN s_suppkey % 40 = 0 THEN 99 ELSE s_nationkey END)"
+        ),
+        "unresolved_keys": (
+            "SELECT s_suppkey AS chamber_id, 'NATION_99' AS tool_code FROM supplier WHERE s_suppkey % 40 = 0 "
+            "AND NOT EXISTS (SELECT 1 FROM nation WHERE n_name = 'NATION_99')"
         ),
-        "number_series": "SELECT unnest(range(1, (SELECT count(*) FROM orders) + 1)) AS n",
         "derive_lots": _with(
             "SELECT lot AS n, lot_number, product, technology_node, 25 AS planned_qty, start_date, status FROM lot", "lot"
         ),
@@ -826,88 +882,20 @@ def _shaping() -> dict[str, str]:
         "explode_counts": _with(
             "SELECT w AS inspection_id, row_number() OVER (PARTITION BY w) AS defect_seq FROM ev", "ev"
         ),
-        "weighted_category": _with(
-            "SELECT w AS inspection_id, i AS defect_seq, CAST(roll AS INTEGER) AS roll, bad AS is_bad, "
-            "code AS defect_code FROM xd",
-            "xd",
-        ),
-        "die_grid": _with(
-            "SELECT w AS wafer_id, CAST(x AS INTEGER) AS die_x, count(*) AS dies, sum(y)::BIGINT AS sum_y, "
-            "CAST(sum(d4 * y) / 4.0 AS DECIMAL(18,2)) AS weighted_dist FROM xs GROUP BY w, x",
-            "xs",
-        ),
-        "radial_zone": _with(
-            f"SELECT w AS wafer_id, zone, count(*) AS dies, {site_sum} FROM xz GROUP BY w, zone", "xz"
-        ),
-        "bin_assign": _with(
-            "SELECT w AS wafer_id, CAST(CASE WHEN roll >= cut THEN 1 ELSE 2 + roll % 7 END AS INTEGER) AS bin_number, "
-            f"count(*) AS dies, {site_sum} FROM xz GROUP BY 1, 2",
-            "xz",
-        ),
-        "metrology_long": _with(
-            "SELECT rid AS process_run_id, metric_type, CAST(value AS DECIMAL(12,4)) AS value, "
-            "CAST(target AS DECIMAL(12,4)) AS target, CAST(lo AS DECIMAL(12,4)) AS spec_low, "
-            "CAST(hi AS DECIMAL(12,4)) AS spec_high, unit, began AS measured_at FROM ("
-            f"SELECT rid, began, 'CD' AS metric_type, 42 + {_draw(31, 'w', '0', '0', 1)} AS value, 45 AS target, 42 AS lo, "
-            "48 AS hi, 'nm' AS unit FROM run WHERE step = 7 UNION ALL "
-            f"SELECT rid, began, 'Overlay', {_draw(61, 'w', '0', '0', 2)} - 30, 0, -10, 10, 'nm' FROM run WHERE step = 7 "
-            f"UNION ALL SELECT rid, began, 'Film Thickness', 850 + {_draw(301, 'w', '0', '0', 3)}, NULL, NULL, NULL, 'A' "
-            "FROM run WHERE step = 1)",
-            "run",
-        ),
-        "inspection_header": _with(
-            "SELECT w AS wafer_id, 12 AS tool_id, "
-            "TIMESTAMP '2024-01-01' + to_days(CAST((w - 1) // 25 + 1 + 3 AS INTEGER)) AS inspection_date, "
-            "'Post-Etch (Metal-1)' AS inspection_step, d AS defect_count FROM xi",
-            "xi",
-        ),
-    }
-
-
-def _excursion() -> dict[str, str]:
-    cd_mean = _div("sum(v)::BIGINT * 10000", "count(*)")
-    return {
-        "excursion_commonality_rank": _with(
-            f"SELECT tcode AS tool_code, ccode AS chamber_code, n AS wafers_through, "
-            f"{_dec('(m6 + 5000) // 10000', 2, 5)} AS avg_yield_pct, CAST(rank() OVER (ORDER BY m6) AS INTEGER) AS worst_rank "
-            f"FROM (SELECT tcode, ccode, count(*) AS n, {_div('sum(y)::BIGINT * 10000', 'count(*)')} AS m6 "
-            "FROM xc JOIN xy USING (w) GROUP BY tcode, ccode)",
-            "xc",
-            "xy",
-        ),
-        "excursion_suspect_vs_peers": _with(
-            "SELECT CASE WHEN bad THEN 'Suspect: ETCH-02/C' ELSE 'Other etch chambers' END AS grp, count(*) AS wafers, "
-            f"{_mean2('sum(y)::BIGINT', 'count(*)')} AS avg_yield_pct, {_dec('min(y)', 2, 5)} AS min_yield, "
-            f"{_dec('max(y)', 2, 5)} AS max_yield, CAST(stddev_samp(y / 100.0) AS DECIMAL(5,2)) AS sigma "
-            "FROM xy GROUP BY bad",
-            "xy",
-        ),
-        "excursion_cohort_fingerprint": _with(
-            "SELECT CASE WHEN bad THEN 'ETCH-02/C (bad)' ELSE 'All others' END AS grp, count(*) AS wafers, "
-            f"{_mean2('sum(y)::BIGINT', 'count(*)')} AS avg_yield_pct, {_mean_count('sum(d)::BIGINT', 'count(*)')} "
-            f"AS avg_defects, {_pct('sum(f)::BIGINT', 'sum(d)::BIGINT')} AS particle_flake_pct FROM xy JOIN ("
-            "SELECT w, count(*) AS d, count(*) FILTER (code IN ('PART', 'FLAKE')) AS f FROM xd GROUP BY w) USING (w) "
-            "GROUP BY bad",
-            "xy",
-            "xd",
-        ),
-        "excursion_spc_group_shift": _with(
-            "SELECT CASE WHEN bad THEN 'ETCH-02/C' ELSE 'Others' END AS grp, n AS readings, "
-            f"{_dec(_div('g8', '10000'), 4, 12)} AS group_mean_cd, {_dec(_div('m8', '10000'), 4, 12)} AS overall_center, "
-            "CAST(m8 / 1e8 + 3 * sd AS DECIMAL(12,4)) AS ucl, "
-            "CAST((g8 - m8) / 1e8 / sd AS DECIMAL(6,3)) AS group_mean_shift_in_sigma "
-            f"FROM (SELECT bad, count(*) AS n, {cd_mean} AS g8 FROM xcd GROUP BY bad), "
-            f"(SELECT {cd_mean} AS m8, stddev_samp(v / 10000.0) AS sd FROM xcd)",
-            "xcd",
-        ),
-        "excursion_defect_mix": _with(
-            "SELECT name AS defect_name, "
-            f"{_pct('count(*) FILTER (bad)', '(SELECT count(*) FROM xd WHERE bad)')} AS pct_bad_group, "
-            f"{_pct('count(*) FILTER (NOT bad)', '(SELECT count(*) FROM xd WHERE NOT bad)')} AS pct_others_group "
-            "FROM xd JOIN (VALUES ('PART', 'Particle'), ('SCRATCH', 'Scratch'), ('BRIDGE', 'Bridge'), ('OPEN', 'Open'), "
-            "('RESIDUE', 'Residue'), ('VOID', 'Void'), ('CONTAM', 'Contamination'), ('FLAKE', 'Flake')) "
-            "AS v(code, name) USING (code) GROUP BY name",
-            "xd",
+        "metrology_long": (
+            "SELECT concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS process_run_id, metric_type, "
+            "CAST(value AS DECIMAL(12,4)) AS value, CAST(target AS DECIMAL(12,4)) AS target, "
+            "CAST(lo AS DECIMAL(12,4)) AS spec_low, CAST(hi AS DECIMAL(12,4)) AS spec_high, unit, l_shipdate AS measured_at "
+            "FROM (SELECT *, 'CD' AS metric_type, l_quantity AS value, 25 AS target, 1 AS lo, 50 AS hi, 'nm' AS unit "
+            "FROM lineitem WHERE l_linenumber = 7 UNION ALL "
+            "SELECT *, 'Overlay', l_discount * 100 - 5, 0, -5, 5, 'nm' FROM lineitem WHERE l_linenumber = 7 UNION ALL "
+            "SELECT *, 'Film Thickness', l_extendedprice, NULL, NULL, NULL, 'A' FROM lineitem WHERE l_linenumber = 1)"
+        ),
+        "radial_zone": (
+            "SELECT w AS wafer_id, CASE WHEN d4 > 160 THEN 'edge' WHEN d4 > 100 THEN 'mid' ELSE 'center' END AS zone, "
+            "count(*) AS dies, sum(x * 100 + y)::BIGINT AS site_sum FROM (SELECT w, x, y, "
+            "(2 * x - 13) * (2 * x - 13) + (2 * y - 13) * (2 * y - 13) AS d4 FROM (SELECT l_orderkey AS w, "
+            "l_linenumber AS x, l_partkey % 12 + 1 AS y FROM lineitem)) GROUP BY 1, 2"
         ),
     }
 
@@ -919,5 +907,4 @@ def oracles() -> dict[str, str]:
         **_load_checks(),
         **_conclusion_checks(),
         **_shaping(),
-        **_excursion(),
     }

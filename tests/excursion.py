@@ -7,16 +7,118 @@ integer mixing of the row's keys, so the same tables come out on every run and i
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waferscope.functions.draws import draw
 from waferscope.operators import shaping
-from waferscope.operators.cohort import Suspect, cohort_through, flag_cohort
+from waferscope.operators.cohort import Suspect, Tables, cohort_through, flag_cohort
 from waferscope.sources import lookups
 from waferscope.sources.lazy import LazyTables
-from waferscope.sources.star import CALENDAR_DAYS, WAFERS_PER_LOT, read_star
+from waferscope.sources.star import WAFERS_PER_LOT, read_star
+
+# Percentage points of failing dies.
+BASE_FAIL = 8
+ZONE_FAIL = {"center": 0, "mid": 3, "edge": 6}
+COHORT_FAIL = 6
+PASS_BIN = 1
+FIRST_FAIL_BIN = 2
+FAIL_BINS = 7
+
+# Upper bounds (exclusive) of a 0..99 roll and the defect code each range gives.
+PLAIN_PROFILE = [
+    (20, "PART"),
+    (38, "BRIDGE"),
+    (54, "OPEN"),
+    (68, "RESIDUE"),
+    (80, "VOID"),
+    (90, "CONTAM"),
+    (96, "SCRATCH"),
+    (100, "FLAKE"),
+]
+COHORT_PROFILE = [(45, "PART"), (70, "FLAKE"), (82, "BRIDGE"), (91, "RESIDUE"), (100, "SCRATCH")]
+
+# The mixing constants every consumer of these draws has to agree on.
+MODULUS = 1_000_003
+FACTORS = (7_919, 104_729, 1_299_709, 15_485_863)
+LINEAR = 12_345
+
+
+def draw(bound: int, *keys: Column | int) -> Column:
+    """A whole number in ``0 .. bound-1`` that depends only on up to four integer keys."""
+    terms = [
+        (key.cast("long") if isinstance(key, Column) else F.lit(key).cast("long")) * factor
+        for key, factor in zip(keys, FACTORS, strict=False)
+    ]
+    seed = reduce(lambda a, b: a + b, terms) % MODULUS
+    return ((seed * seed + seed * LINEAR) % MODULUS % bound).cast("int")
+
+
+def inspection_header(
+    tables: Tables,
+    cohort: DataFrame,
+    tool_code: str,
+    base: Column,
+    boost: Column,
+    step: str = "Post-Etch (Metal-1)",
+    days_after_start: int = 3,
+) -> DataFrame:
+    """One inspection per wafer: ``base`` defects, plus ``boost`` for wafers in the cohort."""
+    tool = tables["tools"].filter(F.col("tool_code") == tool_code).select("tool_id").scalar()
+    lots = tables["lots"].select("lot_id", "start_date")
+    wafers = tables["wafers"].select("wafer_id", "lot_id").join(lots, "lot_id")
+    date = F.expr(f"timestampadd(DAY, {days_after_start}, CAST(start_date AS timestamp_ntz))")
+    return flag_cohort(wafers, cohort).select(
+        "wafer_id",
+        tool.alias("tool_id"),
+        date.alias("inspection_date"),
+        F.lit(step).alias("inspection_step"),
+        (base + F.when(F.col("in_cohort"), boost).otherwise(0)).cast("long").alias("defect_count"),
+    )
+
+
+def _by_roll(roll: Column, profile: Sequence[tuple[int, str]]) -> Column:
+    choice = F.lit(profile[-1][1])
+    for upper, code in reversed(profile[:-1]):
+        choice = F.when(roll < upper, code).otherwise(choice)
+    return choice
+
+
+def weighted_category(
+    rolls: DataFrame,
+    plain: Sequence[tuple[int, str]] = PLAIN_PROFILE,
+    cohort: Sequence[tuple[int, str]] = COHORT_PROFILE,
+) -> DataFrame:
+    """Add ``defect_code``: the range of the flag's profile that ``roll`` (0..99) falls in."""
+    roll = F.col("roll")
+    return rolls.withColumn(
+        "defect_code", F.when(F.col("is_bad"), _by_roll(roll, cohort)).otherwise(_by_roll(roll, plain))
+    )
+
+
+def die_grid(wafers: DataFrame, side: int = shaping.GRID_SIDE) -> DataFrame:
+    """Every site of every wafer.
+
+    Wafers are placed by id before they multiply, so that work per wafer downstream needs no shuffle of dies.
+    """
+    axis = F.sequence(F.lit(1), F.lit(side))
+    return wafers.repartition("wafer_id").withColumn("die_x", F.explode(axis)).withColumn("die_y", F.explode(axis))
+
+
+def bin_assign(zoned: DataFrame) -> DataFrame:
+    """Add ``bin_number`` from ``roll`` (0..99), ``zone`` and ``is_bad``.
+
+    A die passes at or above its threshold; below it, the roll also picks the fail bin.
+    """
+    zone_points = F.lit(0)
+    for zone, points in ZONE_FAIL.items():
+        zone_points = F.when(F.col("zone") == zone, points).otherwise(zone_points)
+    threshold = F.lit(BASE_FAIL) + zone_points + F.when(F.col("is_bad"), COHORT_FAIL).otherwise(0)
+    fail_bin = F.col("roll") % FAIL_BINS + FIRST_FAIL_BIN
+    return zoned.withColumn("bin_number", F.when(F.col("roll") >= threshold, PASS_BIN).otherwise(fail_bin))
+
 
 BAD_TOOL, BAD_CHAMBER = "ETCH-02", "C"
 
@@ -80,7 +182,7 @@ def wafers(orders: DataFrame) -> DataFrame:
 
 def _lots(src: LazyTables) -> DataFrame:
     numbers = src["orders"].select((F.expr(f"o_orderkey div {WAFERS_PER_LOT}") + 1).alias("n")).distinct()
-    return shaping.derive_lots(numbers, calendar_days=CALENDAR_DAYS).withColumnRenamed("n", "lot_id")
+    return shaping.derive_lots(numbers).withColumnRenamed("n", "lot_id")
 
 
 def _chambers(spark: SparkSession, tables: LazyTables) -> DataFrame:
@@ -101,7 +203,7 @@ def _process_runs(tables: LazyTables, independent_modules: bool) -> DataFrame:
     if independent_modules:
         turn = F.when(F.col("process_module") == "Etch", turn).otherwise(F.expr("wafer_id div 8"))
     catalog = shaping.assignment_catalog(tables, MODULES)
-    dealt = shaping.round_robin_assign(shaping.expand_route(tables), catalog, turn)
+    dealt = shaping.round_robin_assign(shaping.expand_route(tables, catalog), catalog, turn)
     steps = len(lookups.PROCESS_STEPS)
     return shaping.route_schedule(dealt).select(
         ((F.col("wafer_id") - 1) * steps + F.col("process_step_id")).alias("process_run_id"),
@@ -121,10 +223,10 @@ def _cohort(tables: LazyTables) -> DataFrame:
 
 def _bin_results(tables: LazyTables) -> DataFrame:
     flagged = flag_cohort(tables["wafers"].select("wafer_id"), _cohort(tables), "is_bad")
-    rolled = shaping.die_grid(flagged).withColumn(
+    rolled = die_grid(flagged).withColumn(
         "roll", draw(100, F.col("wafer_id"), F.col("die_x"), F.col("die_y"), ROLL_BIN)
     )
-    binned = shaping.bin_assign(shaping.radial_zone(rolled))
+    binned = bin_assign(shaping.radial_zone(rolled))
     side = shaping.GRID_SIDE
     number = (F.col("wafer_id") - 1) * (side * side) + (F.col("die_x") - 1) * side + F.col("die_y")
     codes = tables["bin_codes"].select("bin_number", "bin_code_id")
@@ -135,7 +237,7 @@ def _bin_results(tables: LazyTables) -> DataFrame:
 
 def _inspections(tables: LazyTables) -> DataFrame:
     wafer = F.col("wafer_id")
-    headers = shaping.inspection_header(
+    headers = inspection_header(
         tables,
         _cohort(tables),
         tool_code="INSP-01",
@@ -150,7 +252,7 @@ def _defects(tables: LazyTables) -> DataFrame:
     keys = (F.col("inspection_id"), F.col("defect_seq"), 0)
     flagged = flag_cohort(headers, _cohort(tables), "is_bad")
     rolled = shaping.explode_counts(flagged).withColumn("roll", draw(100, *keys, ROLL_TYPE))
-    coded = shaping.weighted_category(rolled)
+    coded = weighted_category(rolled)
     types = tables["defect_types"].select("defect_code", "defect_type_id")
     return shaping.resolve_keys(coded, types, "defect_code", "defect_type_id").select(
         (F.col("inspection_id") * 100 + F.col("defect_seq")).alias("defect_id"),

@@ -10,7 +10,7 @@ from waferscope.operators.spc import spc_by_tool, spc_limits
 from waferscope.plans import conclusions, load_checks
 from waferscope.plans.audits import contract_summary
 from waferscope.plans.investigation import investigate
-from waferscope.sources.excursion import bind_excursion, known_suspect
+from excursion import bind_excursion, known_suspect
 from waferscope.sources.parquet import read_fab, write_fab
 
 

@@ -6,7 +6,7 @@ import pytest
 from conftest import dies, rows, run, wafers
 from waferscope.operators.commonality import commonality_rank
 from waferscope.sources.contract import TABLES, conform
-from waferscope.sources.excursion import bind_excursion
+from excursion import bind_excursion
 from waferscope.sources.parquet import read_fab, save_tables, saved_tables, write_fab
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import Column, functions as F
 
 PERCENT = "decimal(5,2)"
 READING = "decimal(12,4)"
+# Means of counts and of readings are not percentages: they may be as large as what is counted.
+MEAN_COUNT = "decimal(12,2)"
+MEAN_READING = "decimal(12,3)"
 
 
 def pct(part: Column, total: Column) -> Column:

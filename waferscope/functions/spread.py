@@ -14,8 +14,22 @@ def exact_square(value: Column) -> Column:
 
 
 def sigma_of_sums(rows: Column, total: Column, squares: Column) -> Column:
-    """Sample standard deviation as double; NULL for fewer than two rows. Exact up to 10^13 rows."""
+    """Sample standard deviation as double; NULL for fewer than two rows.
+
+    The types hold 10^13 rows of a percentage; beyond, the casts fail rather than give a wrong spread.
+    """
     count = rows.cast("decimal(15,0)")
     about_mean = count * squares.cast("decimal(21,4)") - total.cast("decimal(17,2)") * total.cast("decimal(17,2)")
     pairs = rows.cast("double") * (rows - 1)
     return F.sqrt(about_mean.cast("double") / F.nullif(pairs, F.lit(0.0)))
+
+
+def square(value: Column) -> Column:
+    """The square of a reading, as a decimal that sums hold exactly."""
+    return (value * value).cast("decimal(24,8)")
+
+
+def sigma_of_reading_sums(rows: Column, total: Column, squares: Column) -> Column:
+    """``sigma_of_sums`` for readings of four digits: the sum of squares about the mean is exact to six digits."""
+    about_mean = squares.cast("decimal(38,8)") - (total * (total / rows)).cast("decimal(38,8)")
+    return F.sqrt(F.greatest(about_mean.cast("double"), F.lit(0.0)) / F.nullif(rows - 1, F.lit(0)))

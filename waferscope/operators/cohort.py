@@ -39,17 +39,17 @@ def suspect_tool(tables: Tables, suspect: Suspect, column: str) -> Column:
 
 
 def cohort_through(tables: Tables, suspect: Suspect) -> DataFrame:
-    """The distinct wafers that ran on the suspect's tool in a chamber of the suspect's code.
+    """The distinct wafers that ran on a tool of the suspect's code in a chamber of the suspect's code.
 
-    Both conditions are scalar: a code is unique within a tool, so the chambers that share it are at
-    most as many as the tools. Runs are thus filtered where they are scanned, before any shuffle.
+    Runs are reduced by semi joins with the filtered chambers and tools, whose size Spark knows when it chooses how.
     """
-    sharing = tables["chambers"].filter(F.col("chamber_code") == suspect.chamber_code)
-    chambers = sharing.agg(F.collect_set("chamber_id").alias("chambers")).scalar()
+    chambers = tables["chambers"].filter(F.col("chamber_code") == suspect.chamber_code).select("chamber_id")
+    tools = tables["tools"].filter(F.col("tool_code") == suspect.tool_code).select("tool_id")
     return (
         tables["process_runs"]
-        .filter(F.array_contains(chambers, F.col("chamber_id")))
-        .filter(F.col("tool_id") == suspect_tool(tables, suspect, "tool_id"))
+        .select("wafer_id", "tool_id", "chamber_id")
+        .join(chambers, "chamber_id", "left_semi")
+        .join(tools, "tool_id", "left_semi")
         .select("wafer_id")
         .distinct()
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from waferscope.functions.decimals import PERCENT, mean_of_sums, pct_or_null
+from waferscope.functions.decimals import MEAN_COUNT, PERCENT, mean_of_sums, pct_or_null
 from waferscope.functions.labels import ALL_OTHERS, BAD_SUFFIX
 from waferscope.operators.cohort import Suspect, Tables, cohort_through, flag_cohort
 from waferscope.operators.defects import defects_by_wafer_and_type, wafer_defects
@@ -23,7 +23,7 @@ def defect_band(count: Column) -> Column:
 
 
 def _mean_count(total: Column, rows: Column) -> Column:
-    return mean_of_sums(total, rows, 1).cast(PERCENT)
+    return mean_of_sums(total, rows, 1).cast(MEAN_COUNT)
 
 
 def defect_yield_points(tables: Tables) -> DataFrame:
@@ -59,9 +59,12 @@ def yield_by_defect_band(tables: Tables) -> DataFrame:
 
 
 def cohort_fingerprint(
-    tables: Tables, suspect: Suspect, defect_names: tuple[str, ...] = ("Particle", "Flake")
+    tables: Tables,
+    suspect: Suspect,
+    defect_names: tuple[str, ...] = ("Particle", "Flake"),
+    share_name: str = "particle_flake_pct",
 ) -> DataFrame:
-    """Wafers, yield, defects and the share of the named defect types, for the cohort and for all others."""
+    """Wafers, yield, defects and, under ``share_name``, the share of the named defect types, for the cohort and all others."""
     named = (
         tables["defect_types"]
         .filter(F.col("defect_name").isin(*defect_names))
@@ -90,14 +93,14 @@ def cohort_fingerprint(
             F.count(F.lit(1)).alias("wafers"),
             F.avg("yield_pct").cast(PERCENT).alias("avg_yield_pct"),
             _mean_count(defects, F.count(F.lit(1))).alias("avg_defects"),
-            pct_or_null(named_defects, defects).alias("particle_flake_pct"),
+            pct_or_null(named_defects, defects).alias(share_name),
         )
         .select(
             F.when(F.col("in_cohort"), F.concat(suspect.label, F.lit(BAD_SUFFIX))).otherwise(ALL_OTHERS).alias("grp"),
             "wafers",
             "avg_yield_pct",
             "avg_defects",
-            "particle_flake_pct",
+            share_name,
         )
         .orderBy("avg_yield_pct", "grp")
     )

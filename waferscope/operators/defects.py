@@ -26,7 +26,12 @@ def defects_by_wafer_and_type(tables: Tables) -> DataFrame:
 
 
 def wafer_defects(tables: Tables) -> DataFrame:
-    """Defects per wafer; wafers without any are kept with 0."""
+    """Defects per wafer; wafers without any are kept with 0.
+
+    Tables that hold it already, as ``v_wafer_defects``, are read instead of the defects.
+    """
+    if "v_wafer_defects" in tables:
+        return tables["v_wafer_defects"]
     per_inspection = tables["defects"].groupBy("inspection_id").agg(F.count("defect_id").alias("found"))
     headers = tables["defect_inspections"].select("inspection_id", "wafer_id")
     per_wafer = (
@@ -40,13 +45,15 @@ def wafer_defects(tables: Tables) -> DataFrame:
     )
 
 
-def defect_pareto(tables: Tables) -> DataFrame:
-    """Share and running share per defect type, most frequent first.
+def defect_pareto(tables: Tables, killers_only: bool = False) -> DataFrame:
+    """Share and running share per defect type, most frequent first; of killer types only if so asked.
 
     Equal counts are ordered by name, so the running share does not depend on row order. The windows
     run over one row per defect type.
     """
     types = tables["defect_types"].select("defect_type_id", "defect_name", "category", "is_killer")
+    if killers_only:
+        types = types.filter("is_killer")
     counts = (
         tables["defects"]
         .groupBy("defect_type_id")
@@ -88,3 +95,20 @@ def defect_mix_by_cohort(tables: Tables, suspect: Suspect) -> DataFrame:
     return counts.select(
         "defect_name", share("bad").alias("pct_bad_group"), share("others").alias("pct_others_group")
     ).orderBy(F.desc("pct_bad_group"), "defect_name")
+
+
+def defect_sizes(tables: Tables) -> DataFrame:
+    """Smallest, mean and largest size per defect type, largest mean first; types without sized defects have none."""
+    sizes = tables["defects"].groupBy("defect_type_id").agg(
+        F.count(F.lit(1)).alias("defect_count"),
+        F.count("defect_size_um").alias("sized"),
+        F.min("defect_size_um").alias("smallest_um"),
+        F.avg("defect_size_um").cast("decimal(10,4)").alias("mean_um"),
+        F.max("defect_size_um").alias("largest_um"),
+    )
+    types = tables["defect_types"].select("defect_type_id", "defect_name", "is_killer")
+    return (
+        sizes.join(types, "defect_type_id")
+        .select("defect_name", "is_killer", "defect_count", "sized", "smallest_um", "mean_um", "largest_um")
+        .orderBy(F.desc_nulls_last("mean_um"), "defect_name")
+    )

@@ -1,14 +1,13 @@
-"""Operators that shape fab tables: series, key resolution, route expansion, dealing, and binning."""
+"""Operators that shape fab tables: key resolution, lots and wafers, route expansion, dealing, zones and readings."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from waferscope.operators.cohort import Tables, flag_cohort
-from waferscope.operators.sides import broadcast_if_counted, is_counted_small
+from waferscope.operators.cohort import Tables
 from waferscope.sources.inline import inline_rows
 
 # Names and offsets of the lot formula.
@@ -23,29 +22,8 @@ GRID_SIDE = 12
 MID_ZONE_BEYOND = 25
 EDGE_ZONE_BEYOND = 40
 
-# Percentage points of failing dies.
-BASE_FAIL = 8
-ZONE_FAIL = {"center": 0, "mid": 3, "edge": 6}
-COHORT_FAIL = 6
-PASS_BIN = 1
-FIRST_FAIL_BIN = 2
-FAIL_BINS = 7
-
-# Upper bounds (exclusive) of a 0..99 roll and the defect code each range gives.
-PLAIN_PROFILE = [
-    (20, "PART"),
-    (38, "BRIDGE"),
-    (54, "OPEN"),
-    (68, "RESIDUE"),
-    (80, "VOID"),
-    (90, "CONTAM"),
-    (96, "SCRATCH"),
-    (100, "FLAKE"),
-]
-COHORT_PROFILE = [(45, "PART"), (70, "FLAKE"), (82, "BRIDGE"), (91, "RESIDUE"), (100, "SCRATCH")]
-
-# Rows one exploded array may hold; larger counts are spread over tasks first.
-EXPLODE_CHUNK = 10_000
+# Rows of one range that a count is cut into before it is unfolded.
+RANGE_ROWS = 10_000
 
 
 def resolve_keys(child: DataFrame, parent: DataFrame, code: str, key: str) -> DataFrame:
@@ -63,11 +41,6 @@ def apply_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     return df.withColumns(defaults)
 
 
-def number_series(spark: SparkSession, count: int) -> DataFrame:
-    """``n`` = 1 .. count, generated in parallel."""
-    return spark.range(1, count + 1).withColumnRenamed("id", "n")
-
-
 def _pick(labels: Sequence[str], position: Column) -> Column:
     return F.element_at(F.array(*[F.lit(label) for label in labels]), (position + 1).cast("int"))
 
@@ -76,21 +49,20 @@ def lot_number(n: Column) -> Column:
     return F.concat(F.lit("LOT-"), (n + FIRST_LOT).cast("string"))
 
 
-def derive_lots(numbers: DataFrame, node_stride: int = 1, calendar_days: int | None = None) -> DataFrame:
+def derive_lots(numbers: DataFrame, node_stride: int = 1) -> DataFrame:
     """Lot attributes by formula from ``n``.
 
-    ``node_stride`` 1 ties the technology node to the product; 3 makes the two vary independently.
-    ``calendar_days`` wraps start dates for numberings too large for a calendar.
+    ``node_stride`` 1 ties the technology node to the product; 3 makes the two vary independently. A lot starts
+    ``n`` days after the first.
     """
     n = F.col("n")
-    day = n % calendar_days if calendar_days else n
     return numbers.select(
         "n",
         lot_number(n).alias("lot_number"),
         _pick(PRODUCTS, n % len(PRODUCTS)).alias("product"),
         _pick(NODES, F.floor(n / node_stride) % len(NODES)).alias("technology_node"),
         F.lit(SLOTS_PER_LOT).alias("planned_qty"),
-        F.date_add(F.to_date(F.lit(LOT_EPOCH)), day.cast("int")).alias("start_date"),
+        F.date_add(F.to_date(F.lit(LOT_EPOCH)), n.cast("int")).alias("start_date"),
         F.when(n % 10 == 0, "In Process").otherwise("Completed").alias("status"),
     )
 
@@ -152,41 +124,38 @@ def assignment_catalog(tables: Tables, modules: Sequence[ModuleTools]) -> DataFr
     )
 
 
-def expand_route(tables: Tables) -> DataFrame:
+def expand_route(tables: Tables, catalog: DataFrame | None = None) -> DataFrame:
     """Every wafer at every step of the route, with its lot's start date.
 
-    Steps are numbered, wafers expanded by that number, and the step looked up by it: no cross join.
-    Runs a small job that counts the steps, which are broadcast when few.
+    The route, a fab's list of process steps, is one array that each wafer unfolds: no join and no shuffle of the
+    expanded rows. With a catalogue, each step carries its module's ``opt_count``, joined to the steps while they
+    are few; a module without options has none.
     """
     steps = tables["process_steps"].select("process_step_id", "process_module", "sequence_order")
-    numbered = steps.withColumn("step_no", F.row_number().over(Window.orderBy("sequence_order", "process_step_id")))
-    length = steps.agg(F.count(F.lit(1)).cast("int").alias("length")).scalar()
+    if catalog is not None:
+        counts = catalog.filter(F.col("opt_no") == 1).select(F.col("module").alias("process_module"), "opt_count")
+        steps = steps.join(counts, "process_module", "left")
+    step = F.struct("sequence_order", *[c for c in steps.columns if c != "sequence_order"])
+    route = steps.agg(F.sort_array(F.collect_list(step)).alias("route")).scalar()
     lots = tables["lots"].select("lot_id", "start_date")
     return (
         tables["wafers"]
         .select("wafer_id", "lot_id")
         .join(lots, "lot_id")
-        .select("wafer_id", "start_date", F.explode(F.sequence(F.lit(1), length)).alias("step_no"))
-        .join(broadcast_if_counted(numbered, steps.select("process_step_id")), "step_no")
-        .drop("step_no")
+        .select("wafer_id", "start_date", F.inline(route))
+        .select("wafer_id", "start_date", "process_step_id", "process_module", "sequence_order", *steps.columns[3:])
     )
 
 
 def round_robin_assign(route: DataFrame, catalog: DataFrame, turn: Column | None = None) -> DataFrame:
-    """Deal route rows evenly over their module's options: option ``turn % opt_count + 1``.
-
-    ``turn`` defaults to the wafer id. Runs a small job that counts the options.
+    """Deal the rows of a route that was expanded with the catalogue evenly over their module's options: option
+    ``turn % opt_count + 1``, joined once by module and number. ``turn`` defaults to the wafer id. Steps of a module without
+    options are left out.
     """
-    keys = catalog.select("module", "opt_no")
-    counts = catalog.filter(F.col("opt_no") == 1).select(F.col("module").alias("process_module"), "opt_count")
     options = catalog.select(F.col("module").alias("process_module"), "opt_no", "tool_id", "chamber_id")
-    few = is_counted_small(keys)
     opt_no = (turn if turn is not None else F.col("wafer_id")) % F.col("opt_count") + 1
     return (
-        route.join(F.broadcast(counts) if few else counts, "process_module")
-        .withColumn("opt_no", opt_no)
-        .join(F.broadcast(options) if few else options, ["process_module", "opt_no"])
-        .drop("opt_no", "opt_count")
+        route.withColumn("opt_no", opt_no).join(options, ["process_module", "opt_no"]).drop("opt_no", "opt_count")
     )
 
 
@@ -202,102 +171,31 @@ def route_schedule(route: DataFrame, minutes_per_order: int = 30, run_minutes: i
     )
 
 
-def inspection_header(
-    tables: Tables,
-    cohort: DataFrame,
-    tool_code: str,
-    base: Column,
-    boost: Column,
-    step: str = "Post-Etch (Metal-1)",
-    days_after_start: int = 3,
-) -> DataFrame:
-    """One inspection per wafer: ``base`` defects, plus ``boost`` for wafers in the cohort."""
-    tool = tables["tools"].filter(F.col("tool_code") == tool_code).select("tool_id").scalar()
-    lots = tables["lots"].select("lot_id", "start_date")
-    wafers = tables["wafers"].select("wafer_id", "lot_id").join(lots, "lot_id")
-    date = F.expr(f"timestampadd(DAY, {days_after_start}, CAST(start_date AS timestamp_ntz))")
-    return flag_cohort(wafers, cohort).select(
-        "wafer_id",
-        tool.alias("tool_id"),
-        date.alias("inspection_date"),
-        F.lit(step).alias("inspection_step"),
-        (base + F.when(F.col("in_cohort"), boost).otherwise(0)).cast("long").alias("defect_count"),
-    )
-
-
-def explode_counts(inspections: DataFrame, chunk: int = EXPLODE_CHUNK) -> DataFrame:
+def explode_counts(inspections: DataFrame) -> DataFrame:
     """Turn each header count into that many rows, numbered ``defect_seq`` from 1, with the header's other columns.
 
-    Counts above ``chunk`` are first split into ranges and dealt to other tasks, so a header that
+    Every count becomes ranges first, which are dealt to tasks and only then unfolded, so a header that
     stands for a large part of all defects does not become one task's work.
     """
-    count = F.col("defect_count").cast("long")
     kept = [name for name in inspections.columns if name != "defect_count"]
-    few = inspections.filter(count.between(1, chunk)).select(
-        *kept, F.explode(F.sequence(F.lit(1).cast("long"), count)).alias("defect_seq")
-    )
-    last = F.expr(f"(CAST(defect_count AS long) - 1) div {chunk}")
+    count = F.col("defect_count").cast("long")
     ranges = (
-        inspections.filter(count > chunk)
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("part"))
-        .repartition("inspection_id", "part")
+        inspections.filter(count > 0)
+        .withColumn("first", F.explode(F.sequence(F.lit(1).cast("long"), count, F.lit(RANGE_ROWS).cast("long"))))
+        .repartition("inspection_id", "first")
     )
-    first, upto = F.col("part") * chunk + 1, F.least(count, (F.col("part") + 1) * chunk)
-    many = ranges.select(*kept, F.explode(F.sequence(first, upto)).alias("defect_seq"))
-    return few.unionByName(many)
-
-
-def _by_roll(roll: Column, profile: Sequence[tuple[int, str]]) -> Column:
-    choice = F.lit(profile[-1][1])
-    for upper, code in reversed(profile[:-1]):
-        choice = F.when(roll < upper, code).otherwise(choice)
-    return choice
-
-
-def weighted_category(
-    rolls: DataFrame,
-    plain: Sequence[tuple[int, str]] = PLAIN_PROFILE,
-    cohort: Sequence[tuple[int, str]] = COHORT_PROFILE,
-) -> DataFrame:
-    """Add ``defect_code``: the range of the flag's profile that ``roll`` (0..99) falls in."""
-    roll = F.col("roll")
-    return rolls.withColumn(
-        "defect_code", F.when(F.col("is_bad"), _by_roll(roll, cohort)).otherwise(_by_roll(roll, plain))
-    )
-
+    last = F.least(count, F.col("first") + (RANGE_ROWS - 1))
+    return ranges.select(*kept, F.explode(F.sequence(F.col("first"), last)).alias("defect_seq"))
 
-def die_grid(wafers: DataFrame, side: int = GRID_SIDE) -> DataFrame:
-    """Every site of every wafer with its squared distance from the grid's centre.
 
-    Wafers are placed by id before they multiply, so that work per wafer downstream needs no shuffle of dies.
-    """
-    axis = F.sequence(F.lit(1), F.lit(side))
-    sites = wafers.repartition("wafer_id").withColumn("die_x", F.explode(axis)).withColumn("die_y", F.explode(axis))
+def radial_zone(sites: DataFrame, side: int = GRID_SIDE) -> DataFrame:
+    """Add ``dist_sq``, the squared distance of (die_x, die_y) from the centre of a grid from 1 to ``side``, and ``zone``:
+    center, mid or edge."""
     # Offsets from the centre are halves and their squares quarters, both exact as doubles.
     across, down = F.col("die_x") - (side + 1) / 2, F.col("die_y") - (side + 1) / 2
-    return sites.withColumn("dist_sq", across * across + down * down)
-
-
-def radial_zone(grid: DataFrame) -> DataFrame:
-    """Add ``zone``: center, mid or edge."""
     far = F.col("dist_sq")
-    return grid.withColumn(
-        "zone",
-        F.when(far > EDGE_ZONE_BEYOND, "edge").when(far > MID_ZONE_BEYOND, "mid").otherwise("center"),
-    )
-
-
-def bin_assign(zoned: DataFrame) -> DataFrame:
-    """Add ``bin_number`` from ``roll`` (0..99), ``zone`` and ``is_bad``.
-
-    A die passes at or above its threshold; below it, the roll also picks the fail bin.
-    """
-    zone_points = F.lit(0)
-    for zone, points in ZONE_FAIL.items():
-        zone_points = F.when(F.col("zone") == zone, points).otherwise(zone_points)
-    threshold = F.lit(BASE_FAIL) + zone_points + F.when(F.col("is_bad"), COHORT_FAIL).otherwise(0)
-    fail_bin = F.col("roll") % FAIL_BINS + FIRST_FAIL_BIN
-    return zoned.withColumn("bin_number", F.when(F.col("roll") >= threshold, PASS_BIN).otherwise(fail_bin))
+    zone = F.when(far > EDGE_ZONE_BEYOND, "edge").when(far > MID_ZONE_BEYOND, "mid").otherwise("center")
+    return sites.withColumn("dist_sq", across * across + down * down).withColumn("zone", zone)
 
 
 @dataclass(frozen=True)

@@ -1,36 +1,22 @@
-"""How a join side is offered to Spark, and how rows are ranked without gathering them."""
+"""How rows are ranked without gathering them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-MAX_BROADCAST_ROWS = 200_000
-
-
-def is_counted_small(keys: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether there are at most ``max_rows`` distinct keys. Runs one small job."""
-    return keys.distinct().limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_counted(side: DataFrame, keys: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``side`` for broadcast only after counting the distinct ``keys`` it has one row for.
-
-    Spark cannot estimate the size of an aggregate before it ran and would shuffle the large side by
-    a handful of keys. Above ``max_rows`` the side is returned unmarked, so Spark joins by shuffle.
-    """
-    return F.broadcast(side) if is_counted_small(keys, max_rows) else side
-
 
 def rank_by_value(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Add ``rank() over (order by value)``: ties share a rank and leave a gap behind them.
+    """Add ``rank() over (order by value)`` for a percentage: ties share a rank and leave a gap behind them.
 
-    Only the distinct values are put in one ordered pass, never the rows; a decimal(9,6) percentage
-    has at most 100,000,001 of them however many rows there are.
+    Distinct values are counted, ranked within hundredths of a point, and moved up by the rows of smaller hundredths. A
+    decimal(9,6) has at most 10,000 distinct values in a hundredth, and there are 10,001 hundredths, so no ordered pass
+    is longer than that, however many rows there are.
     """
-    before = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    steps = (
-        df.groupBy(value)
-        .agg(F.count(F.lit(1)).alias("ties"))
-        .select(value, (F.coalesce(F.sum("ties").over(before), F.lit(0)) + 1).cast("int").alias(name))
-    )
-    return df.join(steps, value)
+    steps = df.groupBy(value).agg(F.count(F.lit(1)).alias("ties")).withColumn("slice", F.floor(F.col(value) * 100))
+    slices = steps.groupBy("slice").agg(F.sum("ties").alias("held"))
+    below = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select("slice", F.coalesce(F.sum("held").over(below), F.lit(0)).alias("offset"))
+    before = Window.partitionBy("slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    within = steps.withColumn("earlier", F.coalesce(F.sum("ties").over(before), F.lit(0)))
+    ranked = within.join(offsets, "slice").select(value, (F.col("offset") + F.col("earlier") + 1).cast("int").alias(name))
+    return df.join(ranked, value)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from waferscope.functions.decimals import READING, count_if, mean_of_sums
+from waferscope.functions.decimals import READING, count_if, mean_of_sums, pct
 from waferscope.functions.labels import OTHERS
+from waferscope.functions.spread import sigma_of_reading_sums, square
 from waferscope.operators.cohort import Suspect, Tables, cohort_through, flag_cohort
-from waferscope.operators.sides import broadcast_if_counted
 
 
 def readings(tables: Tables, *run_columns: str) -> DataFrame:
@@ -21,7 +21,11 @@ def readings(tables: Tables, *run_columns: str) -> DataFrame:
     if set(run_columns) <= set(measured.columns):
         return measured
     if "metrology_readings" in tables:
-        return tables["metrology_readings"]
+        found = tables["metrology_readings"]
+        missing = [c for c in run_columns if c not in found.columns]
+        if missing:
+            raise ValueError(f"metrology_readings: columns missing: {', '.join(missing)}")
+        return found
     return measured.join(tables["process_runs"].select("process_run_id", *run_columns), "process_run_id")
 
 
@@ -44,9 +48,8 @@ def _lower(center: Column, sigma: Column) -> Column:
 def spc_limits(tables: Tables) -> DataFrame:
     """Centre, sigma, three-sigma limits and readings beyond them, per metric.
 
-    Centre and sigma are rounded before the limits and the comparison use them. Runs a small job that
-    counts the metrics: their limits are broadcast to the readings when few, so the second pass over
-    the readings needs no shuffle by metric.
+    Centre and sigma are rounded before the limits and the comparison use them. The limits are an ordinary side of
+    the second pass: Spark broadcasts them once it has seen how few they are, and splits a hot metric otherwise.
     """
     measured = tables["metrology_measurements"].select("metric_type", "value")
     stats = (
@@ -55,43 +58,53 @@ def spc_limits(tables: Tables) -> DataFrame:
         .withColumn("ucl", _upper(F.col("center_line"), F.col("sigma")))
         .withColumn("lcl", _lower(F.col("center_line"), F.col("sigma")))
     )
-    beside = broadcast_if_counted(stats, measured.select("metric_type"))
     beyond = (F.col("value") > F.col("ucl")) | (F.col("value") < F.col("lcl"))
     keys = ["metric_type", "readings", "center_line", "sigma", "ucl", "lcl"]
     return (
-        measured.join(beside, "metric_type")
+        measured.join(stats, "metric_type")
         .groupBy(*keys)
         .agg(count_if(beyond).alias("points_out_of_control"))
         .orderBy("metric_type")
     )
 
 
+def _sums_by_wafer(chosen: DataFrame) -> DataFrame:
+    return chosen.groupBy("wafer_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.sum(square(F.col("value"))).alias("squares")
+    )
+
+
 def spc_group_shift(tables: Tables, suspect: Suspect, metric: str = "CD") -> DataFrame:
     """Mean of the suspect's wafers and of all others against the overall centre, in sigma units.
 
-    Overall centre and sigma are used unrounded here. Readings are summed per wafer before the cohort
-    is joined; the overall figures need no join at all.
+    Overall centre and sigma are used unrounded here. Readings are read once and summed per wafer, with their
+    squares; groups and overall figures are merged from those sums.
     """
-    chosen = readings(tables, "wafer_id").filter(F.col("metric_type") == metric)
-    overall = chosen.agg(F.avg("value").alias("mu"), F.stddev_samp("value").alias("sg"))
-    overall = overall.select(F.struct("mu", "sg").alias("overall")).scalar()
-    mu, sg = overall["mu"], overall["sg"]
-    per_wafer = chosen.groupBy("wafer_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
-    group_mean = mean_of_sums(F.col("total"), F.col("readings"), 4)
-    return (
+    per_wafer = _sums_by_wafer(readings(tables, "wafer_id").filter(F.col("metric_type") == metric))
+    groups = (
         flag_cohort(per_wafer, cohort_through(tables, suspect))
         .groupBy("in_cohort")
-        .agg(F.sum("n").alias("readings"), F.sum("total").alias("total"))
-        .select(
-            F.when(F.col("in_cohort"), suspect.label).otherwise(OTHERS).alias("grp"),
-            "readings",
-            group_mean.cast(READING).alias("group_mean_cd"),
-            mu.cast(READING).alias("overall_center"),
-            (mu + sg * 3).cast(READING).alias("ucl"),
-            ((group_mean - mu) / sg).cast("decimal(6,3)").alias("group_mean_shift_in_sigma"),
-        )
-        .orderBy("grp")
+        .agg(F.sum("n").alias("readings"), F.sum("total").alias("total"), F.sum("squares").alias("squares"))
     )
+    # Over the two groups.
+    both = Window.partitionBy()
+    n, total, squares = (F.sum(c).over(both) for c in ("readings", "total", "squares"))
+    overall = groups.withColumns({"n": n, "whole": total, "whole_squares": squares}).withColumns(
+        {
+            "mu": mean_of_sums(F.col("whole"), F.col("n"), 4),
+            "sg": sigma_of_reading_sums(F.col("n"), F.col("whole"), F.col("whole_squares")),
+            "group_mean": mean_of_sums(F.col("total"), F.col("readings"), 4),
+        }
+    )
+    mu, sg = F.col("mu"), F.col("sg")
+    return overall.select(
+        F.when(F.col("in_cohort"), suspect.label).otherwise(OTHERS).alias("grp"),
+        "readings",
+        F.col("group_mean").cast(READING).alias("group_mean_cd"),
+        mu.cast(READING).alias("overall_center"),
+        (mu + sg * 3).cast(READING).alias("ucl"),
+        ((F.col("group_mean") - mu) / sg).cast("decimal(6,3)").alias("group_mean_shift_in_sigma"),
+    ).orderBy("grp")
 
 
 def spc_by_tool(tables: Tables, metric: str = "CD") -> DataFrame:
@@ -125,3 +138,115 @@ def chart_points(tables: Tables, metric: str = "CD") -> DataFrame:
     )
     outside = (F.col("value") > F.col("ucl")) | (F.col("value") < F.col("lcl"))
     return points.withColumn("is_out", F.coalesce(outside, F.lit(False)))
+
+
+def spc_by_chamber(tables: Tables, metric: str = "CD") -> DataFrame:
+    """Centre and sigma of one metric over the wafers that ran in each chamber, highest centre first.
+
+    A wafer's readings count once for every chamber it ran in. Pairs are made distinct and readings summed per wafer
+    before they meet.
+    """
+    per_wafer = _sums_by_wafer(readings(tables, "wafer_id").filter(F.col("metric_type") == metric))
+    runs = tables["process_runs"].filter(F.col("chamber_id").isNotNull())
+    per_chamber = (
+        runs.select("wafer_id", "chamber_id")
+        .distinct()
+        .join(per_wafer, "wafer_id")
+        .groupBy("chamber_id")
+        .agg(F.sum("n").alias("readings"), F.sum("total").alias("total"), F.sum("squares").alias("squares"))
+    )
+    chambers = tables["chambers"].select("chamber_id", "tool_id", "chamber_code")
+    tools = tables["tools"].select("tool_id", "tool_code")
+    return (
+        per_chamber.join(chambers, "chamber_id")
+        .join(tools, "tool_id")
+        .select(
+            "tool_code",
+            "chamber_code",
+            "readings",
+            mean_of_sums(F.col("total"), F.col("readings"), 4).cast(READING).alias("center_line_cd"),
+            sigma_of_reading_sums(F.col("readings"), F.col("total"), F.col("squares")).cast(READING).alias("sigma"),
+        )
+        .orderBy(F.desc("center_line_cd"), "tool_code", "chamber_code")
+    )
+
+
+def spc_run_rules(tables: Tables, length: int = 8) -> DataFrame:
+    """Runs of ``length`` or more consecutive readings on one side of their metric's centre line, per tool and metric.
+
+    Readings follow each other by time, id and value; one on the rounded centre line ends a run. Days are searched apart, and
+    only the first and last run of each day are then joined to their neighbours, so that no tool or metric
+    is put in order in one task.
+    """
+    measured = readings(tables, "tool_id").select("measurement_id", "tool_id", "metric_type", "value", "measured_at")
+    centers = tables["metrology_measurements"].groupBy("metric_type").agg(_center())
+    side = F.signum(F.col("value") - F.col("center_line")).cast("int")
+    sided = measured.join(centers, "metric_type").select(
+        "tool_id", "metric_type", F.to_date("measured_at").alias("day"), "measured_at", "measurement_id", "value", side.alias("side")
+    )
+    day = ["tool_id", "metric_type", "day"]
+    order = Window.partitionBy(*day).orderBy("measured_at", "measurement_id", "value")
+    same = Window.partitionBy(*day, "side").orderBy("measured_at", "measurement_id", "value")
+    runs = (
+        sided.withColumn("place", F.row_number().over(order))
+        .withColumn("run", F.col("place") - F.row_number().over(same))
+        .groupBy(*day, "side", "run")
+        .agg(F.count(F.lit(1)).alias("held"), F.min("place").alias("first"), F.max("place").alias("last"))
+    )
+    ends = runs.withColumn("most", F.max("last").over(Window.partitionBy(*day)))
+    begins, closes = F.col("first") == 1, F.col("last") == F.col("most")
+    inner = ends.filter(~begins & ~closes).select("tool_id", "metric_type", "side", "held")
+    # At most two rows per day: a run goes on where it begins a day and the run before it, which closed one, is on its side.
+    along = Window.partitionBy("tool_id", "metric_type").orderBy("day", "first")
+    goes_on = (F.col("first") == 1) & (F.lag("side").over(along) == F.col("side")) & (F.lag("closes").over(along))
+    outer = (
+        ends.filter(begins | closes)
+        .withColumn("closes", closes)
+        .withColumn("fresh", F.when(goes_on, 0).otherwise(1))
+        .withColumn("chain", F.sum("fresh").over(along))
+        .groupBy("tool_id", "metric_type", "side", "chain")
+        .agg(F.sum("held").alias("held"))
+        .drop("chain")
+    )
+    long = F.when((F.col("side") != 0) & (F.col("held") >= length), F.col("held"))
+    return (
+        inner.unionByName(outer)
+        .groupBy("tool_id", "metric_type")
+        .agg(
+            F.sum("held").alias("readings"),
+            F.count(long).alias("runs"),
+            F.coalesce(F.sum(long), F.lit(0)).alias("readings_in_runs"),
+            F.max(F.when(F.col("side") != 0, F.col("held"))).alias("longest_run"),
+        )
+        .join(tables["tools"].select("tool_id", "tool_code"), "tool_id")
+        .select("tool_code", "metric_type", "readings", "runs", "readings_in_runs", "longest_run")
+        .orderBy("tool_code", "metric_type")
+    )
+
+
+def capability(tables: Tables) -> DataFrame:
+    """Readings out of specification, Cp and Cpk per metric and pair of specification limits.
+
+    Cp compares the width of the specification with six sigma, Cpk the distance of the mean from its nearer limit with
+    three. NULL where sigma is, or is zero. Readings without both limits are left out.
+    """
+    limited = tables["metrology_measurements"].filter(F.col("spec_low").isNotNull() & F.col("spec_high").isNotNull())
+    outside = (F.col("value") < F.col("spec_low")) | (F.col("value") > F.col("spec_high"))
+    stats = limited.groupBy("metric_type", "spec_low", "spec_high").agg(
+        F.count(F.lit(1)).alias("readings"),
+        count_if(outside).alias("out_of_spec"),
+        F.avg("value").alias("mu"),
+        F.stddev_samp("value").alias("sg"),
+    )
+    sigma = F.nullif(F.col("sg"), F.lit(0.0))
+    nearer = F.least(F.col("spec_high") - F.col("mu"), F.col("mu") - F.col("spec_low"))
+    return stats.select(
+        "metric_type",
+        "spec_low",
+        "spec_high",
+        "readings",
+        "out_of_spec",
+        pct(F.col("out_of_spec"), F.col("readings")).alias("out_of_spec_pct"),
+        ((F.col("spec_high") - F.col("spec_low")) / (sigma * 6)).cast("decimal(12,3)").alias("cp"),
+        (nearer / (sigma * 3)).cast("decimal(12,3)").alias("cpk"),
+    ).orderBy("metric_type", "spec_low", "spec_high")

@@ -7,26 +7,24 @@ from pyspark.sql import DataFrame, functions as F
 from waferscope.operators.cohort import Tables
 
 
-def wafer_map(tables: Tables, tile: int = 64) -> DataFrame:
-    """Each wafer's dies as an array of ``(die_x, die_y, is_pass, tests)`` in grid order.
-
-    A wafer is one row as long as its grid fits in a ``tile`` by ``tile`` square; a wider grid gives
-    one row per square. Repeated results at a site are counted first, so an array never holds more
-    than two entries per site however many rows a wafer has, and no result is dropped.
-    """
+def wafer_sites(tables: Tables) -> DataFrame:
+    """Results per wafer, site and outcome: ``wafer_id, die_x, die_y, is_pass, tests``. The map in long form, for wafers
+    with more sites than one row should hold."""
     codes = tables["bin_codes"].select("bin_code_id", "is_pass")
-    sites = (
+    return (
         tables["bin_results"]
         .join(codes, "bin_code_id")
         .groupBy("wafer_id", "die_x", "die_y", "is_pass")
         .agg(F.count(F.lit(1)).alias("tests"))
     )
-    return (
-        sites.groupBy(
-            "wafer_id",
-            F.floor(F.col("die_x") / tile).cast("int").alias("tile_x"),
-            F.floor(F.col("die_y") / tile).cast("int").alias("tile_y"),
-        )
-        .agg(F.sort_array(F.collect_list(F.struct("die_x", "die_y", "is_pass", "tests"))).alias("dies"))
-        .select("wafer_id", "tile_x", "tile_y", "dies")
+
+
+def wafer_map(tables: Tables) -> DataFrame:
+    """One row per wafer: its dies as an array of ``(die_x, die_y, is_pass, tests)`` in grid order.
+
+    Repeated results at a site are counted first, so an array holds two entries per site of its grid at most,
+    however many rows a wafer has.
+    """
+    return wafer_sites(tables).groupBy("wafer_id").agg(
+        F.sort_array(F.collect_list(F.struct("die_x", "die_y", "is_pass", "tests"))).alias("dies")
     )

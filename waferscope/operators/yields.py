@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from waferscope.functions.decimals import count_if, pct
 from waferscope.operators.cohort import Tables
+from waferscope.operators.shaping import GRID_SIDE, radial_zone
 
 
 def wafer_yield(tables: Tables) -> DataFrame:
-    """Yield of every wafer that has tested dies. ``yield_pct`` is rounded here, before anything averages it."""
+    """Yield of every wafer that has tested dies. ``yield_pct`` is rounded here, before anything averages it.
+
+    Tables that hold it already, as ``v_wafer_yield``, are read instead of the dies.
+    """
+    if "v_wafer_yield" in tables:
+        return tables["v_wafer_yield"]
     codes = tables["bin_codes"].select("bin_code_id", "is_pass")
     return (
         tables["bin_results"]
@@ -84,3 +90,16 @@ def yield_by_tool(tables: Tables) -> DataFrame:
         .select("tool_code", "tool_type", "wafers_touched", _weighted_yield())
         .orderBy("yield_pct", "tool_code")
     )
+
+
+def yield_by_zone(tables: Tables, side: int = GRID_SIDE) -> DataFrame:
+    """Yield of the center, mid and edge of the die grid, best first."""
+    codes = tables["bin_codes"].select("bin_code_id", "is_pass")
+    sites = tables["bin_results"].select("bin_code_id", "die_x", "die_y").join(codes, "bin_code_id")
+    return (
+        radial_zone(sites, side)
+        .groupBy("zone")
+        .agg(F.count(F.lit(1)).alias("total_dies"), count_if(F.col("is_pass")).alias("pass_dies"))
+        .select("zone", "total_dies", "pass_dies", _weighted_yield())
+        .orderBy(F.desc("yield_pct"), "zone")
+    )

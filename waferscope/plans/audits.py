@@ -1,11 +1,14 @@
 """Contract audits: what a database would refuse on insert, counted.
 
-Every audit groups a table by the audited key first, so a key that holds a large part of a table costs
-one row in the joins that follow.
+Audits walk the contract, not the tables they are given: a table, key or required column that is not there is
+reported, never passed over. Keys and links of a table are all answered from one scan of it: each row gives an entry with the
+hashed key for each question, entries are counted per key before anything is joined, and a key that holds a large
+part of a table costs one row in what follows.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,82 +17,151 @@ from waferscope.operators.cohort import Tables
 from waferscope.sources.contract import TABLES, Field, Rule, Table
 from waferscope.sources.inline import inline_rows
 
+# Status words that reports are read by.
+PASS, CHECK = "PASS", "**CHECK**"
+
+
+@dataclass(frozen=True)
+class Question:
+    """Are these columns unique, or, with a parent, do they all point at one?"""
+
+    number: int
+    table: str
+    columns: tuple[str, ...]
+    primary: bool = False
+    parent: str | None = None
+
+    @property
+    def text(self) -> str:
+        return ", ".join(self.columns)
+
+    def can_be_asked(self, tables: Tables) -> bool:
+        there = self.table in tables and set(self.columns) <= set(tables[self.table].columns)
+        return there and (not self.parent or self.parent in tables and TABLES[self.parent].key in tables[self.parent].columns)
+
+
+def _all_questions() -> list[Question]:
+    keys = [(t.name, (t.key,), True, None) for t in TABLES.values()]
+    unique = [(t.name, columns, False, None) for t in TABLES.values() for columns in t.unique]
+    links = [(t.name, (link.column,), False, link.parent) for t in TABLES.values() for link in t.links]
+    return [Question(number, *rest) for number, rest in enumerate([*keys, *unique, *links])]
+
+
+QUESTIONS = _all_questions()
+
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _audited(tables: Tables) -> list[Table]:
-    return [table for name, table in TABLES.items() if name in tables]
+def _spark(tables: Tables) -> SparkSession:
+    return next(iter(tables.values())).sparkSession
 
 
-def _or_zero(total: Column) -> Column:
-    return F.coalesce(total, F.lit(0)).cast("long")
+def _entry(number: int, columns: tuple[str, ...], found: Column | int = 0) -> Column:
+    """A question's entry for one row: the key as two hashes of its text, NULL where a part of it is missing."""
+    texts = [F.col(c).cast("string") for c in columns]
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]) if columns else F.lit(True)
+    first, second = F.xxhash64(*texts, F.lit(0)), F.xxhash64(F.lit(number % 7 if not columns else 1), *texts)
+    return F.struct(
+        F.lit(number).alias("question"),
+        F.when(whole, first).alias("key"),
+        F.when(whole, second).alias("more"),
+        (found if isinstance(found, Column) else F.lit(found)).cast("long").alias("found"),
+    )
 
 
-def _key_audit(tables: Tables, table: Table, key: tuple[str, ...]) -> DataFrame:
-    """Rows that are surplus for their key, plus rows with a NULL in it."""
-    incomplete = reduce(lambda a, b: a | b, [F.col(column).isNull() for column in key])
-    bad = F.when(incomplete, F.col("held")).otherwise(F.col("held") - 1)
+def _counted(tables: Tables, asked: list[Question], rows_of: list[Table]) -> DataFrame:
+    """``question, key, more, held, found`` from one scan of each table. The rows of a table and what is wrong within them
+    are a question too, numbered below zero."""
+    parts = []
+    for place, table in enumerate(TABLES.values()):
+        entries = [_entry(q.number, q.columns) for q in asked if q.table == table.name]
+        if table in rows_of:
+            entries.append(_entry(-1 - place, (), _wrong_in_row(tables, table)))
+        if entries:
+            parts.append(tables[table.name].select(F.inline(F.array(*entries))))
     return (
-        tables[table.name]
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("held"))
-        .agg(_or_zero(F.sum(bad)).alias("bad_rows"))
-        .select(F.lit(table.name).alias("table_name"), F.lit(", ".join(key)).alias("key"), "bad_rows")
+        _union(parts)
+        .groupBy("question", "key", "more")
+        .agg(F.count(F.lit(1)).alias("held"), F.sum("found").alias("found"))
     )
 
 
-def pk_audit(tables: Tables) -> DataFrame:
-    return _union([_key_audit(tables, table, (table.key,)) for table in _audited(tables)])
+def _parents(tables: Tables, asked: list[Question]) -> DataFrame:
+    """The keys that each link may point at, from one scan of each parent."""
+    parts = []
+    for parent in dict.fromkeys(q.parent for q in asked):
+        entries = [_entry(q.number, (TABLES[parent].key,)) for q in asked if q.parent == parent]
+        parts.append(tables[parent].select(F.inline(F.array(*entries))).select("question", "key", "more"))
+    return _union(parts)
+
+
+def _answers(tables: Tables, asked: list[Question], rows_of: list[Table] = ()) -> DataFrame:
+    """``question, held, bad``: for keys the rows that are surplus or incomplete, for links the rows without a parent."""
+    links = [q for q in asked if q.parent]
+    counted = _counted(tables, asked, list(rows_of))
+    is_link = F.col("question").isin(*[q.number for q in links]) if links else F.lit(False)
+    bad = F.when(F.col("question") < 0, F.col("found")).when(F.col("key").isNull(), F.col("held")).otherwise(F.col("held") - 1)
+    wrong = counted.filter(~is_link).select("question", "held", bad.alias("bad"))
+    if links:
+        orphans = counted.filter(is_link & F.col("key").isNotNull()).join(
+            _parents(tables, links), ["question", "key", "more"], "left_anti"
+        )
+        wrong = wrong.unionByName(orphans.select("question", "held", F.col("held").alias("bad")))
+    return wrong.groupBy("question").agg(F.sum("held").alias("held"), F.sum("bad").alias("bad"))
 
 
-def unique_audit(tables: Tables) -> DataFrame:
-    return _union([_key_audit(tables, table, key) for table in _audited(tables) for key in table.unique])
+def _reported(tables: Tables, wanted: list[Question]) -> DataFrame:
+    """``question, bad`` for every question wanted; NULL where it could not be asked."""
+    asked = [q for q in wanted if q.can_be_asked(tables)]
+    listed = inline_rows(
+        _spark(tables),
+        "question int, asked boolean, table_name string, key string, parent_table string",
+        [(q.number, q in asked, q.table, q.text, q.parent) for q in wanted],
+    )
+    if not asked:
+        return listed.withColumn("bad", F.lit(None).cast("long"))
+    answers = _answers(tables, asked).select("question", "bad")
+    found = F.when(F.col("asked"), F.coalesce("bad", F.lit(0).cast("long")))
+    return listed.join(answers, "question", "left").withColumn("bad", found)
 
 
-def fk_audit(tables: Tables) -> DataFrame:
-    """Rows whose link points at no parent. A NULL link passes."""
+def _key_audit(tables: Tables, wanted: list[Question]) -> DataFrame:
+    return _reported(tables, wanted).select("table_name", "key", F.col("bad").alias("bad_rows"))
 
-    def orphans(table: Table, column: str, parent: str) -> DataFrame:
-        parent_key = TABLES[parent].key
-        used = (
-            tables[table.name].filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("held"))
-        )
-        known = tables[parent].select(F.col(parent_key).alias(column))
-        return (
-            used.join(known, column, "left_anti")
-            .agg(_or_zero(F.sum("held")).alias("orphans"))
-            .select(
-                F.lit(_link_name(table.name, column)).alias("fk_name"),
-                F.lit(table.name).alias("child_table"),
-                F.lit(parent).alias("parent_table"),
-                "orphans",
-            )
-        )
 
-    return _union(
-        [orphans(table, link.column, link.parent) for table in _audited(tables) for link in table.links]
-    )
+def pk_audit(tables: Tables) -> DataFrame:
+    """Rows that are surplus for their primary key or lack it; NULL where the table or its key is absent."""
+    return _key_audit(tables, [q for q in QUESTIONS if q.primary])
+
+
+def unique_audit(tables: Tables) -> DataFrame:
+    """Rows that are surplus for a unique key or lack part of it; NULL where the table or a column is absent."""
+    return _key_audit(tables, [q for q in QUESTIONS if not q.primary and not q.parent])
 
 
-def _link_name(child: str, column: str) -> str:
-    return f"{child}.{column}"
+def fk_audit(tables: Tables) -> DataFrame:
+    """Rows whose link points at no parent. A NULL link passes; NULL where either table or the column is absent."""
+    return _reported(tables, [q for q in QUESTIONS if q.parent]).select(
+        F.concat_ws(".", "table_name", "key").alias("fk_name"),
+        F.col("table_name").alias("child_table"),
+        "parent_table",
+        F.col("bad").alias("orphans"),
+    )
 
 
-def _broken(rule: Rule) -> Column:
-    """Rows that break a value rule; a rule that comes out NULL passes."""
-    return F.count(F.when(~F.expr(rule.holds), F.lit(1)))
+def _breaks(rule: Rule) -> Column:
+    """Whether a row breaks a value rule; a rule that comes out NULL passes."""
+    return F.coalesce(~F.expr(rule.holds), F.lit(False))
 
 
-def _nulls(f: Field) -> Column:
-    return F.count(F.when(F.col(f.name).isNull(), F.lit(1))) if f.required else F.lit(0).cast("long")
+def _is_null(f: Field) -> Column:
+    return F.col(f.name).isNull() if f.required else F.lit(False)
 
 
-def _too_long(f: Field) -> Column:
-    if not f.max_length:
-        return F.lit(0).cast("long")
-    return F.count(F.when(F.length(f.name) > f.max_length, F.lit(1)))
+def _is_too_long(f: Field) -> Column:
+    return F.coalesce(F.length(f.name) > f.max_length, F.lit(False)) if f.max_length else F.lit(False)
 
 
 def _watched(tables: Tables, table: Table) -> list[Field]:
@@ -97,88 +169,127 @@ def _watched(tables: Tables, table: Table) -> list[Field]:
     return [f for f in table.fields if f.name in present and (f.required or f.max_length)]
 
 
-def check_audit(tables: Tables) -> DataFrame:
-    """Rows that break a value rule. A rule that comes out NULL passes."""
-    return _union(
-        [
-            tables[table.name]
-            .agg(_broken(rule).alias("violations"))
-            .select(
-                F.lit(rule.name).alias("check_name"), F.lit(table.name).alias("table_name"), "violations"
-            )
-            for table in _audited(tables)
-            for rule in table.rules
-        ]
-    )
+def _absent(tables: Tables, table: Table) -> list[str]:
+    """The required columns that a table lacks."""
+    present = set(tables[table.name].columns) if table.name in tables else set()
+    return [f.name for f in table.fields if f.required and f.name not in present]
 
 
-def not_null_audit(tables: Tables) -> DataFrame:
-    """Missing values in required columns and texts longer than declared, in one scan per table."""
+def _rules(tables: Tables, table: Table) -> list[Rule]:
+    """The rules of a table that has the columns they speak of."""
+    names = {f.name for f in table.fields} - set(tables[table.name].columns)
+    return [rule for rule in table.rules if not any(name in rule.holds.split() for name in names)]
 
-    def one(table: Table) -> DataFrame:
-        counts = [
-            F.struct(F.lit(f.name).alias("column"), _nulls(f).alias("nulls"), _too_long(f).alias("too_long"))
-            for f in _watched(tables, table)
-        ]
-        return (
-            tables[table.name]
-            .agg(F.array(*counts).alias("found"))
-            .select(F.lit(table.name).alias("table_name"), F.inline("found"))
-        )
 
-    return _union([one(table) for table in _audited(tables)])
+def _wrong_in_row(tables: Tables, table: Table) -> Column:
+    """How many values of a row are missing, too long or against a rule."""
+    faults = [check(f) for f in _watched(tables, table) for check in (_is_null, _is_too_long)]
+    faults += [_breaks(rule) for rule in _rules(tables, table)]
+    return reduce(lambda a, b: a + b, [fault.cast("int") for fault in faults], F.lit(0))
 
 
-def _row_audit(tables: Tables, table: Table) -> DataFrame:
-    """Rows and all row-level violations of a table in one scan: values missing, texts too long, rules broken."""
-    found = [_nulls(f) + _too_long(f) for f in _watched(tables, table)] + [_broken(rule) for rule in table.rules]
-    return (
-        tables[table.name]
-        .agg(F.count(F.lit(1)).alias("rows"), reduce(lambda a, b: a + b, found).alias("found"))
-        .select(F.lit(table.name).alias("table_name"), "rows", "found")
-    )
+def check_audit(tables: Tables) -> DataFrame:
+    """Rows that break a value rule; NULL where the table or a column of the rule is absent."""
+
+    def one(table: Table, rule: Rule) -> DataFrame:
+        names = [F.lit(rule.name).alias("check_name"), F.lit(table.name).alias("table_name")]
+        if table.name not in tables or rule not in _rules(tables, table):
+            return inline_rows(_spark(tables), "violations bigint", [(None,)]).select(*names, "violations")
+        broken = F.count(F.when(_breaks(rule), F.lit(1)))
+        return tables[table.name].agg(broken.alias("violations")).select(*names, "violations")
+
+    return _union([one(table, rule) for table in TABLES.values() for rule in table.rules])
 
 
-def contract_links(spark: SparkSession) -> DataFrame:
-    """Every declared link, child to parent."""
-    rows = [
-        (_link_name(table.name, link.column), table.name, link.parent)
-        for table in TABLES.values()
-        for link in table.links
-    ]
-    return inline_rows(spark, "fk_name string, child_table string, parent_table string", rows)
+def not_null_audit(tables: Tables) -> DataFrame:
+    """Missing values in required columns and texts longer than declared, in one scan per table.
+
+    A required column that is not there has ``present`` false and no counts.
+    """
+
+    def one(table: Table) -> list[DataFrame]:
+        absent = [(table.name, name, False, None, None) for name in _absent(tables, table)]
+        schema = "table_name string, column string, present boolean, nulls bigint, too_long bigint"
+        parts = [inline_rows(_spark(tables), schema, absent)] if absent else []
+        if table.name in tables:
+            counts = [
+                F.struct(
+                    F.lit(f.name).alias("column"),
+                    F.lit(True).alias("present"),
+                    F.count(F.when(_is_null(f), F.lit(1))).alias("nulls"),
+                    F.count(F.when(_is_too_long(f), F.lit(1))).alias("too_long"),
+                )
+                for f in _watched(tables, table)
+            ]
+            scanned = tables[table.name].agg(F.array(*counts).alias("found"))
+            parts.append(scanned.select(F.lit(table.name).alias("table_name"), F.inline("found")))
+        return parts
+
+    return _union([part for table in TABLES.values() for part in one(table)])
+
+
+def contract_links(tables: Tables) -> DataFrame:
+    """Every declared link, child to parent, and how many rows use it; NULL where the child or the column is absent."""
 
+    def one(table: Table) -> DataFrame:
+        present = set(tables[table.name].columns) if table.name in tables else set()
+        counts = [
+            F.struct(
+                F.lit(f"{table.name}.{link.column}").alias("fk_name"),
+                F.lit(link.parent).alias("parent_table"),
+                (F.count(link.column) if link.column in present else F.lit(None).cast("long")).alias("rows"),
+            )
+            for link in table.links
+        ]
+        scanned = (tables[table.name] if present else _spark(tables).range(0)).agg(F.array(*counts).alias("found"))
+        return scanned.select(F.lit(table.name).alias("child_table"), F.inline("found"))
 
-def _keyed(audit: DataFrame, name: str, found: str) -> DataFrame:
-    """Key and link findings in the shape of ``_row_audit``; they add no rows."""
-    return audit.select(
-        F.col(name).alias("table_name"), F.lit(0).cast("long").alias("rows"), F.col(found).alias("found")
+    return _union([one(table) for table in TABLES.values() if table.links]).select(
+        "fk_name", "child_table", "parent_table", "rows"
     )
 
 
 def contract_summary(tables: Tables) -> DataFrame:
-    """Rows, declared links and violations per table, and their totals in a last row."""
-    spark = next(iter(tables.values())).sparkSession
-    found = _union(
-        [
-            *[_row_audit(tables, table) for table in _audited(tables)],
-            _keyed(pk_audit(tables), "table_name", "bad_rows"),
-            _keyed(unique_audit(tables), "table_name", "bad_rows"),
-            _keyed(fk_audit(tables), "child_table", "orphans"),
-        ]
+    """Tables that are there, declared links between them, rows, violations and a verdict, per table and in a last row.
+
+    An absent table or required column is a violation; a table's rows are then NULL. The last row passes only with all
+    tables and links of the contract and no violation. Each table is scanned once, and once more if links point at it.
+    """
+    present = [table for table in TABLES.values() if table.name in tables]
+    asked = [q for q in QUESTIONS if q.can_be_asked(tables)]
+    answers = _answers(tables, asked, present)
+    owners = [(q.number, q.table, False) for q in asked]
+    owners += [(-1 - place, table.name, True) for place, table in enumerate(TABLES.values())]
+    owner = inline_rows(_spark(tables), "question int, table_name string, is_rows boolean", owners)
+    found = (
+        answers.join(owner, "question")
+        .groupBy("table_name")
+        .agg(F.sum(F.when(F.col("is_rows"), F.col("held"))).alias("rows"), F.sum("bad").alias("bad"))
     )
     declared = inline_rows(
-        spark,
-        "table_name string, tables bigint, links bigint",
-        [(table.name, 1, len(table.links)) for table in _audited(tables)],
+        _spark(tables),
+        "table_name string, tables bigint, links bigint, missing bigint",
+        [
+            (
+                table.name,
+                int(table in present),
+                sum(q.table == table.name and q.parent is not None for q in asked),
+                len(_absent(tables, table)) if table in present else 1,
+            )
+            for table in TABLES.values()
+        ],
     )
-    per_table = (
-        found.groupBy("table_name")
-        .agg(F.sum("rows").alias("rows"), F.sum("found").alias("violations"))
-        .join(declared, "table_name")
-        .select("table_name", "tables", "links", "rows", "violations")
+    is_there = F.col("tables") == 1
+    per_table = declared.join(found, "table_name", "left").select(
+        "table_name",
+        "tables",
+        "links",
+        F.when(is_there, F.coalesce("rows", F.lit(0).cast("long"))).alias("rows"),
+        (F.col("missing") + F.coalesce("bad", F.lit(0))).alias("violations"),
     )
-    totals = per_table.agg(
-        *[F.sum(column).alias(column) for column in ("tables", "links", "rows", "violations")]
-    ).select(F.lit("(all)").alias("table_name"), "*")
-    return per_table.unionByName(totals)
+    sums = [F.sum(column).alias(column) for column in ("tables", "links", "rows", "violations")]
+    totals = per_table.agg(*sums).select(F.lit("(all)").alias("table_name"), "*")
+    links = sum(len(table.links) for table in TABLES.values())
+    complete = (F.col("tables") == len(TABLES)) & (F.col("links") == links)
+    status = F.when((F.col("violations") == 0) & ((F.col("table_name") != "(all)") | complete), PASS).otherwise(CHECK)
+    return per_table.unionByName(totals).withColumn("status", status)

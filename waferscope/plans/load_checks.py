@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from waferscope.functions.decimals import count_if, mean_of_sums
+from waferscope.functions.decimals import MEAN_COUNT, MEAN_READING, count_if, mean_of_sums
 from waferscope.operators.cohort import Suspect, Tables, cohort_through, flag_cohort
 from waferscope.operators.spc import readings
 
@@ -75,14 +75,14 @@ def metrology_count_check(tables: Tables, expected: int | Column) -> DataFrame:
 
 
 def die_grid_check(tables: Tables, dies_per_wafer: int) -> DataFrame:
-    """The wafers whose die count differs from the grid's; wafers without dies included."""
+    """The wafers whose die count differs from the grid's; wafers without dies included, and all wafers of dies that
+    ``wafers`` does not have."""
     dies = tables["bin_results"].groupBy("wafer_id").agg(F.count(F.lit(1)).alias("dies"))
+    known = tables["wafers"].select("wafer_id", F.lit(True).alias("known"))
     return (
-        tables["wafers"]
-        .select("wafer_id")
-        .join(dies, "wafer_id", "left")
+        known.join(dies, "wafer_id", "full")
+        .filter(F.col("known").isNull() | (F.coalesce("dies", F.lit(0)) != dies_per_wafer))
         .select("wafer_id", F.coalesce("dies", F.lit(0)).alias("dies"))
-        .filter(F.col("dies") != dies_per_wafer)
     )
 
 
@@ -101,7 +101,7 @@ def signal_defects(tables: Tables, suspect: Suspect) -> DataFrame:
     return (
         flag_cohort(per_wafer, cohort_through(tables, suspect))
         .groupBy("in_cohort")
-        .agg(n.alias("wafers"), mean_of_sums(total, n, 1).cast("decimal(6,2)").alias("avg_metric"))
+        .agg(n.alias("wafers"), mean_of_sums(total, n, 1).cast(MEAN_COUNT).alias("avg_metric"))
         .select(F.lit(DEFECT_SIGNAL).alias("signal"), _group(suspect), "wafers", "avg_metric")
     )
 
@@ -132,7 +132,7 @@ def signal_metrology(tables: Tables, suspect: Suspect) -> DataFrame:
     return (
         flag_cohort(per_wafer, cohort_through(tables, suspect))
         .groupBy("metric_type", "in_cohort")
-        .agg(n.alias("readings"), mean_of_sums(total, n, 4).cast("decimal(8,3)").alias("avg_metric"))
+        .agg(n.alias("readings"), mean_of_sums(total, n, 4).cast(MEAN_READING).alias("avg_metric"))
         .select(F.concat(F.lit(METRIC_SIGNAL), "metric_type").alias("signal"), _group(suspect), "readings", "avg_metric")
         .orderBy("signal", "grp")
     )

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from waferscope.operators.cohort import Tables
-from waferscope.operators.defects import wafer_defects
-from waferscope.operators.yields import wafer_yield
 from waferscope.sources.contract import TABLES
 from waferscope.sources.inline import inline_rows
-
-BASE_VIEWS = {"v_wafer_yield": wafer_yield, "v_wafer_defects": wafer_defects}
+from waferscope.sources.parquet import MEASURES as BASE_VIEWS
 
 
 def register_views(tables: Tables) -> None:
@@ -23,7 +22,13 @@ def register_views(tables: Tables) -> None:
 
 
 def views_check(spark: SparkSession) -> DataFrame:
-    """``object_name, status``: whether each base view is there."""
-    rows = [(name, spark.catalog.tableExists(name)) for name in BASE_VIEWS]
-    found = inline_rows(spark, "object_name string, present boolean", rows)
-    return found.select("object_name", F.when(F.col("present"), "PASS").otherwise("**CHECK**").alias("status"))
+    """``object_name, status, rows``: whether each base view is there, and its rows."""
+
+    def one(name: str) -> DataFrame:
+        if spark.catalog.tableExists(name):
+            return spark.table(name).agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(name).alias("object_name"), F.lit("PASS").alias("status"), "rows"
+            )
+        return inline_rows(spark, "object_name string, status string, rows bigint", [(name, "**CHECK**", None)])
+
+    return reduce(DataFrame.unionByName, [one(name) for name in BASE_VIEWS])

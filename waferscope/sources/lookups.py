@@ -64,7 +64,22 @@ BIN_CODES = [
 ]
 
 # Chambers per multi-chamber tool; every other tool runs without one.
-CHAMBERS = {"ETCH-01": "ABC", "ETCH-02": "ABC", "ETCH-03": "AB", "DEP-01": "ABCD", "DEP-02": "AB"}
+CHAMBERS = [
+    ("ETCH-01", "A"),
+    ("ETCH-01", "B"),
+    ("ETCH-01", "C"),
+    ("ETCH-02", "A"),
+    ("ETCH-02", "B"),
+    ("ETCH-02", "C"),
+    ("ETCH-03", "A"),
+    ("ETCH-03", "B"),
+    ("DEP-01", "A"),
+    ("DEP-01", "B"),
+    ("DEP-01", "C"),
+    ("DEP-01", "D"),
+    ("DEP-02", "A"),
+    ("DEP-02", "B"),
+]
 
 
 def _numbered(rows: list[tuple]) -> list[tuple]:
@@ -105,6 +120,4 @@ def bin_codes(spark: SparkSession) -> DataFrame:
 
 def chamber_codes(spark: SparkSession) -> DataFrame:
     """Chambers named by their tool's code; ``operators.shaping.resolve_keys`` finds the tool id."""
-    rows = [(tool, letter) for tool, letters in CHAMBERS.items() for letter in letters]
-    schema = "chamber_id int, tool_code string, chamber_code string"
-    return inline_rows(spark, schema, _numbered(rows))
+    return inline_rows(spark, "chamber_id int, tool_code string, chamber_code string", _numbered(CHAMBERS))

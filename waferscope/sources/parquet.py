@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import tempfile
+import uuid
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from waferscope.operators.defects import wafer_defects
+from waferscope.operators.yields import wafer_yield
 from waferscope.sources.contract import TABLES, conform
 from waferscope.sources.lazy import LazyTables
 
@@ -17,6 +21,9 @@ CLUSTERED_BY = {
     "defect_inspections": ("wafer_id",),
 }
 
+# The base measures, under the names of their views.
+MEASURES = {"v_wafer_yield": wafer_yield, "v_wafer_defects": wafer_defects}
+
 
 def read_fab(spark: SparkSession, folder: str) -> LazyTables:
     """The twelve tables under ``folder``. The contract gives the schema, so no footer is read for it."""
@@ -44,23 +51,18 @@ def write_fab(tables: Mapping[str, DataFrame], folder: str) -> None:
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
-def _is_even(df: DataFrame, key: str, buckets: int) -> bool:
-    """Whether no single key holds more rows than an even bucket would. Runs one job."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("held"))
-    found = per_key.agg(F.max("held").alias("most"), F.sum("held").alias("rows")).first()
-    return found.rows is None or found.most * buckets <= found.rows
-
-
 def _qualified(spark: SparkSession, name: str) -> str:
     """The catalogue table, not a temporary view of the same name."""
     return f"{spark.catalog.currentDatabase()}.{name}"
 
 
-def save_tables(tables: Mapping[str, DataFrame], folder: str, buckets: int) -> None:
+def save_tables(
+    tables: Mapping[str, DataFrame], folder: str, buckets: int, spread: Collection[str] = ()
+) -> None:
     """Replace catalogue tables kept under ``folder``, with the facts bucketed and sorted by wafer.
 
-    Facts bucketed alike meet on the wafer without a shuffle. A bucket is read by one task, so a fact
-    where one wafer outweighs a bucket is written as ``write_fab`` does, unbucketed.
+    Facts bucketed alike meet on the wafer without a shuffle. A bucket is read by one task, so facts in which
+    a wafer may outweigh a bucket are named in ``spread`` and written as ``write_fab`` does.
     """
     for name in TABLES:
         if name not in tables:
@@ -68,7 +70,7 @@ def save_tables(tables: Mapping[str, DataFrame], folder: str, buckets: int) -> N
         df = conform(tables[name], name)
         target = f"{folder}/{name}"
         keys = CLUSTERED_BY.get(name)
-        if keys and _is_even(df, "wafer_id", buckets):
+        if keys and name not in spread:
             writer = df.repartition(buckets, "wafer_id").write.bucketBy(buckets, "wafer_id").sortBy("wafer_id")
         elif keys:
             writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write
@@ -77,6 +79,27 @@ def save_tables(tables: Mapping[str, DataFrame], folder: str, buckets: int) -> N
         writer.mode("overwrite").option("path", target).saveAsTable(_qualified(df.sparkSession, name))
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder that the whole cluster shares: in spark.checkpoint.dir, or this machine's own where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared.rstrip('/')}/fab-{uuid.uuid4().hex}" if shared else f"file://{tempfile.mkdtemp(prefix='fab-')}"
+
+
+def with_measures(tables: Mapping[str, DataFrame], folder: str) -> LazyTables:
+    """The tables with yield and defects per wafer, computed once, kept under ``folder`` and read from there.
+
+    Every analysis of a report then starts from a row per wafer instead of all dies and defects.
+    """
+    kept = {}
+    for name, measure in MEASURES.items():
+        df = measure(tables)
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        kept[name] = (lambda spark, ddl, path: lambda: spark.read.schema(ddl).parquet(path))(
+            df.sparkSession, df.schema, f"{folder}/{name}"
+        )
+    return LazyTables({**{name: lambda name=name: tables[name] for name in tables}, **kept})
+
+
 def saved_tables(spark: SparkSession) -> LazyTables:
     """The tables ``save_tables`` left in the session's catalogue."""
     return LazyTables({name: lambda name=name: spark.table(_qualified(spark, name)) for name in TABLES})

@@ -37,8 +37,6 @@ SCHEMAS = {
 WAFERS_PER_LOT = 25
 RUN_MINUTES = 20
 UNCHAMBERED_STEP = 2
-# Lot start dates wrap after a century so that a lot number of any size still gives a valid date.
-CALENDAR_DAYS = 36_500
 
 STEP_MODULES = ["Deposition", "CMP", "Implant", "Lithography", "Etch", "Etch", "Metrology"]
 
@@ -124,9 +122,7 @@ def _defect_types(spark: SparkSession) -> DataFrame:
 
 
 def _lots(src: LazyTables) -> DataFrame:
-    return derive_lots(lot_numbers(src["orders"]), node_stride=3, calendar_days=CALENDAR_DAYS).withColumnRenamed(
-        "n", "lot_id"
-    )
+    return derive_lots(lot_numbers(src["orders"]), node_stride=3).withColumnRenamed("n", "lot_id")
 
 
 def _wafers(src: LazyTables) -> DataFrame:
@@ -235,9 +231,15 @@ def _metrology(lines: DataFrame, events: DataFrame, src: LazyTables, *extra: str
 
 
 def _wafer_of_event(src: LazyTables) -> Column:
-    """Events fall on the first eighth of the wafers, so that some wafers carry many defects."""
-    wafers = src["orders"].agg(F.count(F.lit(1)).alias("wafers")).select(F.expr("wafers div 8")).scalar()
-    return (F.col("event_id") * 37 + F.col("user_id")) % wafers
+    """Events of even ids fall on all wafers alike, the others on every eighth, which thus carry many defects.
+
+    NULL without wafers.
+    """
+    count = src["orders"].agg(F.count(F.lit(1)).alias("wafers"))
+    wafers = count.select(F.nullif("wafers", F.lit(0))).scalar()
+    eighths = count.select(F.nullif(F.expr("(wafers + 7) div 8"), F.lit(0))).scalar()
+    number = F.col("event_id") * 37 + F.col("user_id")
+    return F.when(F.col("event_id") % 2 == 0, number % wafers).otherwise(number % eighths * 8)
 
 
 def _defects(src: LazyTables) -> DataFrame:

@@ -1,9 +1,9 @@
 """Benchmark passages in documents, exact or edited: rare n-gram seeds, then Smith-Waterman alignment of words.
 
 Two scans of the documents, both without a shuffle of texts. The first counts in how many documents each n-gram of the
-benchmark occurs, over all documents. Seeds are then every n-gram that is rare there, and for each stretch of an item the
-rarest one it has, however frequent: a passage that a third of all documents hold still has seeds. The second scan
-looks seeds up and aligns the item with the words around each hit.
+benchmark occurs, over all documents. In the second, a rare n-gram is a seed by itself and a frequent one if another of the same
+item is near it: a common phrase alone starts nothing, and a passage that a third of all documents hold, and whose n-grams are
+thus frequent, still has its seeds. The item is then aligned with the words around its seeds.
 
 The benchmark is taken in blocks of bounded size, so that what is sent to the tasks does not grow with it.
 """
@@ -29,13 +29,15 @@ _TEXT_AT_ONCE = 2_000_000
 class Rules:
     """What counts as a seed and as contamination; lengths are in words.
 
+    An n-gram of seed_words is rare in at most rare_documents documents, or rare_share of them if that is more.
+
     An alignment scores 1 for a matching word and takes off half for a replaced, added or missing one. It counts from
     `share` of the item on, but from `least` words at least (a shorter item: all of it) and from `enough` words always.
     """
 
     seed_words: int = 4
-    stretch: int = 3
-    rare_share: float = 0.001
+    rare_documents: int = 10
+    rare_share: float = 0.0001
     share: float = 0.5
     least: float = 8.0
     enough: float = 13.0
@@ -75,8 +77,8 @@ class Items:
     vocabulary: dict[str, int]
     rules: Rules
     grams: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
-    # For each seed, sorted by key: the item and the place in it.
-    seeds: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+    # For each n-gram of each item, sorted by key: the item, the place in it, and whether it is rare.
+    seeds: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None = None
 
     @staticmethod
     def of(rows: list[tuple[object, str]], rules: Rules) -> Items:
@@ -89,25 +91,17 @@ class Items:
         grams = np.unique(np.concatenate([*keys, np.empty(0, np.uint64)]))
         return Items([i for i, _ in rows], words, vocabulary, rules, grams)
 
-    def choose_seeds(self, documents: np.ndarray, total: int) -> None:
+    def mark_rare(self, documents: np.ndarray, total: int) -> None:
         """documents: in how many documents each of grams occurs, of a total."""
-        keys, items, places = [], [], []
-        for item, words in enumerate(self.words):
-            _, own = _grams(words, self.rules.seed_words)
-            often = documents[np.searchsorted(self.grams, own)]
-            chosen = often <= self.rules.rare_share * total
-            for at in range(0, len(own) - self.rules.stretch + 1):
-                chosen[at + int(np.argmin(often[at : at + self.rules.stretch]))] = True
-            if len(own) < self.rules.stretch:
-                chosen[:] = True
-            place = np.flatnonzero(chosen)
-            keys.append(own[place])
-            items.append(np.full(len(place), item))
-            places.append(place)
-        if keys:
-            key, item, place = (np.concatenate(x) for x in (keys, items, places))
+        found = [_grams(words, self.rules.seed_words) for words in self.words]
+        if found:
+            key = np.concatenate([keys for _, keys in found])
+            place = np.concatenate([at for at, _ in found])
+            item = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
+            often = documents[np.searchsorted(self.grams, key)]
+            rare = often <= max(self.rules.rare_documents, self.rules.rare_share * total)
             order = np.lexsort((place, item, key))
-            self.seeds = key[order], item[order], place[order]
+            self.seeds = key[order], item[order], place[order], rare[order]
 
     def numbered(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of texts, 0 for words no item has and after each text; and where each text begins."""
@@ -142,18 +136,22 @@ class Items:
         each = high - low
         at = np.repeat(at, each)
         seed = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(low, each)
-        item, place = self.seeds[1][seed], self.seeds[2][seed]
+        item, place, rare = (x[seed] for x in self.seeds[1:])
         text = np.searchsorted(starts, at, "right") - 1
         order = np.lexsort((at - place, item, text))
         found = []
-        at, item, place, text = (x[order] for x in (at, item, place, text))
+        at, item, place, rare, text = (x[order] for x in (at, item, place, rare, text))
         cuts = np.flatnonzero((np.diff(text) != 0) | (np.diff(item) != 0)) + 1
         for some in np.split(np.arange(len(at)), cuts) if len(at) else []:
             t, i = int(text[some[0]]), int(item[some[0]])
             words = self.words[i]
             slack = max(8, len(words) // 2)
             best, spans = 0.0, []
-            for a, b in _merged(at[some] - place[some] - slack, len(words) + 2 * slack, starts[t], starts[t + 1] - 1):
+            windows = _merged(at[some] - place[some] - slack, len(words) + 2 * slack, starts[t], starts[t + 1] - 1)
+            for a, b, first, last in windows:
+                near = some[first:last]
+                if not rare[near].any() and len(np.unique(place[near])) < 2:
+                    continue
                 score, start, end = align(numbers[a:b], words)
                 if score >= self.rules.needed(len(words)):
                     best = max(best, score)
@@ -163,15 +161,15 @@ class Items:
         return found
 
 
-def _merged(begins: np.ndarray, length: int, first: int, last: int) -> list[tuple[int, int]]:
-    """Windows from sorted beginnings, clipped and joined where they overlap."""
-    windows: list[tuple[int, int]] = []
-    for begin in begins.tolist():
+def _merged(begins: np.ndarray, length: int, first: int, last: int) -> list[tuple[int, int, int, int]]:
+    """Windows from sorted beginnings, clipped and joined where they overlap, with the beginnings that each holds."""
+    windows: list[tuple[int, int, int, int]] = []
+    for i, begin in enumerate(begins.tolist()):
         a, b = max(begin, int(first)), min(begin + length, int(last))
         if windows and a <= windows[-1][1]:
-            windows[-1] = windows[-1][0], max(b, windows[-1][1])
+            windows[-1] = windows[-1][0], max(b, windows[-1][1]), windows[-1][2], i + 1
         else:
-            windows.append((a, b))
+            windows.append((a, b, i, i + 1))
     return windows
 
 
@@ -231,7 +229,7 @@ def blocks(benchmark: DataFrame, rules: Rules, id_col: str = "item_id", text_col
 
 
 def _with_seeds(docs: DataFrame, text_col: str, items: Items) -> Items:
-    """items, with seeds chosen by how many of all docs have each n-gram."""
+    """items, whose n-grams are marked rare or not by how many of all docs have them."""
 
     def counted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, rows = np.zeros(len(items.grams), np.int64), 0
@@ -251,7 +249,7 @@ def _with_seeds(docs: DataFrame, text_col: str, items: Items) -> Items:
             total = row.docs
         else:
             documents[row.gram] = row.docs
-    items.choose_seeds(documents, total)
+    items.mark_rare(documents, total)
     return items
 
 

@@ -121,20 +121,24 @@ LAYOUTS = (
 
 
 def with_turns(records: DataFrame, record_col: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """records with `layout`, the name of the layout that the record's fingerprint selects, and `turns`.
+    """records with `layout`, the name of the layout that the record's fingerprint selects, and `turns`; columns of those
+    names are replaced.
 
     A record that is null or has a fingerprint of no layout keeps its row, with a null layout and null turns. Repeated rows keep
     a row each. No rows: no rows.
     """
-    mark = F.col("_fingerprint")
+    mark_name = "_fingerprint"
+    while mark_name in {c.lower() for c in records.columns}:
+        mark_name += "_"
+    mark = F.col(mark_name)
     name = turns = None
     for layout in layouts:
         fits = mark.isin(*[F.xxhash64(F.lit(s)) for s in layout.skeletons()])
         canonical = layout.canonical(F.col(record_col))
         name = F.when(fits, layout.name) if name is None else name.when(fits, layout.name)
         turns = F.when(fits, canonical) if turns is None else turns.when(fits, canonical)
-    marked = records.withColumn("_fingerprint", fingerprint(F.col(record_col)))
-    return marked.withColumns({"layout": name, "turns": turns}).drop("_fingerprint")
+    marked = records.withColumn(mark_name, fingerprint(F.col(record_col)))
+    return marked.withColumns({"layout": name, "turns": turns}).drop(mark_name)
 
 
 def records_of(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:

@@ -24,6 +24,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 REMEMBERED = 400_000
 _LONG = 64
 _ROWS_AT_ONCE = 256
+FEW = 40
 
 
 def has_letter(text: str) -> bool:
@@ -231,15 +232,18 @@ def train(
 ) -> Model | None:
     """A model from about per_language whole texts of each language; None if no row has a language and letters.
 
-    A quarter of the sample is set apart for calibration, the rest gives the counts.
+    A quarter of the sample is set apart for calibration, the rest gives the counts; of a language with fewer than
+    FEW rows, all give counts.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where(
         "lang is not null and text is not null"
     )
-    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), per_language / F.count("*")).alias("share"))
+    share = rows.groupBy("lang").agg(
+        F.least(F.lit(1.0), per_language / F.count("*")).alias("share"), (F.count("*") < FEW).alias("few")
+    )
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)
     sample = rows.join(share, "lang").withColumn("draw", draw).where("draw < share")
-    sample = sample.withColumn("held", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(4)) == 0)
+    sample = sample.withColumn("held", ~F.col("few") & (F.pmod(F.xxhash64("text", F.lit(1)), F.lit(4)) == 0))
 
     def counted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = {}

@@ -186,7 +186,20 @@ def features(hits: Hits, model: Model) -> list[float]:
     wrong = sum(model.fuzzy_weights[t] * n for (t, wrong), n in hits.found.items() if wrong)
     kinds = len({t for t, _ in hits.found})
     total = exact + wrong
-    return [np.log1p(total), np.log1p(100 * total / (hits.words + 20)), float(min(kinds, 8)), np.log1p(hits.words)]
+    return [np.log1p(total), np.log1p(100 * total / (hits.words + 20)), float(min(kinds, 8))]
+
+
+def _rising(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Logistic regression in which no feature counts against toxicity: one that would is left out."""
+    used = np.arange(x.shape[1])
+    while True:
+        fitted = _logistic(x[:, used], y, weight)
+        if (fitted[:-1] >= 0).all():
+            break
+        used = np.delete(used, fitted[:-1].argmin())
+    made = np.zeros(x.shape[1] + 1)
+    made[used], made[-1] = fitted[:-1], fitted[-1]
+    return made
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -341,7 +354,7 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = 16_000, id_co
     x = np.array([features(hits, model) for _, hits in rows])
     y = np.array([label for label, _ in rows], float)
     model.means, model.scales = x.mean(0), np.maximum(x.std(0), 1e-6)
-    model.coefficients = _logistic((x - model.means) / model.scales, y, np.array([weight[int(v)] for v in y]))
+    model.coefficients = _rising((x - model.means) / model.scales, y, np.array([weight[int(v)] for v in y]))
     return model
 
 
@@ -389,7 +402,7 @@ def with_scores(docs: DataFrame, model: Model | None, text_col: str, *keep: Colu
                 if reader:
                     hits = [reader.hits(t or "") for t in batch.column("_text").to_pylist()]
                     made = scores(np.array([features(h, model) for h in hits]), model)
-                    number = np.array([sum(h.found.values()) for h in hits])
+                    number = np.array([sum(h.found.values()) for h in hits], float)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:-1], pa.array(made), pa.array(number)],
                     names=[*batch.schema.names[:-1], "toxicity", "hits"],

@@ -67,9 +67,33 @@ def test_each_audit_counts_its_violation(fab):
         "spec_limits_ordered": 1,
         "size_not_negative": 1,
     }
-    found = {(r[0], r[1]): r[2:] for r in rows(audits.not_null_audit(tables)) if r[2] or r[3]}
+    found = {(r[0], r[1]): r[3:] for r in rows(audits.not_null_audit(tables)) if r[3] or r[4]}
     assert found == {("wafers", "wafer_scribe"): (0, 1), ("defect_inspections", "wafer_id"): (1, 0)}
 
 
-def test_links_are_listed(spark):
-    assert audits.contract_links(spark).count() == 13
+def test_links_are_listed_with_their_use(fab):
+    links = {r.fk_name: r.rows for r in audits.contract_links(clean(fab)).collect()}
+    assert len(links) == 13 and links["process_runs.chamber_id"] == 1
+
+
+def test_absent_tables_and_columns_are_violations(fab):
+    tables = clean(fab)
+    del tables["defects"], tables["tools"]
+    tables["wafers"] = tables["wafers"].drop("slot_no")
+    summary = {r.table_name: r for r in audits.contract_summary(tables).collect()}
+    assert (summary["defects"].tables, summary["defects"].rows, summary["defects"].violations) == (0, None, 1)
+    assert (summary["wafers"].violations, summary["wafers"].status) == (1, "**CHECK**")
+    assert (summary["(all)"].tables, summary["(all)"].links, summary["(all)"].status) == (10, 8, "**CHECK**")
+    assert summary["lots"].status == "PASS"
+    assert {r.table_name: r.bad_rows for r in audits.pk_audit(tables).collect()}["defects"] is None
+    assert {r.key: r.bad_rows for r in audits.unique_audit(tables).collect() if r.table_name == "wafers"} == {"wafer_scribe": 0, "lot_id, slot_no": None}
+    orphans = {r.fk_name: r.orphans for r in audits.fk_audit(tables).collect()}
+    assert len(orphans) == 13 and orphans["chambers.tool_id"] is None and orphans["wafers.lot_id"] == 0
+    assert {r.check_name: r.violations for r in audits.check_audit(tables).collect()}["slot_in_cassette"] is None
+    gaps = {(r.table_name, r.column): r.present for r in audits.not_null_audit(tables).collect()}
+    assert gaps[("wafers", "slot_no")] is False and gaps[("defects", "defect_id")] is False and gaps[("lots", "lot_id")]
+    assert {r.fk_name: r.rows for r in audits.contract_links(tables).collect()}["defects.inspection_id"] is None
+
+
+def test_clean_summary_passes(fab):
+    assert {r.status for r in audits.contract_summary(clean(fab)).collect()} == {"PASS"}

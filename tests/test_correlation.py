@@ -51,12 +51,18 @@ def test_fingerprint(fab):
     ]
 
 
-def test_map_keeps_every_result_and_splits_wide_grids(fab):
+def test_map_keeps_every_result_in_one_row(fab):
     repeated = {"bin_result_id": 9, "wafer_id": 1, "bin_code_id": 1, "die_x": 0, "die_y": 1}
     far = {"bin_result_id": 10, "wafer_id": 1, "bin_code_id": 2, "die_x": 70, "die_y": 1}
     tables = fab(wafers=wafers(1), bin_results=dies(1, 1, 1) + [repeated, far])
-    found = sorted(rows(wafer_map.wafer_map(tables)))
-    assert [(t[:3], [tuple(d) for d in t[3]]) for t in found] == [
-        ((1, 0, 0), [(0, 1, True, 2), (1, 1, False, 1)]),
-        ((1, 1, 0), [(70, 1, False, 1)]),
-    ]
+    (found,) = rows(wafer_map.wafer_map(tables))
+    assert (found[0], [tuple(d) for d in found[1]]) == (1, [(0, 1, True, 2), (1, 1, False, 1), (70, 1, False, 1)])
+
+
+def test_a_wafer_of_many_defects_has_a_band(fab):
+    tables = loaded(fab)
+    spark = tables["defects"].sparkSession
+    tables["defects"] = spark.range(100_000).select(
+        F.col("id").alias("defect_id"), F.lit(1).cast("long").alias("inspection_id"), F.lit(1).cast("long").alias("defect_type_id")
+    )
+    assert rows(correlation.yield_by_defect_band(tables))[1] == ("10+  (very high)", 1, Decimal("50.00"), Decimal("100000.00"))

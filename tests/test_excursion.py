@@ -64,6 +64,21 @@ def test_every_conclusion_holds(excursion):
     assert rows(conclusions.view_totals_check(excursion, 1500))[0][3] == "PASS"
 
 
+def test_stored_measures_give_the_same_report(excursion, tmp_path):
+    from waferscope.sources.parquet import with_measures
+
+    stored = with_measures(excursion, str(tmp_path))
+    report = conclusions.conclusion_report(stored, known_suspect())
+    assert rows(report) == rows(conclusions.conclusion_report(excursion, known_suspect()))
+    assert "bin_results" not in commonality_rank(stored)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_bad_chamber_drifts_and_its_readings_run_on_one_side(excursion):
+    from waferscope.operators.spc import spc_by_chamber
+
+    assert rows(spc_by_chamber(excursion))[0][:2] == ("ETCH-02", "C")
+
+
 def test_fingerprint_and_limits_are_in_the_published_bands(excursion):
     bad, others = rows(cohort_fingerprint(excursion, known_suspect()))
     assert (bad[0], others[0]) == ("ETCH-02/C (bad)", "All others")
@@ -85,5 +100,5 @@ def test_independent_dealing_leaves_no_second_suspect(spark, star_folder):
 def test_investigation_lists_every_analysis(excursion):
     results = investigate(excursion)
     assert list(results)[7] == "commonality_rank"
-    assert len(results) == 13
+    assert len(results) == 19
     assert results["cohort_fingerprint"].columns[0] == "grp"

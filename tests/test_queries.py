@@ -41,7 +41,21 @@ def test_query_matches_its_sql_and_stays_distributed(name, spark, duck, star_fol
     assert sorted(columns) == sorted(df.columns)
     assert found == canonical(columns, oracle.fetchall())
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|ArrowEval|BatchEvalPython", plan)
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|ArrowEval|BatchEvalPython|collect_set", plan)
+
+
+def test_audits_and_checks_find_the_damage(spark, star_folder):
+    for name, column in {
+        "pk_audit": "bad_rows", "fk_audit": "orphans", "check_audit": "violations", "not_null_audit": "nulls", "contract_summary": "violations",
+    }.items():
+        assert QUERIES[name](spark, star_folder).where(f"{column} > 0").count() > 0
+    for name in ("defect_reconcile", "metrology_count_check"):
+        assert QUERIES[name](spark, star_folder).first().status.startswith("**")
+
+
+def test_no_builder_counts_its_input():
+    for path in Path(__file__).resolve().parents[1].glob("waferscope/operators/*.py"):
+        assert ".count()" not in path.read_text() and "collect_set" not in path.read_text()
 
 
 def test_entry_ranks_chambers(spark):

@@ -17,7 +17,7 @@ def test_keys_resolve_by_code_and_leftovers_are_reported(spark):
 
 
 def test_series_lots_and_wafers(spark):
-    numbers = shaping.number_series(spark, 60)
+    numbers = spark.range(1, 61).withColumnRenamed("id", "n")
     lots = shaping.derive_lots(numbers)
     found = {r.n: r for r in lots.collect()}
     assert len(found) == 60
@@ -28,8 +28,13 @@ def test_series_lots_and_wafers(spark):
     assert {w.wafer_scribe for w in made if w.lot_id == 1} >= {"LOT-24001.01", "LOT-24001.25"}
 
 
+def test_start_dates_follow_the_lot_number_without_end(spark):
+    lots = shaping.derive_lots(spark.createDataFrame([(36_500,), (40_000,)], "n long"))
+    assert [r.start_date for r in lots.orderBy("n").collect()] == [date(2123, 12, 8), date(2133, 7, 8)]
+
+
 def test_nodes_can_vary_independently_of_products(spark):
-    lots = shaping.derive_lots(shaping.number_series(spark, 9), node_stride=3)
+    lots = shaping.derive_lots(spark.range(1, 10).withColumnRenamed("id", "n"), node_stride=3)
     assert lots.select("product", "technology_node").distinct().count() == 9
 
 
@@ -73,12 +78,11 @@ def test_catalog_numbers_options_by_code(equipment):
 def route(spark, equipment, count=24):
     made = spark.createDataFrame([(w["wafer_id"], 1) for w in wafers(*range(1, count + 1))], "wafer_id long, lot_id int")
     lots = spark.createDataFrame([(1, date(2024, 1, 5))], "lot_id int, start_date date")
-    return shaping.expand_route({**equipment, "wafers": made, "lots": lots})
+    catalog = shaping.assignment_catalog(equipment, MODULES)
+    return shaping.expand_route({**equipment, "wafers": made, "lots": lots}, catalog)
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_route_is_dealt_evenly_with_and_without_broadcast(spark, equipment, monkeypatch, small):
-    monkeypatch.setattr(shaping, "is_counted_small", lambda keys: small)
+def test_route_is_dealt_evenly(spark, equipment):
     expanded = route(spark, equipment)
     assert expanded.count() == 240
     dealt = shaping.round_robin_assign(expanded, shaping.assignment_catalog(equipment, MODULES)).collect()
@@ -93,46 +97,26 @@ def test_schedule_follows_the_route(spark, equipment):
     assert (first.run_start, first.run_end) == (datetime(2024, 1, 5, 5, 0), datetime(2024, 1, 5, 5, 20))
 
 
-@pytest.mark.parametrize("chunk", [2, 3, 100])
-def test_counts_become_rows_whatever_the_chunk(spark, chunk):
+@pytest.mark.parametrize("size", [2, 3, 100])
+def test_counts_become_rows_whatever_the_ranges(spark, monkeypatch, size):
+    monkeypatch.setattr(shaping, "RANGE_ROWS", size)
     headers = spark.createDataFrame([(1, 0, "a"), (2, 1, "b"), (3, 7, "c"), (4, None, "d")], "inspection_id int, defect_count int, tag string")
-    found = sorted(rows(shaping.explode_counts(headers, chunk).select("inspection_id", "tag", "defect_seq")))
+    found = sorted(rows(shaping.explode_counts(headers).select("inspection_id", "tag", "defect_seq")))
     assert found == [(2, "b", 1)] + [(3, "c", n) for n in range(1, 8)]
 
 
-def test_rolls_pick_categories_by_profile(spark):
-    rolls = spark.range(100).select(F.col("id").alias("roll")).crossJoin(spark.createDataFrame([(True,), (False,)], "is_bad boolean"))
-    found = {(r.is_bad, r.defect_code): r["count"] for r in shaping.weighted_category(rolls).groupBy("is_bad", "defect_code").count().collect()}
-    assert found == {
-        (True, "PART"): 45,
-        (True, "FLAKE"): 25,
-        (True, "BRIDGE"): 12,
-        (True, "RESIDUE"): 9,
-        (True, "SCRATCH"): 9,
-        (False, "PART"): 20,
-        (False, "BRIDGE"): 18,
-        (False, "OPEN"): 16,
-        (False, "RESIDUE"): 14,
-        (False, "VOID"): 12,
-        (False, "CONTAM"): 10,
-        (False, "SCRATCH"): 6,
-        (False, "FLAKE"): 4,
-    }
+def test_a_header_of_many_defects_is_unfolded_whole(spark):
+    made = shaping.explode_counts(spark.createDataFrame([(1, 100_000)], "inspection_id int, defect_count int"))
+    assert made.agg(F.count("*"), F.min("defect_seq"), F.max("defect_seq"), F.countDistinct("defect_seq")).first() == (100_000, 1, 100_000, 100_000)
 
 
 def test_grid_zones(spark):
-    grid = shaping.radial_zone(shaping.die_grid(spark.range(1, 3).withColumnRenamed("id", "wafer_id")))
-    assert grid.count() == 288
-    corner = grid.filter("wafer_id = 1 AND die_x = 1 AND die_y = 12").first()
+    axis = spark.range(1, 13)
+    grid = shaping.radial_zone(axis.selectExpr("CAST(id AS int) AS die_x", "explode(sequence(1, 12)) AS die_y"))
+    corner = grid.filter("die_x = 1 AND die_y = 12").first()
     assert (corner.dist_sq, corner.zone) == (60.5, "edge")
     zones = {r.zone: r["count"] for r in grid.groupBy("zone").count().collect()}
-    assert zones == {"center": 160, "mid": 80, "edge": 48}
-
-
-def test_thresholds_and_fail_bins(spark):
-    cases = [(8, "center", False, 1), (7, "center", False, 2), (13, "edge", False, 8), (14, "edge", False, 1), (19, "edge", True, 7), (10, "mid", False, 5)]
-    df = spark.createDataFrame([c[:3] for c in cases], "roll int, zone string, is_bad boolean")
-    assert [r.bin_number for r in shaping.bin_assign(df).collect()] == [c[3] for c in cases]
+    assert zones == {"center": 80, "mid": 40, "edge": 24}
 
 
 def test_metrics_are_read_only_where_they_apply(spark):
@@ -147,23 +131,9 @@ def test_metrics_are_read_only_where_they_apply(spark):
     assert found == [(1, "CD", Decimal("1.5000"), "nm"), (1, "Overlay", Decimal("1.5000"), "nm"), (2, "Film", Decimal("1.5000"), "A")]
 
 
-def test_inspection_headers_boost_the_cohort(spark, fab):
-    tables = fab(
-        tools=[{"tool_code": "INSP-01"}],
-        lots=[{"lot_number": "L1", "start_date": date(2024, 1, 1)}],
-        wafers=wafers(1, 2),
-    )
-    cohort = spark.createDataFrame([(2,)], "wafer_id long")
-    made = shaping.inspection_header(tables, cohort, "INSP-01", F.lit(4), F.lit(2))
-    assert sorted(rows(made)) == [
-        (1, 1, datetime(2024, 1, 4), "Post-Etch (Metal-1)", 4),
-        (2, 1, datetime(2024, 1, 4), "Post-Etch (Metal-1)", 6),
-    ]
-
-
 def test_an_ambiguous_tool_code_is_an_error(fab):
-    from waferscope.operators.cohort import cohort_through
+    from waferscope.operators.cohort import suspect_tool
 
     tables = fab(tools=[{"tool_code": "E1"}, {"tool_code": "E1"}], wafers=wafers(1))
     with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
-        cohort_through(tables, Suspect.named("E1", "A")).collect()
+        tables["wafers"].select(suspect_tool(tables, Suspect.named("E1", "A"), "tool_id")).collect()

@@ -62,10 +62,10 @@ def test_results_are_whole(hot):
     ]
 
 
-def test_map_arrays_stay_bounded(hot):
-    tiles = wafer_map.wafer_map(hot, tile=64).filter("wafer_id = 0").select(F.size("dies").alias("n")).collect()
-    assert sum(t.n for t in tiles) == HOT_ROWS
-    assert max(t.n for t in tiles) <= 64
+def test_a_wafer_is_one_map_and_its_sites_are_counted_first(hot):
+    maps = wafer_map.wafer_map(hot).filter("wafer_id = 0").collect()
+    assert len(maps) == 1 and len(maps[0].dies) == HOT_ROWS
+    assert wafer_map.wafer_sites(hot).filter("wafer_id = 0").count() == HOT_ROWS
 
 
 def test_facts_are_reduced_before_the_shuffle(hot):

@@ -32,13 +32,13 @@ def test_bucketed_facts_meet_without_a_shuffle_by_wafer(spark, star_folder, tmp_
     spark.catalog.dropTempView("bin_results")
 
 
-def test_a_hot_wafer_is_not_bucketed(fab, tmp_path, saved, spark):
+def test_facts_named_as_uneven_are_not_bucketed(fab, tmp_path, saved, spark):
     tables = fab(
         wafers=wafers(*range(1, 9)),
         bin_results=dies(1, 60, 0) + [d for w in range(2, 9) for d in dies(w, 1, 1)],
         process_runs=[run(w, 1, 1) for w in range(1, 9)],
     )
-    save_tables(tables, str(tmp_path), buckets=4)
+    save_tables(tables, str(tmp_path), buckets=4, spread={"bin_results"})
     buckets = {
         name: [r.data_type for r in spark.sql(f"DESCRIBE FORMATTED default.{name}").collect() if r.col_name == "Num Buckets"]
         for name in ("bin_results", "process_runs")

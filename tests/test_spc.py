@@ -1,6 +1,6 @@
+from datetime import datetime, timedelta
 from decimal import Decimal
 
-import pytest
 from conftest import rows, run, wafers
 from waferscope.operators import spc
 from waferscope.operators.cohort import Suspect
@@ -59,14 +59,62 @@ def test_tool_of_a_reading_is_the_tool_of_its_run(fab):
     ]
 
 
-@pytest.mark.parametrize("max_rows", [0, 10])
-def test_limits_do_not_depend_on_the_join_strategy(fab, monkeypatch, max_rows):
-    import waferscope.operators.sides as sides
 
-    checked = sides.broadcast_if_counted
-    monkeypatch.setattr(spc, "broadcast_if_counted", lambda side, keys: checked(side, keys, max_rows))
-    tables = fab(metrology_measurements=[reading(1, str(v), m) for m in ("CD", "X") for v in (1, 2, 3, 40)])
-    assert [r[:3] for r in rows(spc.spc_limits(tables))] == [
-        ("CD", 4, Decimal("11.5000")),
-        ("X", 4, Decimal("11.5000")),
+def along(values, start=datetime(2024, 1, 1), step=timedelta(hours=5)):
+    return [{**reading(1, str(v)), "measured_at": start + i * step, "measurement_id": i} for i, v in enumerate(values)]
+
+
+def test_runs_go_on_over_days(fab):
+    # centre 0: nine above, eight below, one on the line, seven above
+    values = [1] * 9 + [-2] * 8 + [0] + [1] * 7
+    tables = fab(wafers=wafers(1), process_runs=[run(1, 1, 1)], metrology_measurements=along(values))
+    assert rows(spc.spc_run_rules(tables)) == [("E1", "CD", 25, 2, 17, 9)]
+    assert rows(spc.spc_run_rules(tables, length=7)) == [("E1", "CD", 25, 3, 24, 9)]
+
+
+def test_runs_do_not_depend_on_how_days_cut_them(fab):
+    import random
+
+    rng = random.Random(8)
+    values = [rng.choice([-1, 1, 1]) for _ in range(120)]
+    found = set()
+    for hours in (1, 7, 24, 50):
+        tables = fab(wafers=wafers(1), process_runs=[run(1, 1, 1)], metrology_measurements=along(values, step=timedelta(hours=hours)))
+        found.add(rows(spc.spc_run_rules(tables, length=4))[0])
+    centre, runs, last = sum(values) / len(values), [], None
+    for v in values:
+        side = v > centre
+        runs = [*runs[:-1], runs[-1] + 1] if side == last else [*runs, 1]
+        last = side
+    long = [n for n in runs if n >= 4]
+    assert found == {("E1", "CD", 120, len(long), sum(long), max(runs))}
+
+
+def test_readings_count_for_every_chamber_their_wafer_ran_in(fab):
+    tables = fab(
+        wafers=wafers(1, 2),
+        process_runs=[run(1, 1, 1), run(1, 2, 3), run(1, 1, 1), run(2, 1, 1), run(2, 1, None)],
+        metrology_measurements=[reading(1, "1"), reading(4, "4")],
+    )
+    assert rows(spc.spc_by_chamber(tables)) == [
+        ("E1", "A", 2, Decimal("2.5000"), Decimal("2.1213")),
+        ("E2", "A", 1, Decimal("1.0000"), None),
     ]
+
+
+def test_capability_uses_the_nearer_limit(fab):
+    limits = {"spec_low": Decimal(-3), "spec_high": Decimal(9)}
+    values = ["-1.0000", "1.0000"] * 4 + ["0.0000"]
+    tables = fab(metrology_measurements=[{**reading(1, v), **limits} for v in values] + [reading(1, "5", "none")])
+    assert rows(spc.capability(tables)) == [
+        ("CD", Decimal("-3.0000"), Decimal("9.0000"), 9, 0, Decimal("0.00"), Decimal("2.000"), Decimal("1.000"))
+    ]
+
+
+def test_readings_must_have_the_asked_columns(fab):
+    import pytest
+
+    tables = fab()
+    tables["metrology_readings"] = tables["metrology_measurements"]
+    with pytest.raises(ValueError, match="tool_id"):
+        spc.readings(tables, "tool_id")

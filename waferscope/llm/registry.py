@@ -32,7 +32,8 @@ def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation formatted, with what its output gives back: turns, and the text under the loss mask."""
     control = "\\### Assistant: </turn> ok"
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    probe = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(control).alias("text"))
     chats = chat.with_format(chat.with_turns(chat.records_of(rows.unionByName(probe))))
     turns = chat.read_turns(F.col("formatted"))
     lost = chat.read_under(F.col("formatted"), F.col("loss_spans"))

@@ -28,16 +28,16 @@ def whole(name: str, text: str) -> list[int]:
 @settings(max_examples=400, deadline=None)
 @given(TEXTS)
 def test_pieces_count_as_the_whole_text(text):
-    counter = token_counts.SpacedCounts("byte_bpe_50k.json")
+    counter = token_counts.counter("byte_bpe_50k.json")
     assert token_counts.count_tokens([text], counter) == [len(whole("byte_bpe_50k.json", text))]
 
 
 @settings(max_examples=400, deadline=None)
 @given(TEXTS)
 def test_plain_pieces_give_the_ids_of_the_whole_text(text):
-    remembered = wordwise.Remembered("word_bpe_49k.json", lambda ids: list(ids), wordwise.plain_parts)
+    remembered = wordwise.Remembered("word_bpe_49k.json", wordwise.PLAIN, np.ndarray.tolist)
     words = wordwise.plain_pieces(text)
-    known = remembered.learn(words)
+    known = remembered.learn(set(words))
     assert [i for w in words for i in known[w]] == whole("word_bpe_49k.json", text)
 
 
@@ -45,7 +45,7 @@ def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(wordwise, "REMEMBERED", 5)
     rng = random.Random(1)
     texts = [" ".join(rng.choice(["aa", "Bb.", "c" * 300, "dd,"]) + str(rng.randrange(9)) for _ in range(12)) for _ in range(20)]
-    counter = token_counts.SpacedCounts("byte_bpe_50k.json")
+    counter = token_counts.counter("byte_bpe_50k.json")
     for text in texts:
         assert token_counts.count_tokens([text], counter) == [len(whole("byte_bpe_50k.json", text))]
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from waferscope.llm import wordwise
 
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 21
 
 
 def binary_pieces(length: int, longest: int) -> list[int]:
@@ -33,8 +33,8 @@ def binary_pieces(length: int, longest: int) -> list[int]:
     return pieces
 
 
-def _ids_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+def _ids_bytes(ids: np.ndarray) -> bytes:
+    return ids.astype("<u4", copy=False).tobytes()
 
 
 def pieces(
@@ -53,27 +53,26 @@ def pieces(
     """
     if longest & (longest - 1):
         raise ValueError("longest must be a power of two")
-    end = _ids_bytes([end_id])
+    end = _ids_bytes(np.array([end_id]))
 
     def cut(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        remembered = wordwise.Remembered(tokenizer, _ids_bytes, wordwise.plain_parts)
+        remembered = wordwise.remembered(tokenizer, wordwise.PLAIN, _ids_bytes)
         for batch in found:
-            rows: tuple[list, ...] = ([], [], [], [], [])
-            size = 0
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                words = wordwise.plain_pieces(text.as_py())
-                ids = b"".join(map(remembered.learn(words).__getitem__, words)) + end
-                start, total = 0, len(ids) // 4
-                for length in binary_pieces(total, longest):
-                    made = (doc_id.as_py(), start, length, ids[4 * start : 4 * (start + length)], total)
-                    for column, value in zip(rows, made, strict=True):
-                        column.append(value)
-                    start += length
-                size += len(ids)
-                if size > BYTES_AT_ONCE:
-                    yield _batch(rows)
-                    rows, size = ([], [], [], [], []), 0
-            yield _batch(rows)
+            start = 0
+            for texts in wordwise.runs(batch.column(1).to_pylist(), BYTES_AT_ONCE):
+                cut_texts = [wordwise.plain_pieces(text) for text in texts]
+                known = remembered.learn(set().union(*cut_texts))
+                rows: tuple[list, ...] = ([], [], [], [], [])
+                for doc_id, words in zip(batch.column(0).slice(start, len(texts)).to_pylist(), cut_texts, strict=True):
+                    ids = b"".join(map(known.__getitem__, words)) + end
+                    at, total = 0, len(ids) // 4
+                    for length in binary_pieces(total, longest):
+                        made = (doc_id, at, length, ids[4 * at : 4 * (at + length)], total)
+                        for column, value in zip(rows, made, strict=True):
+                            column.append(value)
+                        at += length
+                start += len(texts)
+                yield _batch(rows)
 
     def _batch(rows: tuple[list, ...]) -> pa.RecordBatch:
         kinds = (id_type, pa.int64(), pa.int64(), pa.binary(), pa.int64())

@@ -9,7 +9,6 @@ as long as a task remembers it, in batches.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,41 +16,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from waferscope.llm import wordwise
 
-BYTES_AT_ONCE = 1 << 20
-# Pieces of one text that are looked up at once.
-_PIECES_AT_ONCE = 200_000
+BYTES_AT_ONCE = 1 << 21
+
+
+def counter(tokenizer: str) -> wordwise.Remembered:
+    return wordwise.remembered(tokenizer, wordwise.SPACED, len)
 
 
 def count_tokens(texts: list[str], remembered: wordwise.Remembered) -> list[int]:
-    """Token counts of texts whose pieces may be remembered. First pieces have no space before them, so are kept apart."""
-    cut = [wordwise.spaced_pieces(text) for text in texts]
-    first = remembered.learn(head for head, _ in cut)
-    heads = [first[head] for head, _ in cut]
+    """Token counts of texts, from a counter()."""
     counts = []
-    for head, (_, rest) in zip(heads, cut, strict=True):
-        rest_of, total = iter(rest), head
-        while some := list(islice(rest_of, _PIECES_AT_ONCE)):
-            known = remembered.learn_spaced(some)
-            total += sum(map(known.__getitem__, some))
-        counts.append(total)
+    for some in wordwise.runs(texts, BYTES_AT_ONCE):
+        cut = [wordwise.spaced_pieces(text) for text in some]
+        known = remembered.learn(set().union(*cut))
+        counts += [sum(map(known.__getitem__, pieces)) for pieces in cut]
     return counts
 
 
-class SpacedCounts(wordwise.Remembered):
-    """Counts of pieces, and of pieces with a space before them, which are looked up without adding it."""
-
-    def __init__(self, path: str):
-        super().__init__(path, len, wordwise.spaced_parts)
-        self.spaced = wordwise.Forgetful()
-
-    def learn_spaced(self, pieces: list[str]) -> dict[str, int]:
-        new = self.spaced.room_for(set(pieces))
-        if new:
-            known = self.values(" " + piece for piece in new)
-            self.spaced.update((spaced[1:], count) for spaced, count in known.items())
-        return self.spaced
-
-
 def with_token_counts(
     docs: DataFrame,
     tokenizer: str = "byte_bpe_50k.json",
@@ -68,7 +49,7 @@ def with_token_counts(
     """
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = SpacedCounts(tokenizer)
+        remembered = counter(tokenizer)
         for batch in found:
             texts = batch.column(1)
             sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4))
@@ -77,7 +58,7 @@ def with_token_counts(
             while start < len(texts):
                 done = ends[start - 1] if start else 0
                 end = max(start + 1, int(np.searchsorted(ends, done + BYTES_AT_ONCE, "right")))
-                counts = count_tokens(texts.slice(start, end - start).to_pylist(), counter)
+                counts = count_tokens(texts.slice(start, end - start).to_pylist(), remembered)
                 counted = np.array(counts, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+import numpy as np  # noqa: E402
 import public_tokenizers  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 # Distinct pieces, and their signs, that a task remembers: a memory bound only, as forgotten pieces are encoded again.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 REMEMBERED_CHARS = 16_000_000
 _ENCODED_AT_ONCE = 4_096
+# Plain pieces that are encoded as one text.
+_TOGETHER = 256
 
 
 @lru_cache(maxsize=4)
@@ -27,6 +31,19 @@ def load(path: str) -> Tokenizer:
     return tokenizer
 
 
+def runs(texts: list[str], size: int) -> Iterator[list[str]]:
+    """Texts one after another in runs of about `size` characters."""
+    run, held = [], 0
+    for text in texts:
+        run.append(text)
+        held += len(text)
+        if held >= size:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
+
+
 class Forgetful(dict):
     """A dictionary by text that starts anew when it gets too large."""
 
@@ -34,7 +51,7 @@ class Forgetful(dict):
 
     def room_for(self, new: set[str]) -> set[str]:
         """Of the texts about to be added, those that are not there; all of them if the rest had to go."""
-        missing = new.difference(self)
+        missing = {text for text in new if text not in self}
         if missing:
             chars = sum(map(len, missing))
             if self and (len(self) + len(missing) > REMEMBERED or self.chars + chars > REMEMBERED_CHARS):
@@ -45,34 +62,84 @@ class Forgetful(dict):
         return missing
 
 
+@dataclass(frozen=True)
+class Kind:
+    """How a tokenizer's texts may be cut.
+
+    `parts` cuts a piece into words. Plain words, which `plain` fits whole, may be encoded together as one text with `between`
+    between them: their tokens are told apart by `marks`, which says of a token whether it begins (or, with `ends`, ends) a word.
+    """
+
+    parts: Callable[[str], list[str]]
+    plain: re.Pattern
+    between: str
+    marks: Callable[[str], bool]
+    ends: bool
+
+
 class Remembered:
     """What `value` makes of the token ids of pieces, for the distinct pieces of the texts so far."""
 
-    def __init__(self, path: str, value: Callable[[list[int]], object], parts: Callable[[str], list[str]]):
-        self.tokenizer, self.value, self.parts = load(path), value, parts
-        self.known, self.of_part = Forgetful(), Forgetful()
+    def __init__(self, path: str, kind: Kind, value: Callable[[np.ndarray], object]):
+        self.tokenizer, self.kind, self.value = load(path), kind, value
+        self.known = Forgetful()
+        vocabulary = self.tokenizer.get_vocab()
+        self.marked = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.marked[[i for token, i in vocabulary.items() if kind.marks(token)]] = True
 
-    def learn(self, pieces: Iterable[str]) -> dict[str, object]:
+    def learn(self, pieces: set[str]) -> dict[str, object]:
         """A mapping that has every one of the pieces, until the next call."""
-        new = self.known.room_for(set(pieces))
-        if new:
-            self.known.update(self.values(new))
-        return self.known
-
-    def values(self, pieces: Iterable[str]) -> dict[str, object]:
-        cut = {piece: self.parts(piece) for piece in pieces}
-        unseen = list(self.of_part.room_for({part for parts in cut.values() for part in parts}))
-        for at in range(0, len(unseen), _ENCODED_AT_ONCE):
-            some = unseen[at : at + _ENCODED_AT_ONCE]
-            for part, encoded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.of_part[part] = self.value(encoded.ids)
-        found = {}
-        for piece, parts in cut.items():
-            value = self.of_part[parts[0]] if parts else self.value([])
-            for part in parts[1:]:
-                value = value + self.of_part[part]
-            found[piece] = value
-        return found
+        known = self.known
+        new = known.room_for(pieces)
+        fits, parts = self.kind.plain.fullmatch, self.kind.parts
+        plain, mixed = [], {}
+        for piece in new:
+            if fits(piece):
+                plain.append(piece)
+            else:
+                mixed[piece] = parts(piece)
+        others = {part for some in mixed.values() for part in some if part not in known}.difference(plain)
+        also = [part for part in others if fits(part)]
+        self._together([*plain, *also])
+        self._singly(list(others.difference(also)))
+        for piece, some in mixed.items():
+            if piece not in known:
+                value = known[some[0]] if some else self.value(np.empty(0, np.uint32))
+                for part in some[1:]:
+                    value = value + known[part]
+                known[piece] = value
+        return known
+
+    def _encoded(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+        for at in range(0, len(texts), _ENCODED_AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(texts[at : at + _ENCODED_AT_ONCE], add_special_tokens=False)
+            for i, encoded in enumerate(found, at):
+                yield i, np.array(encoded.ids, np.uint32)
+
+    def _singly(self, pieces: list[str]) -> None:
+        for i, ids in self._encoded(pieces):
+            self.known[pieces[i]] = self.value(ids)
+
+    def _together(self, pieces: list[str]) -> None:
+        runs = [pieces[at : at + _TOGETHER] for at in range(0, len(pieces), _TOGETHER)]
+        again: list[str] = []
+        for i, ids in self._encoded([self.kind.between.join(run) for run in runs]):
+            edges = np.flatnonzero(self.marked[ids])
+            edges = np.concatenate([[0], edges + 1]) if self.kind.ends else np.append(edges, len(ids))
+            run = runs[i]
+            if len(edges) != len(run) + 1 or edges[0] != 0 or edges[-1] != len(ids):
+                again += run
+                continue
+            cuts = edges.tolist()
+            value = self.value
+            self.known.update((piece, value(ids[a:b])) for piece, a, b in zip(run, cuts, cuts[1:], strict=False))
+        self._singly(again)
+
+
+@lru_cache(maxsize=2)
+def remembered(path: str, kind: Kind, value: Callable[[np.ndarray], object]) -> Remembered:
+    """One memory for all tasks that a worker runs one after another."""
+    return Remembered(path, kind, value)
 
 
 # Byte-level BPE with contractions, letters, digits and other signs as words that may begin with one space.
@@ -85,10 +152,12 @@ _CUT = re.compile(r" (?=[^\s\x85\x1c-\x1f])")
 _LETTERS_THEN_SIGNS = re.compile(r"( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,!?;:*#$%&|]+)")
 
 
-def spaced_pieces(text: str) -> tuple[str, list[str]]:
-    """The first piece of a text, and the others without the space each begins with."""
-    pieces = _CUT.split(text) if _RUN.search(text) else text.split(" ")
-    return pieces[0], pieces[1:]
+def spaced_pieces(text: str) -> list[str]:
+    """The pieces of a text; all but the first begin with a space."""
+    if "\0" in text or _RUN.search(text):
+        first, *others = _CUT.split(text)
+        return [first, *[" " + piece for piece in others]]
+    return text.replace(" ", "\0 ").split("\0")
 
 
 def spaced_parts(piece: str) -> list[str]:
@@ -96,6 +165,11 @@ def spaced_parts(piece: str) -> list[str]:
     return list(found.groups()) if found else [piece]
 
 
+SPACED = Kind(
+    spaced_parts, re.compile(r" [A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"), "", lambda token: token.startswith("\u0120"), ends=False
+)
+
+
 # Lower-casing word BPE, which drops white space: texts may be cut at every space and line end.
 _WORD_PARTS = re.compile(r"([a-z\xdf-\xf6\xf8-\xff]+)([.,!?;:*#$%&|]+)")
 
@@ -116,3 +190,6 @@ def plain_parts(piece: str) -> list[str]:
         return []
     found = _WORD_PARTS.fullmatch(piece)
     return list(found.groups()) if found else [piece]
+
+
+PLAIN = Kind(plain_parts, re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+"), " ", lambda token: token.endswith("</w>"), ends=True)

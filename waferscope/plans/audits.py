@@ -1,13 +1,14 @@
 """Contract audits: what a database would refuse on insert, counted.
 
 Audits walk the contract, not the tables they are given: a table, key or required column that is not there is
-reported, never passed over. Keys and links of a table are all answered from one scan of it: each row gives an entry with the
-hashed key for each question, entries are counted per key before anything is joined, and a key that holds a large
-part of a table costs one row in what follows.
+reported, never passed over. Keys and links are all answered from one scan of each table and one shuffle without a join: each
+row gives an entry with the hashed key for each question, a link's entries meet those of the key it points at, and entries are
+counted per key before they are moved, so a key that holds a large part of a table leaves each task as one row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -58,58 +59,55 @@ def _spark(tables: Tables) -> SparkSession:
     return next(iter(tables.values())).sparkSession
 
 
-def _entry(number: int, columns: tuple[str, ...], found: Column | int = 0) -> Column:
-    """A question's entry for one row: the key as two hashes of its text, NULL where a part of it is missing."""
+def _key_of(table: str) -> Question:
+    return next(q for q in QUESTIONS if q.primary and q.table == table)
+
+
+def _place(question: Question) -> tuple[int, int]:
+    """Where a question's entries are counted: a key in a space of its own, a link in its parent's, in a slot from 1."""
+    if not question.parent:
+        return question.number, 0
+    same = [q for q in QUESTIONS if q.parent == question.parent]
+    return _key_of(question.parent).number, 1 + same.index(question)
+
+
+SLOTS = 1 + max(_place(q)[1] for q in QUESTIONS)
+
+
+def _entry(space: int, slot: int, columns: tuple[str, ...], found: Column | int = 0) -> Column:
+    """An entry for one row: the key as two hashes of its text, NULL where a part of it is missing."""
     texts = [F.col(c).cast("string") for c in columns]
-    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]) if columns else F.lit(True)
-    first, second = F.xxhash64(*texts, F.lit(0)), F.xxhash64(F.lit(number % 7 if not columns else 1), *texts)
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns], F.lit(True))
     return F.struct(
-        F.lit(number).alias("question"),
-        F.when(whole, first).alias("key"),
-        F.when(whole, second).alias("more"),
+        F.lit(space).alias("space"),
+        F.lit(slot).alias("slot"),
+        F.when(whole, F.xxhash64(*texts, F.lit(0))).alias("key"),
+        F.when(whole, F.xxhash64(F.lit(1), *texts)).alias("more"),
         (found if isinstance(found, Column) else F.lit(found)).cast("long").alias("found"),
     )
 
 
-def _counted(tables: Tables, asked: list[Question], rows_of: list[Table]) -> DataFrame:
-    """``question, key, more, held, found`` from one scan of each table. The rows of a table and what is wrong within them
-    are a question too, numbered below zero."""
+def _answers(tables: Tables, asked: list[Question], rows_of: Sequence[Table] = ()) -> DataFrame:
+    """``question, held, bad``: for keys the rows that are surplus or incomplete, for links the rows without a parent. The
+    rows of a table and what is wrong within them are a question too, numbered below zero."""
+    scanned = {q.number: q for q in [*asked, *[_key_of(q.parent) for q in asked if q.parent]]}.values()
     parts = []
-    for place, table in enumerate(TABLES.values()):
-        entries = [_entry(q.number, q.columns) for q in asked if q.table == table.name]
+    for number, table in enumerate(TABLES.values()):
+        entries = [_entry(*_place(q), q.columns) for q in scanned if q.table == table.name]
         if table in rows_of:
-            entries.append(_entry(-1 - place, (), _wrong_in_row(tables, table)))
+            entries.append(_entry(-1 - number, 0, (), _wrong_in_row(tables, table)))
         if entries:
             parts.append(tables[table.name].select(F.inline(F.array(*entries))))
-    return (
-        _union(parts)
-        .groupBy("question", "key", "more")
-        .agg(F.count(F.lit(1)).alias("held"), F.sum("found").alias("found"))
-    )
-
-
-def _parents(tables: Tables, asked: list[Question]) -> DataFrame:
-    """The keys that each link may point at, from one scan of each parent."""
-    parts = []
-    for parent in dict.fromkeys(q.parent for q in asked):
-        entries = [_entry(q.number, (TABLES[parent].key,)) for q in asked if q.parent == parent]
-        parts.append(tables[parent].select(F.inline(F.array(*entries))).select("question", "key", "more"))
-    return _union(parts)
-
-
-def _answers(tables: Tables, asked: list[Question], rows_of: list[Table] = ()) -> DataFrame:
-    """``question, held, bad``: for keys the rows that are surplus or incomplete, for links the rows without a parent."""
-    links = [q for q in asked if q.parent]
-    counted = _counted(tables, asked, list(rows_of))
-    is_link = F.col("question").isin(*[q.number for q in links]) if links else F.lit(False)
-    bad = F.when(F.col("question") < 0, F.col("found")).when(F.col("key").isNull(), F.col("held")).otherwise(F.col("held") - 1)
-    wrong = counted.filter(~is_link).select("question", "held", bad.alias("bad"))
-    if links:
-        orphans = counted.filter(is_link & F.col("key").isNotNull()).join(
-            _parents(tables, links), ["question", "key", "more"], "left_anti"
-        )
-        wrong = wrong.unionByName(orphans.select("question", "held", F.col("held").alias("bad")))
-    return wrong.groupBy("question").agg(F.sum("held").alias("held"), F.sum("bad").alias("bad"))
+    slots = [F.count(F.when(F.col("slot") == i, F.lit(1))).alias(f"held{i}") for i in range(SLOTS)]
+    per_key = _union(parts).groupBy("space", "key", "more").agg(*slots, F.sum("found").alias("found"))
+    surplus = F.when(F.col("key").isNull(), F.col("held0")).otherwise(F.greatest(F.col("held0") - 1, F.lit(0)))
+    bad = [F.when(F.col("space") < 0, F.col("found")).otherwise(surplus)]
+    bad += [F.when((F.col("held0") == 0) & F.col("key").isNotNull(), F.col(f"held{i}")) for i in range(1, SLOTS)]
+    sums = [F.struct(F.lit(i).alias("slot"), F.sum(f"held{i}").alias("held"), F.sum(bad[i]).alias("bad")) for i in range(SLOTS)]
+    per_slot = per_key.groupBy("space").agg(F.array(*sums).alias("sums")).select("space", F.inline("sums"))
+    places = [(*_place(q), q.number) for q in asked] + [(-1 - n, 0, -1 - n) for n, t in enumerate(TABLES.values()) if t in rows_of]
+    named = inline_rows(_spark(tables), "space int, slot int, question int", places)
+    return per_slot.join(named, ["space", "slot"]).select("question", "held", F.coalesce("bad", F.lit(0).cast("long")).alias("bad"))
 
 
 def _reported(tables: Tables, wanted: list[Question]) -> DataFrame:
@@ -253,7 +251,7 @@ def contract_summary(tables: Tables) -> DataFrame:
     """Tables that are there, declared links between them, rows, violations and a verdict, per table and in a last row.
 
     An absent table or required column is a violation; a table's rows are then NULL. The last row passes only with all
-    tables and links of the contract and no violation. Each table is scanned once, and once more if links point at it.
+    tables and links of the contract and no violation. Each table is scanned once.
     """
     present = [table for table in TABLES.values() if table.name in tables]
     asked = [q for q in QUESTIONS if q.can_be_asked(tables)]

@@ -237,7 +237,7 @@ def _wafer_of_event(src: LazyTables) -> Column:
     """
     count = src["orders"].agg(F.count(F.lit(1)).alias("wafers"))
     wafers = count.select(F.nullif("wafers", F.lit(0))).scalar()
-    eighths = count.select(F.nullif(F.expr("(wafers + 7) div 8"), F.lit(0))).scalar()
+    eighths = F.shiftright(wafers + 7, 3)
     number = F.col("event_id") * 37 + F.col("user_id")
     return F.when(F.col("event_id") % 2 == 0, number % wafers).otherwise(number % eighths * 8)
 

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from waferscope.llm import wordwise
+from waferscope.llm.storage import stored
 
 BYTES_AT_ONCE = 1 << 21
 
@@ -89,10 +90,12 @@ def pieces(
 def numbered(found: DataFrame) -> DataFrame:
     """Pieces with sequence_id and offset: each piece is a sequence, ordered by falling length, document and start.
 
-    The order is total over every column, so the numbers are those of the rows even if a task is run again.
-    sequence_id grows along the order but has gaps between ranges.
+    The order covers every column but the ids, for which their checksum stands, so the numbers are those of the rows even if a task is run again.
+    sequence_id grows along the order but has gaps between ranges. Pieces are stored first, as finding the ranges would
+    otherwise make them twice.
     """
-    order = [F.col("length").desc()] + [F.col(c) for c in found.columns if c != "length"]
+    found = stored(found)
+    order = [F.col("length").desc()] + [F.col(c) for c in found.columns if c not in ("length", "ids")]
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         found.repartitionByRange(parts, *order)

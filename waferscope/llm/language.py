@@ -20,11 +20,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from waferscope.llm.storage import stored
+
 LETTERS = re.compile(r"[^\W\d_]+")
 REMEMBERED = 400_000
 _LONG = 64
 _ROWS_AT_ONCE = 256
 FEW = 40
+# Languages that one model, which every task holds, may have.
+MOST_LANGUAGES = 1_000
 
 
 def has_letter(text: str) -> bool:
@@ -230,7 +234,8 @@ def _margin(entropies: np.ndarray) -> np.ndarray:
 def train(
     labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", per_language: int = 3_000, order: int = 5
 ) -> Model | None:
-    """A model from about per_language whole texts of each language; None if no row has a language and letters.
+    """A model from about per_language whole texts of each language; None if no row has a language and letters. More
+    than MOST_LANGUAGES languages are an error.
 
     A quarter of the sample is set apart for calibration, the rest gives the counts; of a language with fewer than
     FEW rows, all give counts.
@@ -238,12 +243,20 @@ def train(
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where(
         "lang is not null and text is not null"
     )
-    share = rows.groupBy("lang").agg(
-        F.least(F.lit(1.0), per_language / F.count("*")).alias("share"), (F.count("*") < FEW).alias("few")
+    sizes = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: too many for one model")
+    if not sizes:
+        return None
+    share = labelled.sparkSession.createDataFrame(
+        [(r.lang, min(1.0, per_language / r["count"]), r["count"] < FEW) for r in sizes], "lang string, share double, few boolean"
     )
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.join(share, "lang").withColumn("draw", draw).where("draw < share")
+    # One row for each language: texts are chosen where they are read, and only the sample is stored.
+    sample = rows.join(F.broadcast(share), "lang").where(draw < F.col("share"))
     sample = sample.withColumn("held", ~F.col("few") & (F.pmod(F.xxhash64("text", F.lit(1)), F.lit(4)) == 0))
+    # Copies are drawn alike, so they count once: no text can outgrow the sample.
+    sample = stored(sample.select("lang", "text", "held").dropDuplicates(["lang", "text"]))
 
     def counted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = {}

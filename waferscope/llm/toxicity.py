@@ -240,20 +240,25 @@ def _candidates(toxic: DataFrame, least: int) -> dict[str, tuple[int, int]]:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs: Counter = Counter()
-        contexts: dict[str, set[str]] = {}
+        # Most stems have one context, which needs no set of its own.
+        contexts: dict[str, str | set[str]] = {}
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for stem, before in _stems_of(WORD.findall(text.lower())).items():
                     docs[stem] += 1
-                    known = contexts.setdefault(stem, set())
-                    if len(known) < CONTEXTS:
+                    known = contexts.get(stem)
+                    if known is None:
+                        contexts[stem] = next(iter(before)) if len(before) == 1 else before
+                    elif isinstance(known, str):
+                        contexts[stem] = before | {known} if before != {known} else known
+                    elif len(known) < CONTEXTS:
                         known |= before
         stems = list(docs)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(stems, pa.string()),
                 pa.array([docs[s] for s in stems], pa.int64()),
-                pa.array([sorted(contexts[s])[:CONTEXTS] for s in stems], pa.list_(pa.string())),
+                pa.array([[c] if isinstance(c := contexts[s], str) else sorted(c)[:CONTEXTS] for s in stems], pa.list_(pa.string())),
             ],
             names=["stem", "docs", "contexts"],
         )

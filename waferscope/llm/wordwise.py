@@ -15,7 +15,7 @@ import public_tokenizers  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 # Distinct pieces, and their signs, that a task remembers: a memory bound only, as forgotten pieces are encoded again.
-REMEMBERED = 700_000
+REMEMBERED = 600_000
 REMEMBERED_CHARS = 16_000_000
 _ENCODED_AT_ONCE = 4_096
 # Plain pieces that are encoded as one text.

@@ -88,3 +88,34 @@ def test_the_query_over_the_whole_table(spark, star_folder):
         assert r.base_sha256 == pii.digest(spans)
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in spans) for k in pii.BASE_KINDS)
         assert {f"{k}:{a}:{b}" for k, a, b in spans} <= set(r.spans.split(","))
+
+
+def test_long_secrets_are_spans_to_their_end():
+    rng = random.Random(5)
+    named = "".join(rng.choices("ghijklmnopqrstuvwxyzGHIJKLMNOP_/+=-", k=450))
+    digits = "".join(rng.choice("abcdef") + rng.choice("0123456789") for _ in range(64))
+    for text, secret in ((f"api_key: {named} x", named), (f"seen {digits} x", digits), (f"seen {digits * 4} x", digits * 4)):
+        start = text.index(secret)
+        assert pii.candidates(text) == [pii.Span(4, start, start + len(secret), False)]
+    # A card's number inside is part of the secret.
+    whole = f"{named}-4111111111111111-{named}"
+    card, secret = pii.candidates(f"password={whole}")
+    assert (card.kind, card.base) == (2, True) and (secret.start, secret.end, secret.base) == (9, 9 + len(whole), False)
+    for run in ("a" * 400_000, "token=" * 70_000, "a" * 31 + "g" + "a" * 400_000 + "g"):
+        assert len(pii.candidates(run)) <= 1
+
+
+def test_long_secrets_are_replaced_whole(spark):
+    rng = random.Random(6)
+    rows, secrets = [], []
+    for i in range(60):
+        secret = "".join(rng.choices("0123456789abcdef", k=rng.choice([32, 40, 64])))
+        rows.append((i, f"word {i} and token = {secret} or {secret} here"))
+    for n in (300, 450):
+        secrets.append("".join(rng.choices("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP", k=n)))
+        rows.append((n, f"my password: {secrets[-1]} here"))
+    secrets.append("".join(rng.choices("0123456789abcdef", k=128)))
+    rows.append((128, f"the value {secrets[-1]} here"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.redacted(docs, pii.train(docs)).collect()}
+    assert clean[300] == clean[450] == "my password: <secret> here" and clean[128] == "the value <secret> here"

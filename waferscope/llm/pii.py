@@ -49,9 +49,9 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SPOKEN_AT = re.compile(r" ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z]{2,24}){1,4}")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _NAMED_SECRET = re.compile(
-    r"(?:token|secret|password|passwd|api[_-]?key)[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?([A-Za-z0-9_/+=-]{12,256})", re.IGNORECASE
+    r"(?:token|secret|password|passwd|api[_-]?key)[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?([A-Za-z0-9_/+=-]{12,}+)", re.IGNORECASE
 )
-_HEX = re.compile(r"(?<![A-Za-z0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])")
+_HEX = re.compile(r"(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])")
 
 
 class Span(NamedTuple):
@@ -129,7 +129,10 @@ _ANY_NAME = re.compile(r"token|secret|passw|api[_-]?key|\(at\)|\[at\]| dot ", re
 
 
 def candidates(text: str) -> list[Span]:
-    """Spans by kind and start. Candidates that overlap a base span, or an earlier candidate, are left out."""
+    """Spans by kind and start. Candidates that overlap a base span, or an earlier candidate, are left out.
+
+    Only secrets stay that hold base spans whole: what is around these is secret too.
+    """
     digits = _ANY_DIGIT.search(text) is not None
     found = list(_emails(text))
     if digits:
@@ -145,7 +148,11 @@ def candidates(text: str) -> list[Span]:
         last = 0
         for span in sorted(more, key=lambda s: (s.start, -s.end, s.kind)):
             at = int(np.searchsorted(begins, span.end)) - 1
-            if span.start >= last and not (at >= 0 and reach[at] > span.start):
+            free = at < 0 or reach[at] <= span.start
+            if not free and KINDS[span.kind] == "secret":
+                before = int(np.searchsorted(begins, span.start)) - 1
+                free = reach[at] <= span.end and (before < 0 or reach[before] <= span.start)
+            if span.start >= last and free:
                 kept.append(span)
                 last = span.end
     return sorted(kept, key=lambda s: (s.kind, s.start, s.end))

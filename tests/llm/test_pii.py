@@ -119,3 +119,19 @@ def test_long_secrets_are_replaced_whole(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     clean = {r.doc_id: r.text for r in pii.redacted(docs, pii.train(docs)).collect()}
     assert clean[300] == clean[450] == "my password: <secret> here" and clean[128] == "the value <secret> here"
+
+
+SPOKEN = ["jane", " at ", "(at)", "[at]", " (at) ", " dot ", "(dot)", "[dot]", " (dot) ", " [dot] ", "example", "org", " ", ".", "deadbeef" * 4, "api-key: abcdefghijklm"]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(SPOKEN), max_size=8).map("".join))
+def test_every_pattern_is_looked_for_in_every_text(text):
+    found = [(s.start, s.end) for s in pii.candidates(text)]
+    for span in pii._others(text):
+        assert any(a < span.end and span.start < b for a, b in found)
+
+
+def test_spoken_addresses_without_digits():
+    for text in ("jane at example (dot) org", "jane at example[dot]com", "jane (at) example [dot] com", "jane at example dot org"):
+        assert [(s.kind, s.start, s.end) for s in pii.candidates(text)] == [(0, 0, len(text))]

@@ -125,7 +125,6 @@ def _others(text: str) -> Iterator[Span]:
 
 
 _ANY_DIGIT = re.compile("[0-9]")
-_ANY_NAME = re.compile(r"token|secret|passw|api[_-]?key|\(at\)|\[at\]| dot ", re.IGNORECASE)
 
 
 def candidates(text: str) -> list[Span]:
@@ -139,9 +138,7 @@ def candidates(text: str) -> list[Span]:
         found += [*_ips(text), *_cards(text), *_phones(text)]
     taken = sorted((s.start, s.end) for s in found if s.base)
     kept = [s for s in found if s.base]
-    more = [s for s in found if not s.base]
-    if digits or _ANY_NAME.search(text):
-        more += _others(text)
+    more = [*(s for s in found if not s.base), *_others(text)]
     if more:
         begins = np.array([a for a, _ in taken], np.int64)
         reach = np.maximum.accumulate(np.array([b for _, b in taken], np.int64)) if taken else begins

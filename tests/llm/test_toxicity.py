@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from waferscope.llm import toxicity
@@ -92,3 +93,40 @@ def test_held_out_accuracy_of_the_query(spark):
     assert found.count() == table(spark, folder, "documents").count()
     right = found.join(table(spark, folder, "labels"), "doc_id").where("held_out").agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int")))
     assert right.first()[0] >= 0.9
+
+
+def in_ball(stems: list[str], word: str) -> int | None:
+    found = [d for s in stems for n in range(1, len(word) + 1) if (d := distance(s, word[:n])) <= toxicity.errors_allowed(s)]
+    return min(found) if found else None
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("abc", min_size=3, max_size=9), min_size=1, max_size=5, unique=True), st.lists(st.text("abc*1", max_size=10), max_size=8))
+def test_reading_allows_errors_at_every_letter(stems, words):
+    automaton = toxicity.Automaton(stems, any_first=True)
+    for word in words:
+        found = automaton.find(word)
+        assert (found and found[1]) == in_ball(stems, word)
+
+
+def test_disguised_terms_are_hits_of_their_term():
+    stems = ["stupid", "idiot", "moron", "worthless"]
+    reader = toxicity.Reader(toxicity.Model(stems, np.ones(4), np.ones(4)))
+    forms = {
+        "ztupid": 0, "tupid": 0, "$tupid!": 0, "st*pid": 0, "well,st*pid.": 0, "stup1dly": 0, "1diot": 1, "i*diot": 1, "i-diot": 1, "(1di0t": None,
+        "m0ron": 2, "keno/m0ron,": 2, "w0rth1ess": 3, "*orth1ess": 3, "10.5": None, "well-known": None, "2024-12-04": None, "s*t*u*p*i*d": None,
+    }
+    for form, stem in forms.items():
+        found = reader.hits(f"bado keno {form} tiro").found
+        assert found == ({} if stem is None else {(stem, True): 1.0}), form
+    assert reader.hits("bado idiot-like, moron! stupid").found == {(0, False): 1.0, (1, False): 1.0, (2, False): 1.0}
+    assert reader.hits('he said "m0ron" tiro').found == {(2, True): 0.25}
+
+
+def test_texts_with_only_disguised_terms_go(spark):
+    rows = planted(400, 2)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    plain = "bado keno tiro muno " * 10
+    made = spark.createDataFrame([(1, plain + "1diot and w*rthless, zcumbag p4thetic"), (2, plain)], "doc_id long, text string")
+    assert [r.doc_id for r in toxicity.without_toxic(made, model).collect()] == [2]

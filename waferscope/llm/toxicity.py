@@ -3,6 +3,7 @@
 The lexicon is stems (beginnings of words) that occur in toxic training texts far more often than in others, in many
 different contexts. It is held as a trie and intersected with Levenshtein automata of its terms; the states of the
 intersection are made as words need them, so that a word is read once, letter by letter, whatever the lexicon's size.
+Any letter may be wrong, also the first, and a digit or sign within a word may stand for a letter ('m0ron', 'st*pid').
 A misspelling counts by how seldom such a form occurs in texts that are not toxic. Each hit is weighed by the words and
 signs around it: quoted or reported words count less, words said to somebody more. A logistic model turns the weighed
 hits of a text into a score.
@@ -14,6 +15,7 @@ half of them of each label where there are as many. Scoring covers every whole t
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -25,6 +27,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from waferscope.llm.storage import stored
 
 WORD = re.compile(r"[^\W\d_]+")
+RUN = re.compile(r"\S+")
+# A letter or digit at the start of a run, or after a sign.
+BEGINNING = re.compile(r"(?<![^\W_])[^\W_]")
+TAIL = re.compile(r"[^\W_]*")
 SHORTEST, LONGEST = 3, 12
 REMEMBERED = 400_000
 STATES = 50_000
@@ -43,9 +49,10 @@ def errors_allowed(stem: str) -> int:
 
 
 class Automaton:
-    """Stems within their allowed edit distance of a beginning of a word; the first letter must be right."""
+    """Stems within their allowed edit distance of a beginning of a word; the first letter must be right unless any_first."""
 
-    def __init__(self, stems: list[str]):
+    def __init__(self, stems: list[str], any_first: bool = False):
+        self.any_first = any_first
         self.children: list[dict[str, int]] = [{}]
         self.term: list[int] = [-1]
         self.allowed: list[int] = [0]
@@ -61,6 +68,8 @@ class Automaton:
                 node = self.children[node][letter]
                 self.allowed[node] = max(self.allowed[node], allowed)
             self.term[node] = number
+        if any_first:
+            self.allowed[0] = max(map(errors_allowed, stems), default=0)
         self._forget()
 
     def _forget(self) -> None:
@@ -68,7 +77,7 @@ class Automaton:
         self.states: list[dict[int, int]] = []
         self.moves: list[dict[str, int]] = []
         self.accepts: list[list[tuple[int, int]]] = []
-        self.start = self._number({0: 0})
+        self.start = self._number(self._reached([(0, 0)]) if self.any_first else {0: 0})
 
     def _number(self, nodes: dict[int, int]) -> int:
         key = frozenset(nodes.items())
@@ -80,7 +89,8 @@ class Automaton:
             self.accepts.append([(t, e) for t, e in here if e <= errors_allowed(self.stems[t])])
         return self.numbers[key]
 
-    def _move(self, state: int, letter: str) -> int:
+    def _reached(self, starts: list[tuple[int, int]]) -> dict[int, int]:
+        """The nodes of (node, errors), and those below them by letters left out, with the fewest errors of each."""
         after: dict[int, int] = {}
 
         def reach(node: int, errors: int) -> None:
@@ -89,13 +99,19 @@ class Automaton:
                 for child in self.children[node].values():
                     reach(child, errors + 1)
 
+        for node, errors in starts:
+            reach(node, errors)
+        return after
+
+    def _move(self, state: int, letter: str) -> int:
+        starts = []
         for node, errors in self.states[state].items():
             if letter in self.children[node]:
-                reach(self.children[node][letter], errors)
-            if node:
-                for child in self.children[node].values():
-                    reach(child, errors + 1)
-                reach(node, errors + 1)
+                starts.append((self.children[node][letter], errors))
+            if node or self.any_first:
+                starts += [(child, errors + 1) for child in self.children[node].values()]
+                starts.append((node, errors + 1))
+        after = self._reached(starts)
         self.moves[state][letter] = found = self._number(after) if after else -1
         return found
 
@@ -143,8 +159,11 @@ class Reader:
     """Finds the terms of a lexicon in texts."""
 
     def __init__(self, model: Model):
-        self.model, self.automaton = model, Automaton(model.stems)
+        self.model, self.automaton = model, Automaton(model.stems, any_first=True)
         self.known: dict[str, tuple[int, int] | None] = {}
+        self.known_runs: dict[str, list[tuple[int, int, tuple[int, int]]]] = {}
+        # No beginning of a word that is longer than this fits a stem.
+        self.longest = max((len(s) + errors_allowed(s) for s in model.stems), default=0)
 
     def hits(self, text: str) -> Hits:
         low = text.lower()
@@ -159,14 +178,56 @@ class Reader:
         wanted = {w: hit for w in different if (hit := self.known[w]) and (not hit[1] or self.model.fuzzy_weights[hit[0]] > 0)}
         if any(len(w) > 64 for w in new):
             self.known = {w: h for w, h in self.known.items() if len(w) <= 64}
-        if wanted:
+        disguised = self._disguised(low)
+        if wanted or disguised:
             places = [m for m in WORD.finditer(low)]
-            for i, place in enumerate(places):
-                if hit := wanted.get(place.group()):
-                    key = hit[0], hit[1] > 0
-                    made.found[key] = made.found.get(key, 0.0) + self._context(low, words, i, place.start(), place.end())
+            met = [(i, m.start(), m.end(), hit) for i, m in enumerate(places) if (hit := wanted.get(m.group()))]
+            if disguised:
+                begins = [m.start() for m in places]
+                for run in RUN.finditer(low):
+                    for start, end, hit in disguised.get(run.group(), ()):
+                        met.append((bisect_left(begins, run.start() + start), run.start() + start, run.start() + end, hit))
+            for i, start, end, hit in met:
+                key = hit[0], hit[1] > 0
+                made.found[key] = made.found.get(key, 0.0) + self._context(low, words, i, start, end)
         return made
 
+    def _counts(self, hit: tuple[int, int] | None) -> bool:
+        return hit is not None and (not hit[1] or self.model.fuzzy_weights[hit[0]] > 0)
+
+    def _disguised(self, low: str) -> dict[str, list[tuple[int, int, tuple[int, int]]]]:
+        """Runs without white space in which terms are spelled with digits or signs: where each begins and ends, and its hit."""
+        runs = {run for run in low.split() if not run.isalpha()}
+        new = runs.difference(self.known_runs)
+        if len(self.known_runs) + len(new) > REMEMBERED:
+            self.known_runs, new = {}, runs
+        for run in new:
+            self.known_runs[run] = self._spelled_with_signs(run)
+        found = {run: hits for run in runs if (hits := self.known_runs[run])}
+        if any(len(r) > 64 for r in new):
+            self.known_runs = {r: h for r, h in self.known_runs.items() if len(r) <= 64}
+        return found
+
+    def _spelled_with_signs(self, run: str) -> list[tuple[int, int, tuple[int, int]]]:
+        """Terms that begin after a sign, or at the run's start, with digits and signs read as letters; not where plain words hit."""
+        found, done, plain = [], 0, None
+        for place in BEGINNING.finditer(run):
+            start = place.start()
+            form = run[start : start + self.longest]
+            if start < done or form.isalpha() or not self._counts(hit := self.automaton.find(form)):
+                continue
+            if plain is None:
+                plain = [m.start() for m in WORD.finditer(run) if self._counts(self.automaton.find(m.group()))]
+            end = min(len(run), start + len(self.model.stems[hit[0]]) + hit[1])
+            if bisect_left(plain, start) == bisect_left(plain, end):
+                # The word's end: not in its middle, nor behind a sign that follows it.
+                while not run[end - 1].isalnum():
+                    end -= 1
+                end += len(TAIL.match(run, end).group())
+                found.append((start, end, hit))
+                done = end
+        return found
+
     def _context(self, low: str, words: list[str], i: int, start: int, end: int) -> float:
         """How much a hit counts by the window around it: 0.25 for a quoted and reported term to 1.25 for an address."""
         before = words[max(0, i - WINDOW) : i]

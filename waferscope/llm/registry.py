@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waferscope.llm import chat, decontamination, embeddings, language, packing, pii, simhash, token_counts, toxicity, urls
+from waferscope.llm import (
+    alignment,
+    chat,
+    decontamination,
+    embeddings,
+    language,
+    packing,
+    pii,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+    trie,
+    urls,
+)
 from waferscope.llm.shipping import ship
+from waferscope.llm.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,6 +136,37 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens under two tokenizers, the groups and links between them, and how common the links are."""
+    docs = table(spark, folder, "documents")
+    return alignment.with_alignment(docs, alignment.align(docs, "byte_bpe_50k.json", "piece_bpe_32k.model"))
+
+
+def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality, learned from the labels of two folds of three."""
+    measured = stored(quality.measure(table(spark, folder, "documents")))
+    held_out = F.coalesce(crc_fold(3) == 1, F.lit(False))
+    model = quality.train(measured, table(spark, folder, "labels").where(~held_out))
+    found = quality.with_quality(measured, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def rebuilt(convs: DataFrame) -> DataFrame:
+    """(conv_id, turns): every conversation c with the first h turns of conversation c - c % 100, h being crc32(c) % 6, in place of
+    its own first h turns; fewer where that one is shorter, none where it is absent."""
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int")
+    heads = convs.where("conv_id % 100 = 0").select(F.col("conv_id").alias("head_id"), F.slice("turns", 1, 5).alias("head"))
+    met = convs.join(heads, F.expr("conv_id - conv_id % 100") == F.col("head_id"), "left")
+    none = F.slice("turns", 1, 0)
+    head = F.slice(F.coalesce("head", none), F.lit(1), h)
+    return met.select("conv_id", F.concat(head, F.slice("turns", h + 1, F.size("turns"))).alias("turns"))
+
+
+def op13_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    return trie.prefix_trie(stored(rebuilt(trie.conversations(table(spark, folder, "conversations")))))
+
+
 CHAT_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -167,6 +213,46 @@ FROM ruled
 """
 
 
+# crc32 by its bits: every character of the id, then eight steps, each marked by -1.
+TRIE_SQL = """
+WITH said AS (
+  SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+         length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, list({'said': said, 'chars': chars} ORDER BY turn NULLS FIRST, said) AS turns,
+         xor(4294967295, list_reduce(
+           flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+           lambda crc, step: CASE WHEN step >= 0 THEN xor(crc, step) WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END,
+           CAST(4294967295 AS BIGINT))) % 6 AS h
+  FROM said GROUP BY conv_id
+), rebuilt AS (
+  SELECT c.conv_id, coalesce(b.turns[1:c.h], []) || c.turns[c.h + 1:] AS turns
+  FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, len(turns) AS turns, unnest(generate_series(0, len(turns))) AS depth, turns AS whole FROM rebuilt
+), places AS (
+  SELECT conv_id, depth, depth = turns AS ends, list_transform(whole[1:depth], lambda t: t.said) AS node,
+         CASE WHEN depth > 0 THEN whole[depth].chars ELSE 0 END AS chars FROM prefixes
+), nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM places GROUP BY node, depth
+), children AS (
+  SELECT node[1:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), known AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c USING (node)
+), under AS (
+  SELECT node[1:up] AS node, n_children = 0 AS leaf, (n_convs - 1) * chars AS saved
+  FROM (SELECT *, unnest(generate_series(0, depth)) AS up FROM known)
+), summed AS (
+  SELECT node, count(*) FILTER (WHERE leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM under GROUP BY node
+)
+SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, s.n_leaves, s.saved_tokens, k.ends_sha256
+FROM known k JOIN summed s USING (node) LEFT JOIN known p ON k.depth > 0 AND p.node = k.node[1:k.depth - 1]
+"""
+
+
 def _where_tasks_run(query: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         ship(spark)
@@ -187,9 +273,12 @@ def queries() -> dict[str, Query]:
         "op8_embeddings": op8_embeddings,
         "op9_decontamination": op9_decontamination,
         "op10_pii": op10_pii,
+        "op11_alignment": op11_alignment,
+        "op12_quality": op12_quality,
+        "op13_trie": op13_trie,
     }
     return {name: _where_tasks_run(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": CHAT_SQL, "op6_urls": URL_SQL}
+    return {"op2_chat": CHAT_SQL, "op6_urls": URL_SQL, "op13_trie": TRIE_SQL}

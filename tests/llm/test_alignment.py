@@ -106,12 +106,25 @@ def test_no_rows(spark):
     assert [tuple(r)[1:] for r in alignment.with_alignment(df, alignment.align(df)).collect()] == [(0,) * 6 + ("",)] * 2
 
 
-def test_forgotten_pieces_are_aligned_again(monkeypatch):
-    monkeypatch.setattr(alignment.wordwise, "REMEMBERED", 50)
+def test_ranks_give_the_ids_of_the_tokenizer():
+    aligner = alignment.Aligner("byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
+    plain = alignment.Aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
+    rng = random.Random(9)
+    signs = [*map(chr, range(0x250)), *" " * 60, *"\n" * 20, *"\u2009\u3000\u0600你😀\u0301½①Ⅷ٣'sdmtlrevl" * 3]
+    texts = [*ODD[1:], *["".join(rng.choices(signs, k=rng.randrange(1, 60))) for _ in range(20_000)], "ab" * 100_000, " \n" * 100_000, "9" * 50_000]
+    assert aligner.encode_a(texts) == plain.encode_a(texts)
+
+
+def test_texts_do_not_depend_on_those_they_are_aligned_with(monkeypatch):
     aligner = alignment.Aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
-    texts = [f"one {n} two {n * n} three" for n in range(100)]
-    alone = [aligner.align([text])[1][0] for text in texts]
-    assert aligner.align(texts)[1] == alone and len(aligner.number) >= 50
+    texts = [*ODD[3:], "a▁b", "one two three", "é" * 300 + "😀" * 300]
+    alone = [aligner.align([text]) for text in texts]
+    for most in (4_096, 4, 0):
+        monkeypatch.setattr(alignment, "LONG_GROUP", most)
+        measures, digests, keys, times = aligner.align(texts)
+        for n, (own, digest, own_keys, own_times) in enumerate(alone):
+            assert measures[n].tolist() == own[0].tolist() and digests[n] == digest[0]
+            assert keys[n].tolist() == own_keys[0].tolist() and times[n].tolist() == own_times[0].tolist()
 
 
 def test_the_query_against_whole_texts(spark, star_folder):

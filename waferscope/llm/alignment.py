@@ -5,15 +5,14 @@ tokenizers and aligned: byte offsets where tokens of both end cut the text into
 every token of the other tokenizer in it. A pair of ids counts each text as often as documents hold it. The measures go back to
 documents by the text's SHA-256 digest.
 
-Both tokenizers start anew at a single space before anything but white space, so texts are cut there and each distinct piece is
-encoded and aligned once for as long as a task remembers it.
+Texts are taken up in runs of about the same number of bytes, and a run is encoded, aligned and counted at once in flat arrays.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,6 +21,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window, functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
@@ -33,10 +33,11 @@ from waferscope.llm.storage import stored
 BYTES_AT_ONCE = 1 << 20
 # Pairs that hold over one in FREQUENT of all pair counts: so many at most, sent to every task.
 FREQUENT = 200_000
-_ENCODED_AT_ONCE = 4_096
-_WHITE = r"\s\x85\x1c-\x1f"
-_RUN = re.compile(f" [{_WHITE}]")
-_CUT = re.compile(f"(?<! ) (?=[^{_WHITE}])")
+# Links of a group that are made one by one; of longer groups ids are counted first.
+LONG_GROUP = 4_096
+_SEPARATORS = ";,|"
+# Runs in which an encoder by ranks takes time that grows with the square of the run.
+_LONG_RUN = re.compile(r"\S{400}|\s{400}")
 _MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -60,64 +61,26 @@ def piece_bytes(piece: str) -> bytes:
     return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
 
-def pieces(text: str) -> list[str]:
-    """A space and the text, cut where both tokenizers start anew; every piece begins with a space and holds more."""
-    whole = " " + text
-    if "\0" in whole or _RUN.search(whole):
-        starts = [m.start() for m in _CUT.finditer(whole)]
-        edges = [0, *[s for s in starts if s], len(whole)]
-        return [whole[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-    cut = whole.replace(" ", "\0 ").split("\0")[1:]
-    if len(cut) > 1 and cut[-1] == " ":
-        last = cut.pop()
-        cut[-1] += last
-    return cut
-
-
-def groups_of(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> list[tuple[list[int], list[int]]]:
-    """The ids of two tokenizations of the same bytes, cut where tokens of both end."""
-    found = []
-    i = j = a_end = b_end = 0
-    while i < len(a):
-        i0, j0 = i, j
-        a_end += a_size[a[i]]
-        b_end += b_size[b[j]]
-        i, j = i + 1, j + 1
-        while a_end != b_end:
-            if a_end < b_end:
-                a_end += a_size[a[i]]
-                i += 1
-            else:
-                b_end += b_size[b[j]]
-                j += 1
-        found.append((a[i0:i], b[j0:j]))
-    return found
-
-
-class Growing:
-    """A numpy array that rows are added to."""
-
-    def __init__(self, kind: type, width: int | None = None):
-        self.width = () if width is None else (width,)
-        self.held = np.zeros((1_024, *self.width), kind)
-        self.size = 0
-
-    def add(self, rows: list | np.ndarray) -> None:
-        new = np.asarray(rows, self.held.dtype).reshape(-1, *self.width)
-        while self.size + len(new) > len(self.held):
-            self.held = np.concatenate([self.held, np.zeros_like(self.held)])
-        self.held[self.size : self.size + len(new)] = new
-        self.size += len(new)
+def _ranked(path: str) -> tiktoken.Encoding:
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def _among(ends: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which of sorted numbers are among others, sorted too and with the same last one."""
+    return others[np.searchsorted(others, ends)] == ends if len(ends) else np.zeros(0, bool)
 
 
 class Aligner:
-    """Both tokenizers, and the alignments of the pieces a task remembers."""
+    """Both tokenizers, and the alignment of texts under them."""
 
-    def __init__(self, byte_level: str, piece_model: str):
+    def __init__(self, byte_level: str, piece_model: str, ranks: str | None = None):
         self.a = Tokenizer.from_file(_path(byte_level))
         self.a.no_truncation()
         self.a.no_padding()
         self.a.encode_special_tokens = True
+        self.ranked = _ranked(_path(ranks)) if ranks else None
         self.b = SentencePieceProcessor(model_file=_path(piece_model))
         alphabet = _byte_alphabet()
         vocabulary = self.a.get_vocab()
@@ -125,100 +88,109 @@ class Aligner:
         for token, i in vocabulary.items():
             self.a_bytes[i] = byte_level_bytes(token, alphabet)
         self.b_bytes = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.vocab_size())]
-        self.a_size, self.b_size = [len(t) for t in self.a_bytes], [len(t) for t in self.b_bytes]
+        self.a_size, self.b_size = (np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         # A pair of ids is one number; with a text's number before it, it must stay below 2**63.
         self.base = len(self.b_bytes)
-        if len(self.a_bytes) * self.base >= 1 << 42:
+        self.span = len(self.a_bytes) * self.base
+        if self.span >= 1 << 42:
             raise ValueError("the two vocabularies have 2**42 pairs of ids or more")
-        if any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.base)):
-            raise ValueError("a piece of the second tokenizer goes on after a space")
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number = wordwise.Forgetful()
-        self.written: list[str] = []
-        self.measures = Growing(np.int64, len(_MEASURES))
-        self.fits = Growing(bool)
-        self.ends = Growing(np.int64)
-        self.keys = Growing(np.int64)
-        self.times = Growing(np.int64)
-
-    def learn(self, wanted: set[str]) -> None:
-        """Remembers at least the wanted pieces until the next call."""
-        before = len(self.number)
-        new = self.number.room_for(wanted)
-        if before and not self.number:
-            self._forget()
-            new = self.number.room_for(wanted)
-        fresh = list(new)
-        for at in range(0, len(fresh), _ENCODED_AT_ONCE):
-            some = fresh[at : at + _ENCODED_AT_ONCE]
-            by_a = self.a.encode_batch_fast(some, add_special_tokens=False)
-            by_b = self.b.encode([piece[1:] for piece in some], num_threads=1)
-            for piece, a, b in zip(some, by_a, by_b, strict=True):
-                self._add(piece, a.ids, b)
-
-    def _add(self, piece: str, a: list[int], b: list[int]) -> None:
-        said = piece.encode()
-        fits = b"".join([self.a_bytes[i] for i in a]) == said == b"".join([self.b_bytes[i] for i in b])
-        groups = groups_of(a, b, self.a_size, self.b_size) if fits else []
-        links, keys = 0, Counter()
-        for some, others in groups:
-            links += len(some) * len(others)
-            if len(some) == len(others) == 1:
-                keys[some[0] * self.base + others[0]] += 1
-                continue
-            right = Counter(others)
-            for i, n in Counter(some).items():
-                for j, m in right.items():
-                    keys[i * self.base + j] += n * m
-        self.number[piece] = len(self.written)
-        self.written.append(";".join([",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups]))
-        self.measures.add([len(a), len(b), len(groups), links])
-        self.fits.add([fits])
-        self.keys.add(list(keys))
-        self.times.add(list(keys.values()))
-        self.ends.add([self.keys.size])
+        # Every id as text after each of the separators.
+        self.most = max(len(self.a_bytes), self.base)
+        self.written = [f"{sign}{i}" for sign in _SEPARATORS for i in range(self.most)]
+
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids of a space and each text; by the ranks of the same vocabulary, which is faster, where no run is long."""
+        if not self.ranked:
+            return [found.ids for found in self.a.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)]
+        made = [None if _LONG_RUN.search(text) else self.ranked.encode_ordinary(" " + text) for text in texts]
+        others = [n for n, ids in enumerate(made) if ids is None]
+        for n, found in zip(others, self.a.encode_batch_fast([" " + texts[n] for n in others], add_special_tokens=False), strict=True):
+            made[n] = found.ids
+        return made
+
+    def _tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of both tokenizers; none for a text whose tokens' bytes are not a space and the text."""
+        by_a, by_b = self.encode_a(texts), self.b.encode(texts, num_threads=1)
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        for n, text in enumerate(texts):
+            if not b"".join(map(a_bytes, by_a[n])) == b"".join(map(b_bytes, by_b[n])) == b" " + text.encode():
+                by_a[n], by_b[n] = [], []
+        return by_a, by_b
 
     def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[np.ndarray], list[np.ndarray]]:
         """For each text its measures, the digest of its groups, the numbers of its distinct pairs and how often each is linked.
 
         A text whose tokens' bytes are not a space and the text has zeros, an empty digest and no pairs.
         """
-        cut = [pieces(text) for text in texts]
-        self.learn(set(chain.from_iterable(cut)))
-        number = self.number
-        places = np.fromiter((number[piece] for piece in chain.from_iterable(cut)), np.int64)
-        sizes = np.array([len(some) for some in cut])
-        firsts = np.cumsum(sizes) - sizes
-        fits = np.logical_and.reduceat(self.fits.held[places], firsts)
-        measures = np.where(fits[:, None], np.add.reduceat(self.measures.held[places], firsts, axis=0), 0)
-        ends = self.ends.held[places]
-        begins = np.where(places > 0, self.ends.held[np.maximum(places - 1, 0)], 0)
-        widths = np.where(np.repeat(fits, sizes), ends - begins, 0)
-        offsets = np.cumsum(widths) - widths
-        at = np.repeat(begins - offsets, widths) + np.arange(widths.sum())
-        text = np.repeat(np.repeat(np.arange(len(texts)), sizes), widths)
-        span = len(self.a_bytes) * self.base
-        joined = text * span + self.keys.held[at]
-        order = np.argsort(joined, kind="stable")
-        joined, times = joined[order], self.times.held[at][order]
-        heads = np.flatnonzero(np.diff(joined, prepend=-1))
-        times = np.add.reduceat(times, heads) if len(heads) else times
-        joined = joined[heads]
-        bounds = np.searchsorted(joined, np.arange(1, len(texts)) * span)
-        keys, times = np.split(joined % span, bounds), np.split(times, bounds)
-        digests = []
-        for start, size, ok in zip(firsts.tolist(), sizes.tolist(), fits.tolist(), strict=True):
-            groups = [self.written[i] for i in places[start : start + size].tolist()] if ok else []
-            digests.append(hashlib.sha256(";".join(groups).encode()).hexdigest() if ok else "")
-        return measures, digests, keys, times
+        by_a, by_b = self._tokens(texts)
+        n_a, n_b = (np.array(list(map(len, side)), np.int64) for side in (by_a, by_b))
+        a, b = (np.fromiter(chain.from_iterable(side), np.int64, int(n.sum())) for side, n in ((by_a, n_a), (by_b, n_b)))
+        # Both cover the same bytes of each text, so their ends can be compared over all texts at once.
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        shared_a, shared_b = _among(a_ends, b_ends), _among(b_ends, a_ends)
+        a_group, b_group = np.cumsum(shared_a) - shared_a, np.cumsum(shared_b) - shared_b
+        groups = int(shared_a.sum())
+        a_in, b_in = np.bincount(a_group, minlength=groups), np.bincount(b_group, minlength=groups)
+        a_text = np.repeat(np.arange(len(texts)), n_a)
+        group_text = a_text[shared_a]
+        n_groups = np.bincount(group_text, minlength=len(texts))
+        n_links = np.zeros(len(texts), np.int64)
+        np.add.at(n_links, group_text, a_in * b_in)
+        keys, times = self._pairs(a, b, a_group, b_in, np.cumsum(b_in) - b_in, a_in, a_text)
+        bounds = np.searchsorted(keys, np.arange(1, len(texts)) * self.span)
+        written = self._written(a, b, a_group, b_group, a_in, b_in)
+        tokens = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
+        digests = [
+            # Each token is written after a separator, which the first one of a text has none of.
+            hashlib.sha256("".join(written[start:end])[1:].encode()).hexdigest() if end > start else ""
+            for start, end in zip(tokens, tokens[1:], strict=False)
+        ]
+        measures = np.stack([n_a, n_b, n_groups, n_links], axis=1)
+        return measures, digests, np.split(keys % self.span, bounds), np.split(times, bounds)
+
+    def _pairs(
+        self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_in: np.ndarray, b_first: np.ndarray, a_in: np.ndarray, a_text: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct (text, pair) of all links, as one number each, and how often each is linked."""
+        small = (a_in * b_in <= LONG_GROUP)[a_group]
+        some, of = a[small], a_group[small]
+        widths = b_in[of]
+        right = np.repeat(b_first[of], widths) + np.arange(widths.sum()) - np.repeat(np.cumsum(widths) - widths, widths)
+        keys, times = np.unique(np.repeat(a_text[small] * self.span + some * self.base, widths) + b[right], return_counts=True)
+        if small.all():
+            return keys, times
+        # A long group holds few ids, many times: they are counted before they are paired.
+        more_keys, more_times = [keys], [times]
+        for group in np.flatnonzero(a_in * b_in > LONG_GROUP).tolist():
+            first = int(np.searchsorted(a_group, group))
+            left, n = np.unique(a[first : first + a_in[group]], return_counts=True)
+            others, m = np.unique(b[b_first[group] : b_first[group] + b_in[group]], return_counts=True)
+            more_keys.append((a_text[first] * self.span + left[:, None] * self.base + others[None, :]).ravel())
+            more_times.append((n[:, None] * m[None, :]).ravel())
+        keys, at = np.unique(np.concatenate(more_keys), return_inverse=True)
+        whole = np.zeros(len(keys), np.int64)
+        np.add.at(whole, at, np.concatenate(more_times))
+        return keys, whole
+
+    def _written(
+        self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, a_in: np.ndarray, b_in: np.ndarray
+    ) -> list[str]:
+        """Every id of both sides as text after its separator, group by group, the first tokenizer's before the second's."""
+        before = np.cumsum(a_in + b_in) - (a_in + b_in)
+        a_first, b_first = np.cumsum(a_in) - a_in, np.cumsum(b_in) - b_in
+        a_place, b_place = np.arange(len(a)) - a_first[a_group], np.arange(len(b)) - b_first[b_group]
+        written = np.empty(len(a) + len(b), np.int64)
+        written[before[a_group] + a_place] = a + self.most * np.where(a_place == 0, _SEPARATORS.index(";"), _SEPARATORS.index(","))
+        written[before[b_group] + a_in[b_group] + b_place] = b + self.most * np.where(
+            b_place == 0, _SEPARATORS.index("|"), _SEPARATORS.index(",")
+        )
+        return list(map(self.written.__getitem__, written.tolist()))
 
 
 @lru_cache(maxsize=2)
-def aligner(byte_level: str, piece_model: str) -> Aligner:
-    """One memory for all tasks that a worker runs one after another."""
-    return Aligner(byte_level, piece_model)
+def aligner(byte_level: str, piece_model: str, ranks: str | None) -> Aligner:
+    """One for all tasks that a worker runs one after another."""
+    return Aligner(byte_level, piece_model, ranks)
 
 
 @dataclass(frozen=True)
@@ -236,11 +208,11 @@ _TEXTS = (
 )
 
 
-def align_texts(texts: DataFrame, byte_level: str, piece_model: str) -> DataFrame:
+def align_texts(texts: DataFrame, byte_level: str, piece_model: str, ranks: str | None) -> DataFrame:
     """(text, copies) with distinct, not empty texts, aligned: the columns of Aligned.texts."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = aligner(byte_level, piece_model)
+        both = aligner(byte_level, piece_model, ranks)
         for batch in found:
             start = 0
             for some in wordwise.runs(batch.column(0).to_pylist(), BYTES_AT_ONCE):
@@ -262,18 +234,23 @@ def align_texts(texts: DataFrame, byte_level: str, piece_model: str) -> DataFram
 
 
 def align(
-    docs: DataFrame, byte_level: str = "byte_bpe_50k.json", piece_model: str = "piece_bpe_32k.model", text_col: str = "text"
+    docs: DataFrame,
+    byte_level: str = "byte_bpe_50k.json",
+    piece_model: str = "piece_bpe_32k.model",
+    ranks: str | None = "byte_bpe_50k.tiktoken",
+    text_col: str = "text",
 ) -> Aligned:
     """Aligns every distinct text of docs once and counts the documents that hold each pair of ids linked.
 
     The first tokenizer is byte-level BPE of the tokenizers library and gets a space and the text; the second is a sentencepiece
-    model without normalisation that adds the space itself. Special tokens' strings in texts are plain text.
+    model without normalisation that adds the space itself. Special tokens' strings in texts are plain text. ranks names the first
+    tokenizer's vocabulary as ranks, which give the same ids faster; None does without.
     Null and empty texts take no part. Repeated rows, and ids whatever they are, count as a document each. No rows: no texts, no pairs.
     A text is one value: its pairs meet in one task, distinct ones only.
     """
     said = docs.select(F.col(text_col).cast("string").alias("text")).where("text <> ''")
     distinct = said.groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
-    texts = stored(align_texts(distinct, byte_level, piece_model))
+    texts = stored(align_texts(distinct, byte_level, piece_model, ranks))
     base = SentencePieceProcessor(model_file=_path(piece_model)).vocab_size()
     counted = texts.select(F.explode("keys").alias("key"), "copies").groupBy("key").agg(F.sum("copies").alias("documents"))
     a = F.expr(f"key div {base}").cast("int").alias("a")

@@ -5,7 +5,8 @@ tokenizers and aligned: byte offsets where tokens of both end cut the text into
 every token of the other tokenizer in it. A pair of ids counts each text as often as documents hold it. The measures go back to
 documents by the text's SHA-256 digest.
 
-Texts are taken up in runs of about the same number of bytes, and a run is encoded, aligned and counted at once in flat arrays.
+Texts are taken up in runs of about the same number of bytes and cut at spaces where both tokenizers start anew. The distinct pieces that
+a task has not met are encoded and aligned at once, in flat arrays that it keeps, from which the runs' texts are put together.
 """
 
 from __future__ import annotations
@@ -37,7 +38,10 @@ FREQUENT = 200_000
 LONG_GROUP = 4_096
 _SEPARATORS = ";,|"
 # Runs in which an encoder by ranks takes time that grows with the square of the run.
-_LONG_RUN = re.compile(r"\S{400}|\s{400}")
+LONG_RUN = 400
+_LONG_RUN = re.compile(rf"\S{{{LONG_RUN}}}|\s{{{LONG_RUN}}}")
+# Spaces that a tokenizer may join with white space around them.
+_OTHER_SPACES = re.compile(r"^ | $| [\s\x85\x1c-\x1f]|\0")
 _MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -72,8 +76,44 @@ def _among(ends: np.ndarray, others: np.ndarray) -> np.ndarray:
     return others[np.searchsorted(others, ends)] == ends if len(ends) else np.zeros(0, bool)
 
 
+def pieces(text: str) -> list[str]:
+    """A text cut at spaces before which both tokenizers end a token and with which both begin one; whole if it has others."""
+    return [text] if _OTHER_SPACES.search(text) else text.split(" ")
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of ranges, one range after another."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+class Growing:
+    """A numpy array that rows are added to."""
+
+    def __init__(self, kind: type, width: int | None = None):
+        self.held, self.size = np.zeros((1_024,) if width is None else (1_024, width), kind), 0
+
+    def add(self, rows: np.ndarray) -> None:
+        while self.size + len(rows) > len(self.held):
+            self.held = np.concatenate([self.held, np.zeros_like(self.held)])
+        self.held[self.size : self.size + len(rows)] = rows
+        self.size += len(rows)
+
+
+class Spelled:
+    """The bytes of numbered tokens, one after another."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.size = np.array(list(map(len, tokens)), np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of the tokens with these numbers."""
+        return self.bytes[_ranges(self.first[ids], self.size[ids])]
+
+
 class Aligner:
-    """Both tokenizers, and the alignment of texts under them."""
+    """Both tokenizers, and the alignments of the pieces of text that a task remembers."""
 
     def __init__(self, byte_level: str, piece_model: str, ranks: str | None = None):
         self.a = Tokenizer.from_file(_path(byte_level))
@@ -88,7 +128,7 @@ class Aligner:
         for token, i in vocabulary.items():
             self.a_bytes[i] = byte_level_bytes(token, alphabet)
         self.b_bytes = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.vocab_size())]
-        self.a_size, self.b_size = (np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes))
+        self.spelled = [Spelled(side) for side in (self.a_bytes, self.b_bytes)]
         # A pair of ids is one number; with a text's number before it, it must stay below 2**63.
         self.base = len(self.b_bytes)
         self.span = len(self.a_bytes) * self.base
@@ -96,37 +136,49 @@ class Aligner:
             raise ValueError("the two vocabularies have 2**42 pairs of ids or more")
         # Every id as text after each of the separators.
         self.most = max(len(self.a_bytes), self.base)
-        self.written = [f"{sign}{i}" for sign in _SEPARATORS for i in range(self.most)]
+        self.written = Spelled([f"{sign}{i}".encode() for sign in _SEPARATORS for i in range(self.most)])
+        if any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.base)):
+            raise ValueError("a piece of the second tokenizer goes on after a space")
+        self._forget()
 
     def encode_a(self, texts: list[str]) -> list[list[int]]:
         """Ids of a space and each text; by the ranks of the same vocabulary, which is faster, where no run is long."""
         if not self.ranked:
             return [found.ids for found in self.a.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)]
-        made = [None if _LONG_RUN.search(text) else self.ranked.encode_ordinary(" " + text) for text in texts]
+        made = [None if len(text) >= LONG_RUN and _LONG_RUN.search(text) else self.ranked.encode_ordinary(" " + text) for text in texts]
         others = [n for n, ids in enumerate(made) if ids is None]
         for n, found in zip(others, self.a.encode_batch_fast([" " + texts[n] for n in others], add_special_tokens=False), strict=True):
             made[n] = found.ids
         return made
 
-    def _tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both tokenizers; none for a text whose tokens' bytes are not a space and the text."""
-        by_a, by_b = self.encode_a(texts), self.b.encode(texts, num_threads=1)
-        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        for n, text in enumerate(texts):
-            if not b"".join(map(a_bytes, by_a[n])) == b"".join(map(b_bytes, by_b[n])) == b" " + text.encode():
-                by_a[n], by_b[n] = [], []
-        return by_a, by_b
-
-    def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[np.ndarray], list[np.ndarray]]:
-        """For each text its measures, the digest of its groups, the numbers of its distinct pairs and how often each is linked.
-
-        A text whose tokens' bytes are not a space and the text has zeros, an empty digest and no pairs.
-        """
-        by_a, by_b = self._tokens(texts)
-        n_a, n_b = (np.array(list(map(len, side)), np.int64) for side in (by_a, by_b))
-        a, b = (np.fromiter(chain.from_iterable(side), np.int64, int(n.sum())) for side, n in ((by_a, n_a), (by_b, n_b)))
+    def _tokens(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Ids of both tokenizers one text after another, and how many of each text; none where tokens' bytes are not a space and the text."""
+        said = [b" " + text.encode() for text in texts]
+        sizes = np.array(list(map(len, said)), np.int64)
+        fits = np.ones(len(texts), bool)
+        sides = []
+        for by_text, spelled in zip((self.encode_a(texts), self.b.encode(texts, num_threads=1)), self.spelled, strict=True):
+            number = np.array(list(map(len, by_text)), np.int64)
+            ids = np.fromiter(chain.from_iterable(by_text), np.int64, int(number.sum()))
+            ends = np.concatenate([[0], np.cumsum(spelled.size[ids])])[np.cumsum(number)]
+            fits &= np.diff(ends, prepend=0) == sizes
+            sides.append((ids, number, spelled))
+        # Of texts with the right number of bytes, the bytes themselves.
+        whole = np.frombuffer(b"".join([text for text, ok in zip(said, fits.tolist(), strict=True) if ok]), np.uint8)
+        able, of = np.flatnonzero(fits), sizes[fits]
+        for ids, number, spelled in sides:
+            same = spelled.joined(ids[np.repeat(fits, number)]) == whole
+            if len(able):
+                fits[able] &= np.logical_and.reduceat(same, np.cumsum(of) - of)
+        a, b = ((ids[np.repeat(fits, number)], np.where(fits, number, 0)) for ids, number, _ in sides)
+        return a, b
+
+    def _aligned(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """For each text whether its tokens fit, its measures, the size of its groups as text and the number of its distinct pairs; then the
+        groups as bytes, each after a semicolon, the pairs' numbers and how often each is linked."""
+        (a, n_a), (b, n_b) = self._tokens(texts)
         # Both cover the same bytes of each text, so their ends can be compared over all texts at once.
-        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        a_ends, b_ends = np.cumsum(self.spelled[0].size[a]), np.cumsum(self.spelled[1].size[b])
         shared_a, shared_b = _among(a_ends, b_ends), _among(b_ends, a_ends)
         a_group, b_group = np.cumsum(shared_a) - shared_a, np.cumsum(shared_b) - shared_b
         groups = int(shared_a.sum())
@@ -137,16 +189,68 @@ class Aligner:
         n_links = np.zeros(len(texts), np.int64)
         np.add.at(n_links, group_text, a_in * b_in)
         keys, times = self._pairs(a, b, a_group, b_in, np.cumsum(b_in) - b_in, a_in, a_text)
-        bounds = np.searchsorted(keys, np.arange(1, len(texts)) * self.span)
         written = self._written(a, b, a_group, b_group, a_in, b_in)
-        tokens = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
-        digests = [
-            # Each token is written after a separator, which the first one of a text has none of.
-            hashlib.sha256("".join(written[start:end])[1:].encode()).hexdigest() if end > start else ""
-            for start, end in zip(tokens, tokens[1:], strict=False)
-        ]
+        ends = np.concatenate([[0], np.cumsum(self.written.size[written])])[np.cumsum(n_a + n_b)]
+        pairs = np.bincount(keys // self.span, minlength=len(texts))
         measures = np.stack([n_a, n_b, n_groups, n_links], axis=1)
-        return measures, digests, np.split(keys % self.span, bounds), np.split(times, bounds)
+        return n_a > 0, measures, np.diff(ends, prepend=0), pairs, self.written.joined(written), keys % self.span, times
+
+    def _forget(self) -> None:
+        self.number = wordwise.Forgetful()
+        self.fits, self.measures = Growing(bool), Growing(np.int64, len(_MEASURES))
+        # Where a piece's groups as text and its pairs begin, and how many they are.
+        self.groups_at, self.pairs_at = Growing(np.int64, 2), Growing(np.int64, 2)
+        self.groups, self.keys, self.times = Growing(np.uint8), Growing(np.int64), Growing(np.int64)
+
+    def _learn(self, wanted: set[str]) -> None:
+        """Remembers at least the wanted pieces until the next call."""
+        before = len(self.number)
+        new = self.number.room_for(wanted)
+        if before and not self.number:
+            self._forget()
+            new = self.number.room_for(wanted)
+        for some in wordwise.runs(list(new), BYTES_AT_ONCE // 4):
+            fits, measures, written, pairs, groups, keys, times = self._aligned(some)
+            self.number.update(zip(some, range(self.fits.size, self.fits.size + len(some)), strict=True))
+            self.groups_at.add(np.stack([self.groups.size + np.cumsum(written) - written, written], axis=1))
+            self.pairs_at.add(np.stack([self.keys.size + np.cumsum(pairs) - pairs, pairs], axis=1))
+            for held, found in ((self.fits, fits), (self.measures, measures), (self.groups, groups), (self.keys, keys), (self.times, times)):
+                held.add(found)
+
+    def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[np.ndarray], list[np.ndarray]]:
+        """For each text, none of them empty, its measures, the digest of its groups, the numbers of its distinct pairs and how often
+        each is linked.
+
+        A text whose tokens' bytes are not a space and the text has zeros, an empty digest and no pairs.
+        """
+        cut = list(map(pieces, texts))
+        self._learn(set(chain.from_iterable(cut)))
+        places = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64)
+        sizes = np.array(list(map(len, cut)), np.int64)
+        firsts = np.cumsum(sizes) - sizes
+        fits = np.logical_and.reduceat(self.fits.held[places], firsts)
+        measures = np.where(fits[:, None], np.add.reduceat(self.measures.held[places], firsts, axis=0), 0)
+        places, sizes = places[np.repeat(fits, sizes)], np.where(fits, sizes, 0)
+        text = np.repeat(np.arange(len(texts)), sizes)
+
+        at, widths = self.groups_at.held[places].T
+        groups = memoryview(self.groups.held[_ranges(at, widths)])
+        ends = np.concatenate([[0], np.cumsum(widths)])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        # Each group is written after a semicolon, which the first one of a text has none of.
+        digests = [hashlib.sha256(groups[a + 1 : b]).hexdigest() if b > a else "" for a, b in zip(ends, ends[1:], strict=False)]
+
+        at, widths = self.pairs_at.held[places].T
+        found = _ranges(at, widths)
+        joined, times = np.repeat(text, widths) * self.span + self.keys.held[found], self.times.held[found]
+        if times.sum() <= 4 * len(times):
+            joined, times = np.unique(np.repeat(joined, times), return_counts=True)
+        else:
+            joined, of = np.unique(joined, return_inverse=True)
+            whole = np.zeros(len(joined), np.int64)
+            np.add.at(whole, of, times)
+            times = whole
+        bounds = np.searchsorted(joined, np.arange(1, len(texts)) * self.span)
+        return measures, digests, np.split(joined % self.span, bounds), np.split(times, bounds)
 
     def _pairs(
         self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_in: np.ndarray, b_first: np.ndarray, a_in: np.ndarray, a_text: np.ndarray
@@ -174,8 +278,8 @@ class Aligner:
 
     def _written(
         self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, a_in: np.ndarray, b_in: np.ndarray
-    ) -> list[str]:
-        """Every id of both sides as text after its separator, group by group, the first tokenizer's before the second's."""
+    ) -> np.ndarray:
+        """Every id of both sides with its separator, group by group, the first tokenizer's before the second's."""
         before = np.cumsum(a_in + b_in) - (a_in + b_in)
         a_first, b_first = np.cumsum(a_in) - a_in, np.cumsum(b_in) - b_in
         a_place, b_place = np.arange(len(a)) - a_first[a_group], np.arange(len(b)) - b_first[b_group]
@@ -184,7 +288,7 @@ class Aligner:
         written[before[b_group] + a_in[b_group] + b_place] = b + self.most * np.where(
             b_place == 0, _SEPARATORS.index("|"), _SEPARATORS.index(",")
         )
-        return list(map(self.written.__getitem__, written.tolist()))
+        return written
 
 
 @lru_cache(maxsize=2)

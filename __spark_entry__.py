@@ -13,25 +13,32 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from oracle_queries import oracles  # noqa: E402
 from waferscope.operators import (  # noqa: E402
+    attribution,
     cohort,
     commonality,
     correlation,
     defects,
+    drift,
+    occupancy,
     shaping,
+    significance,
     spc,
     wafer_map,
     yields,
 )
-from waferscope.plans import audits, conclusions, load_checks, views  # noqa: E402
+from waferscope.plans import audits, conclusions, key_state, load_checks, views  # noqa: E402
 from waferscope.sources import contract  # noqa: E402
 from waferscope.sources.lazy import LazyTables  # noqa: E402
-from waferscope.sources.parquet import read_fab, scratch_folder, with_measures, write_fab  # noqa: E402
+from waferscope.sources.parquet import scratch_folder, with_measures  # noqa: E402
 from waferscope.sources.star import bind_star, lot_numbers, read_star  # noqa: E402
+from waferscope.sources.versions import publish_fab, read_published, version_check  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
     from waferscope.llm import registry as training_data  # noqa: E402
-except ImportError:
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "waferscope.llm"):
+        raise
     training_data = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -201,20 +208,30 @@ def _views_check(spark: SparkSession, folder: str) -> DataFrame:
     return views.views_check(spark)
 
 
-def _fab_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """Tables written and read back: rows, and whether they are those that were written. Keys that are text in the source
-    become numbers first."""
-    tables = bind_star(spark, folder)
+def _views_check_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """The check in a session that lost a view."""
+    views.register_views(bind_star(spark, folder))
+    spark.catalog.dropTempView("v_wafer_defects")
+    return views.views_check(spark)
+
+
+def _storable(tables: LazyTables) -> LazyTables:
+    """The tables by the contract's types. Keys that are text in the source become numbers."""
     texts = {"process_runs": ["process_run_id"], "bin_results": ["bin_result_id"], "metrology_measurements": ["measurement_id", "process_run_id"]}
 
     def keyed(name: str) -> DataFrame:
         numbers = {c: F.xxhash64(F.coalesce(c, F.lit(""))) for c in texts.get(name, [])}
         return contract.conform(tables[name].withColumns(numbers), name)
 
-    sent = LazyTables({name: lambda name=name: keyed(name) for name in contract.TABLES})
-    target = scratch_folder(spark)
-    write_fab(sent, target)
-    back = read_fab(spark, target)
+    return LazyTables({name: lambda name=name: keyed(name) for name in contract.TABLES})
+
+
+def _fab_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables published and read back: rows, and whether they are those that were written."""
+    sent = _storable(bind_star(spark, folder))
+    root = scratch_folder(spark)
+    publish_fab(sent, root)
+    back = read_published(spark, root)
 
     def mark(df: DataFrame) -> Column:
         return F.sum(F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]).cast("decimal(20,0)"))
@@ -227,6 +244,31 @@ def _fab_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(name) for name in contract.TABLES])
 
 
+def _fab_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """All tables published, then readings alone without those that are lost: what each version has."""
+    sent = _storable(bind_star(spark, folder))
+    root = scratch_folder(spark)
+    publish_fab(sent, root)
+    publish_fab({"metrology_measurements": sent["metrology_measurements"].filter(f"NOT ({LOST_READINGS})")}, root)
+    return version_check(spark, root, 1).unionByName(version_check(spark, root))
+
+
+def _keys_by_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The damaged tables loaded in three parts, children before their parents or after, and audited with each."""
+    tables, root = _damaged(spark, folder), scratch_folder(spark)
+    for part in range(3):
+        loaded = LazyTables(
+            {
+                name: lambda name=name, part=part: tables[name].filter(
+                    F.pmod(F.xxhash64(contract.TABLES[name].key), F.lit(3)) == part
+                )
+                for name in contract.TABLES
+            }
+        )
+        key_state.audit_load(loaded, root, buckets=16)
+    return key_state.key_report(spark, root)
+
+
 def _conclusions_from_measures(spark: SparkSession, folder: str) -> DataFrame:
     tables = with_measures(bind_star(spark, folder), scratch_folder(spark))
     return conclusions.conclusion_report(tables, _found(tables))
@@ -330,14 +372,19 @@ def _fab_queries() -> dict[str, Query]:
         "spc_by_chamber": _on_star(spc.spc_by_chamber),
         "spc_run_rules": _on_star(spc.spc_run_rules),
         "capability": _on_star(spc.capability),
+        "cusum_by_tool": _on_star(drift.cusum_by_tool),
+        "occupancy": _on_star(occupancy.occupancy),
         "cd_chart_points": _on_star(spc.chart_points),
         "defect_yield_points": _on_star(correlation.defect_yield_points),
         "defect_yield_trend": _on_star(correlation.defect_yield_trend),
         "find_suspect": _on_star(commonality.find_suspect),
+        "chamber_significance": _on_star(significance.chamber_significance),
+        "conditional_commonality": _on_star(attribution.conditional_commonality, limit=1.0),
         # contract audits
         "pk_audit": _on_damaged(audits.pk_audit),
         "unique_audit": _on_damaged(audits.unique_audit),
         "fk_audit": _on_damaged(audits.fk_audit),
+        "keys_by_load": _keys_by_load,
         "check_audit": _on_damaged(audits.check_audit),
         "not_null_audit": _on_damaged(audits.not_null_audit),
         "apply_defaults": _apply_defaults,
@@ -348,7 +395,9 @@ def _fab_queries() -> dict[str, Query]:
         "defect_reconcile": _on_damaged(load_checks.defect_reconcile),
         "unreconciled_inspections": _on_damaged(load_checks.unreconciled_inspections),
         "views_check": _views_check,
+        "views_check_missing": _views_check_missing,
         "fab_round_trip": _fab_round_trip,
+        "fab_versions": _fab_versions,
         "metrology_count_check": _metrology_count_check,
         "signal_defects": _on_star_with_suspect(load_checks.signal_defects),
         "signal_yield": _on_star_with_suspect(load_checks.signal_yield),

@@ -158,6 +158,99 @@ def _with(body: str, *names: str) -> str:
     return f"WITH {', '.join(parts)} {body}" if parts else body
 
 
+def _stratum(n: str, total: str, n_all: str, total_all: str) -> tuple[str, str]:
+    """Weight and weighed gap between n wafers and the rest of a stratum; 0 where either is empty."""
+    both = f"({n}) > 0 AND ({n_all}) - ({n}) > 0"
+    weight = f"({n}) * (({n_all}) - ({n})) / ({n_all})"
+    gap = f"(({total}) / ({n}) - (({total_all}) - ({total})) / (({n_all}) - ({n})))"
+    return f"(CASE WHEN {both} THEN {weight} ELSE 0 END)", f"(CASE WHEN {both} THEN {weight} * {gap} ELSE 0 END)"
+
+
+# A published rational fit of the complementary error function.
+_ERFC = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)
+
+
+def _significance() -> str:
+    """Rank sums by one global ranking of all wafers, after the relations run, wy, cham and tool."""
+    fitted = " + t * (".join(map(str, _ERFC)) + ")" * (len(_ERFC) - 1)
+    return f"""
+, ranked AS (
+  SELECT w, rank() OVER (ORDER BY y) * 2 + count(*) OVER (PARTITION BY y) - 1 AS twice, count(*) OVER () AS na FROM wy
+), tied AS (
+  SELECT sum(k * k * k - k)::DOUBLE AS tied FROM (SELECT count(*)::HUGEINT AS k FROM wy GROUP BY y)
+), placed AS (
+  SELECT place, count(*)::DOUBLE AS n, sum(twice)::DOUBLE AS twice, any_value(na)::DOUBLE AS na
+  FROM (SELECT DISTINCT w, CASE WHEN cid IS NOT NULL THEN cid * 2 ELSE tid * 2 + 1 END AS place FROM run) JOIN ranked USING (w)
+  WHERE place IS NOT NULL GROUP BY place
+), scored AS (
+  SELECT place, n, CAST((twice / 2 - n * (n + 1) / 2 - n * (na - n) / 2)
+    / nullif(sqrt(greatest(n * (na - n) / 12 * ((na + 1) - tied / nullif(na * (na - 1), 0)), 0)), 0) AS DECIMAL(10,3)) AS rank_z
+  FROM placed, tied
+), far AS (
+  SELECT *, CASE WHEN rank_z IS NOT NULL THEN least(abs(rank_z), 38::DECIMAL(10,3)) END AS far, count(rank_z) OVER () AS m FROM scored
+), chance AS (
+  SELECT *, CASE WHEN far IS NOT NULL THEN least(t * exp(-x * x + {fitted}), 1) END AS p
+  FROM (SELECT *, 1 / (1 + x / 2) AS t FROM (SELECT *, far::DOUBLE / sqrt(2.0::DOUBLE) AS x FROM far))
+), raw AS (
+  SELECT *, p * m / count(rank_z) OVER (ORDER BY far DESC) AS raw FROM chance
+), adjusted AS (
+  SELECT *, CASE WHEN far IS NOT NULL THEN least(min(raw) OVER (ORDER BY far), 1) END AS q FROM raw
+), name AS (
+  SELECT cid * 2 AS place, tcode, ccode FROM cham UNION ALL SELECT tid * 2 + 1, tcode, NULL FROM tool
+)
+SELECT tcode AS tool_code, ccode AS chamber_code, CAST(n AS BIGINT) AS wafers_through, rank_z,
+       CAST(p AS DECIMAL(12,9)) AS p_value, CAST(q AS DECIMAL(12,9)) AS q_value
+FROM adjusted JOIN name USING (place)
+"""
+
+
+def _conditional(limit: float) -> str:
+    """Gaps of places with and without the wafers through a stronger place, after the relations run, wy, cham and tool."""
+    alone = _stratum("n", "s", "na", "sa")
+
+    def given(a: str, b: str) -> str:
+        """The score of place a among wafers through b and among the others, n and s being those through both."""
+        inside = _stratum("n", "s", f"n_{b}", f"s_{b}")
+        outside = _stratum(f"n_{a} - n", f"s_{a} - s", f"na - n_{b}", f"sa - s_{b}")
+        return f"({inside[1]} + {outside[1]}) / nullif(sqrt({inside[0]} + {outside[0]}), 0) / nullif(sigma, 0)"
+
+    return f"""
+, visit AS (
+  SELECT DISTINCT w, CASE WHEN cid IS NOT NULL THEN cid * 2 ELSE tid * 2 + 1 END AS place FROM run
+), v AS (
+  SELECT w, place, y FROM visit JOIN wy USING (w) WHERE place IS NOT NULL
+), whole AS (
+  SELECT na, sa, sqrt((q - sa * sa / na) / nullif(na - 1, 0)) AS sigma
+  FROM (SELECT count(*)::DOUBLE AS na, sum(y)::DOUBLE AS sa, sum(y * y)::DOUBLE AS q FROM wy)
+), marginal AS (
+  SELECT place, n, s, {alone[1]} / nullif({alone[0]}, 0) AS gap,
+         {alone[1]} / nullif(sqrt({alone[0]}), 0) / nullif(sigma, 0) AS z
+  FROM (SELECT place, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS s FROM v GROUP BY place), whole
+), bad AS (
+  SELECT * FROM marginal WHERE z <= -{limit}
+), pair AS (
+  SELECT o.place AS po, x.place AS px, any_value(o.n) AS n_o, any_value(o.s) AS s_o, any_value(x.n) AS n_x, any_value(x.s) AS s_x,
+         any_value(x.z) AS zx, count(*)::DOUBLE AS n, sum(a.y)::DOUBLE AS s
+  FROM v a JOIN v b ON a.w = b.w JOIN bad o ON o.place = a.place JOIN bad x ON x.place = b.place
+  WHERE x.z < o.z OR (x.z = o.z AND x.place < o.place) GROUP BY o.place, x.place
+), scored AS (
+  SELECT po, px, zx, {given("o", "x")} AS left_over, {given("x", "o")} AS back FROM pair, whole
+), reason AS (
+  SELECT po, px, left_over, row_number() OVER (PARTITION BY po ORDER BY zx, px) AS k FROM scored
+  WHERE coalesce(left_over > -{limit}, true) AND coalesce(back <= -{limit}, left_over IS NULL)
+), name AS (
+  SELECT cid * 2 AS place, tcode, ccode FROM cham UNION ALL SELECT tid * 2 + 1, tcode, NULL FROM tool
+)
+SELECT name.tcode AS tool_code, name.ccode AS chamber_code, CAST(n AS BIGINT) AS wafers_through,
+       CAST(gap / 100 AS DECIMAL(10,3)) AS gap_pct, CAST(z AS DECIMAL(10,3)) AS z_score,
+       CASE WHEN px IS NOT NULL THEN 'explained' WHEN z <= -{limit} THEN 'suspect' ELSE 'clean' END AS verdict,
+       CASE WHEN px IS NOT NULL THEN concat_ws('/', by_name.tcode, by_name.ccode) END AS explained_by,
+       CAST(left_over AS DECIMAL(10,3)) AS z_given
+FROM marginal JOIN name USING (place) LEFT JOIN (SELECT * FROM reason WHERE k = 1) ON po = marginal.place
+LEFT JOIN name by_name ON by_name.place = px
+"""
+
+
 _WEIGHTED = _pct("sum(p)", "sum(t)").replace("sum(p)", "sum(p)::BIGINT").replace("sum(t)", "sum(t)::BIGINT")
 _BAND = (
     "CASE WHEN d <= 3 THEN '0-3  (low)' WHEN d <= 6 THEN '4-6  (medium)' "
@@ -186,6 +279,8 @@ def _analyses() -> dict[str, str]:
             f"{_dec('(m6 + 5000) // 10000', 2, 5)} AS avg_yield_pct FROM cy ORDER BY m6, tcode, ccode LIMIT 1",
             "cy",
         ),
+        "chamber_significance": _with(_significance(), "run", "wy", "cham", "tool"),
+        "conditional_commonality": _with(_conditional(1.0), "run", "wy", "cham", "tool"),
         "wafer_yield": _with(
             f"SELECT w AS wafer_id, t AS total_dies, p AS pass_dies, {_dec('y', 2, 5)} AS yield_pct FROM wy", "wy"
         ),
@@ -335,6 +430,35 @@ def _analyses() -> dict[str, str]:
             "lim",
             "tool",
         ),
+        "occupancy": _with(
+            "SELECT tcode AS tool_code, ccode AS chamber_code, count(*) AS runs, "
+            "count(*) FILTER (began < busy) AS overlapping, "
+            "sum(greatest(CAST(epoch(ended) - epoch(greatest(began, coalesce(busy, began))) AS BIGINT), 0))::BIGINT AS busy_seconds "
+            "FROM (SELECT *, max(ended) OVER (PARTITION BY cid, CASE WHEN cid IS NULL THEN tid END ORDER BY began, rid "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS busy "
+            "FROM (SELECT *, began + INTERVAL 20 MINUTE AS ended FROM run)) r "
+            "LEFT JOIN (SELECT cid, ccode, tid AS own FROM cham) USING (cid) JOIN tool ON tool.tid = coalesce(own, r.tid) "
+            "GROUP BY tcode, ccode",
+            "run",
+            "cham",
+            "tool",
+        ),
+        "cusum_by_tool": _with(
+            "SELECT tcode AS tool_code, m AS metric_type, count(*) AS readings, "
+            + ", ".join(
+                f"count(*) FILTER ({c} > sg * 10) AS alarms_{name}, CAST(min(began) FILTER ({c} > sg * 10) AS DATE) AS first_{name}, "
+                f"{_dec(f'max({c}) * 5', 5, 20)} AS highest_{name}"
+                for c, name in (("su", "high"), ("sd", "low"))
+            )
+            + " FROM (SELECT *, pu - least(0, min(pu) OVER o) AS su, pd - least(0, min(pd) OVER o) AS sd FROM ("
+            "SELECT *, sum((v - c) * 2 - sg) OVER o AS pu, sum((c - v) * 2 - sg) OVER o AS pd FROM rd JOIN lim USING (m) "
+            "WINDOW o AS (PARTITION BY tid, m ORDER BY began, mid, v ROWS UNBOUNDED PRECEDING)) "
+            "WINDOW o AS (PARTITION BY tid, m ORDER BY began, mid, v ROWS UNBOUNDED PRECEDING)) "
+            "JOIN tool USING (tid) GROUP BY tcode, m",
+            "rd",
+            "lim",
+            "tool",
+        ),
         "capability": _with(
             f"SELECT m AS metric_type, {_dec('lo', 4, 12)} AS spec_low, {_dec('hi', 4, 12)} AS spec_high, n AS readings, "
             f"bad AS out_of_spec, {_pct('bad', 'n')} AS out_of_spec_pct, "
@@ -638,6 +762,20 @@ def _audits() -> dict[str, str]:
         "pk_audit": _damaged_with(pk),
         "unique_audit": _damaged_with(uq),
         "fk_audit": _damaged_with(fk),
+        "keys_by_load": _damaged_with(
+            " UNION ALL ".join(
+                [
+                    f"SELECT table_name, key, NULL AS parent_table, (SELECT count(*) FROM fab_{table}) AS rows, bad_rows AS bad "
+                    f"FROM ({_duplicates(table, key)})"
+                    for table, key in [*_PRIMARY.items(), *_BUSINESS]
+                ]
+                + [
+                    f"SELECT '{child}', '{column}', parent_table, (SELECT count(*) FROM fab_{child}), orphans "
+                    f"FROM ({_orphans(child, column, parent)})"
+                    for child, column, parent in _LINKS
+                ]
+            )
+        ),
         "check_audit": _damaged_with(ck),
         "not_null_audit": _damaged_with(gaps),
         "apply_defaults": _fab_with(filled),
@@ -692,6 +830,22 @@ def _load_checks() -> dict[str, str]:
             "wy",
             "wd",
         ),
+        "views_check_missing": _with(
+            "SELECT 'v_wafer_yield' AS object_name, 'PASS' AS status, (SELECT count(*) FROM wy) AS rows UNION ALL "
+            "SELECT 'v_wafer_defects', '**CHECK**', NULL",
+            "wy",
+        ),
+        "fab_versions": _fab_with(
+            "SELECT *, expected AS actual, 'OK' AS status FROM ("
+            + " UNION ALL ".join(
+                f"SELECT {number}::BIGINT AS number, '{table}' AS table_name, (SELECT count(*) FROM fab_{table}"
+                + (" WHERE NOT (metric_type = 'CD' AND value = 130000)" if (number, table) == (2, "metrology_measurements") else "")
+                + ") AS expected"
+                for number in (1, 2)
+                for table in _PRIMARY
+            )
+            + ")"
+        ),
         "fab_round_trip": _fab_with(
             " UNION ALL ".join(
                 f"SELECT '{table}' AS table_name, (SELECT count(*) FROM fab_{table}) AS rows, true AS same" for table in _PRIMARY

@@ -114,3 +114,27 @@ def test_a_hot_run_is_split_in_the_join_to_its_readings(spark, fab, shuffled_joi
 
 def test_results_do_not_depend_on_broadcasts(hot, shuffled_joins):
     test_results_are_whole(hot)
+
+
+def test_a_tools_day_with_a_third_of_all_readings_is_cut_into_slices(spark, fab):
+    """Every slice of the run rules is small, and the runs are those of one pass."""
+    tables = fab()
+    hot = spark.range(HOT_ROWS).select(F.lit(1).cast("long").alias("tool_id"), F.lit("CD").alias("metric_type"), F.col("id").alias("n"))
+    cold = spark.range(2 * HOT_ROWS).select((F.col("id") % 2 + 2).alias("tool_id"), F.concat(F.lit("M"), F.col("id") % 5).alias("metric_type"), F.col("id").alias("n"))
+    tables["metrology_measurements"] = hot.unionByName(cold).select(
+        F.col("n").alias("measurement_id"),
+        "tool_id",
+        "metric_type",
+        F.expr("CAST(n div 13 % 2 * 2 AS DECIMAL(12,4))").alias("value"),
+        F.expr("timestampadd(SECOND, CAST(n AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("measured_at"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sliced = spc._sliced(tables["metrology_measurements"].withColumn("side", F.lit(1)))
+        most = max(r["count"] for r in sliced.groupBy("slice").count().collect())
+        assert most < HOT_ROWS * 3 / 4
+        found = {(r.tool_code, r.metric_type): r for r in spc.spc_run_rules(tables).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    row = found["E1", "CD"]
+    assert (row.readings, row.runs, row.readings_in_runs, row.longest_run) == (HOT_ROWS, 461, HOT_ROWS - HOT_ROWS % 13 % 8, 13)

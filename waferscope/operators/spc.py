@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from waferscope.functions.decimals import READING, count_if, mean_of_sums, pct
@@ -171,52 +173,93 @@ def spc_by_chamber(tables: Tables, metric: str = "CD") -> DataFrame:
     )
 
 
+def metric_limits(tables: Tables) -> DataFrame:
+    """Centre line and sigma per metric, rounded."""
+    return tables["metrology_measurements"].groupBy("metric_type").agg(_center(), _sigma())
+
+
+_SERIES = ["tool_id", "metric_type"]
+_ORDER = ["measured_at", "measurement_id", "value"]
+
+
+def _sliced(measured: DataFrame) -> DataFrame:
+    """Readings with the number of the slice they lie in: slices hold about as many readings each, whatever the tool, metric or
+    day, and follow each other in order of series, time, id and value."""
+    return measured.repartitionByRange(*_SERIES, *_ORDER).withColumn("slice", F.spark_partition_id())
+
+
 def spc_run_rules(tables: Tables, length: int = 8) -> DataFrame:
     """Runs of ``length`` or more consecutive readings on one side of their metric's centre line, per tool and metric.
 
-    Readings follow each other by time, id and value; one on the rounded centre line ends a run. Days are searched apart, and
-    only the first and last run of each day are then joined to their neighbours, so that no tool or metric
-    is put in order in one task.
+    Readings follow each other by time, id and value; one on the rounded centre line ends a run. Slices of about equal size are searched
+    apart. A slice then tells of its first and last run, and of those between in sums, and only these are put in order, so that
+    no tool, metric or day is put in order in one task. The slices are read once: their numbers may differ from one
+    execution to another, the result does not.
     """
-    measured = readings(tables, "tool_id").select("measurement_id", "tool_id", "metric_type", "value", "measured_at")
-    centers = tables["metrology_measurements"].groupBy("metric_type").agg(_center())
+    measured = readings(tables, "tool_id").select("measurement_id", *_SERIES, "value", "measured_at")
     side = F.signum(F.col("value") - F.col("center_line")).cast("int")
-    sided = measured.join(centers, "metric_type").select(
-        "tool_id", "metric_type", F.to_date("measured_at").alias("day"), "measured_at", "measurement_id", "value", side.alias("side")
-    )
-    day = ["tool_id", "metric_type", "day"]
-    order = Window.partitionBy(*day).orderBy("measured_at", "measurement_id", "value")
-    same = Window.partitionBy(*day, "side").orderBy("measured_at", "measurement_id", "value")
-    runs = (
-        sided.withColumn("place", F.row_number().over(order))
-        .withColumn("run", F.col("place") - F.row_number().over(same))
-        .groupBy(*day, "side", "run")
-        .agg(F.count(F.lit(1)).alias("held"), F.min("place").alias("first"), F.max("place").alias("last"))
-    )
-    ends = runs.withColumn("most", F.max("last").over(Window.partitionBy(*day)))
-    begins, closes = F.col("first") == 1, F.col("last") == F.col("most")
-    inner = ends.filter(~begins & ~closes).select("tool_id", "metric_type", "side", "held")
-    # At most two rows per day: a run goes on where it begins a day and the run before it, which closed one, is on its side.
-    along = Window.partitionBy("tool_id", "metric_type").orderBy("day", "first")
-    goes_on = (F.col("first") == 1) & (F.lag("side").over(along) == F.col("side")) & (F.lag("closes").over(along))
-    outer = (
-        ends.filter(begins | closes)
-        .withColumn("closes", closes)
-        .withColumn("fresh", F.when(goes_on, 0).otherwise(1))
-        .withColumn("chain", F.sum("fresh").over(along))
-        .groupBy("tool_id", "metric_type", "side", "chain")
-        .agg(F.sum("held").alias("held"))
-        .drop("chain")
+    sided = measured.join(metric_limits(tables).select("metric_type", "center_line"), "metric_type").select(*_SERIES, *_ORDER, side.alias("side"))
+    order = Window.partitionBy(*_SERIES, "slice").orderBy(*_ORDER)
+    turns = F.when(F.lag("side").over(order).eqNullSafe(F.col("side")), 0).otherwise(1)
+    is_long = (F.col("side") != 0) & (F.col("held") >= length)
+    own = F.when(is_long, F.col("held"))
+    run = F.struct("run", "side", "held")
+    slices = (
+        _sliced(sided)
+        .withColumn("turn", turns)
+        .withColumn("run", F.sum("turn").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .groupBy(*_SERIES, "slice", "run")
+        .agg(F.count(F.lit(1)).alias("held"), F.min("side").alias("side"))
+        .groupBy(*_SERIES, "slice")
+        .agg(
+            F.sum("held").alias("readings"),
+            F.count(own).alias("runs"),
+            F.sum(own).alias("in_runs"),
+            F.max(F.when(F.col("side") != 0, F.col("held"))).alias("longest"),
+            F.min(run).alias("first"),
+            F.max(run).alias("last"),
+        )
     )
-    long = F.when((F.col("side") != 0) & (F.col("held") >= length), F.col("held"))
+
+    def less(whole: str, one: Callable[[str], Column], ends: list[str]) -> Column:
+        """A slice's sum without its first and last run, which are counted with their neighbours."""
+        parts = [F.when((F.col(f"{e}.side") != 0) & (F.col(f"{e}.held") >= length), one(e)).otherwise(0) for e in ends]
+        both = F.when(F.col("first.run") == F.col("last.run"), parts[0]).otherwise(parts[0] + parts[1])
+        return (F.coalesce(whole, F.lit(0)) - both).cast("long").alias(whole)
+
+    ends = ["first", "last"]
+    rest = [
+        F.col("readings"),
+        less("runs", lambda e: F.lit(1), ends),
+        less("in_runs", lambda e: F.col(f"{e}.held"), ends),
+        F.col("longest"),
+    ]
+    nothing = [F.lit(0).cast("long").alias("readings"), F.lit(0).cast("long").alias("runs"), F.lit(0).cast("long").alias("in_runs"), F.lit(None).cast("long").alias("longest")]
+    first = F.struct(F.lit(0).alias("place"), F.col("first.side").alias("side"), F.col("first.held").alias("held"), *rest)
+    last = F.struct(F.lit(1).alias("place"), F.col("last.side").alias("side"), F.col("last.held").alias("held"), *nothing)
+    pieces = F.when(F.col("first.run") == F.col("last.run"), F.array(first)).otherwise(F.array(first, last))
+    # Two rows per slice at most: a run goes on where it begins a slice and the run before it is on its side.
+    along = Window.partitionBy(*_SERIES).orderBy("slice", "place")
+    goes_on = (F.col("place") == 0) & (F.lag("side").over(along) == F.col("side"))
     return (
-        inner.unionByName(outer)
-        .groupBy("tool_id", "metric_type")
+        slices.select(*_SERIES, "slice", F.inline(pieces))
+        .withColumn("fresh", F.when(goes_on, 0).otherwise(1))
+        .withColumn("chain", F.sum("fresh").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .groupBy(*_SERIES, "chain")
         .agg(
-            F.sum("held").alias("readings"),
-            F.count(long).alias("runs"),
-            F.coalesce(F.sum(long), F.lit(0)).alias("readings_in_runs"),
-            F.max(F.when(F.col("side") != 0, F.col("held"))).alias("longest_run"),
+            F.min("side").alias("side"),
+            F.sum("held").alias("held"),
+            F.sum("readings").alias("readings"),
+            F.sum("runs").alias("runs"),
+            F.sum("in_runs").alias("in_runs"),
+            F.max("longest").alias("longest"),
+        )
+        .groupBy(*_SERIES)
+        .agg(
+            F.sum("readings").alias("readings"),
+            (F.sum("runs") + F.count(own)).alias("runs"),
+            (F.sum("in_runs") + F.coalesce(F.sum(own), F.lit(0))).alias("readings_in_runs"),
+            F.max(F.greatest("longest", F.when(F.col("side") != 0, F.col("held")))).alias("longest_run"),
         )
         .join(tables["tools"].select("tool_id", "tool_code"), "tool_id")
         .select("tool_code", "metric_type", "readings", "runs", "readings_in_runs", "longest_run")

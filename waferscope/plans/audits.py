@@ -8,7 +8,7 @@ counted per key before they are moved, so a key that holds a large part of a tab
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -87,6 +87,34 @@ def _entry(space: int, slot: int, columns: tuple[str, ...], found: Column | int
     )
 
 
+def held_per_key(entries: DataFrame) -> DataFrame:
+    """Entries counted per key and slot, ``held0`` for the key's own rows and the others for the links that point at it."""
+    slots = [F.count(F.when(F.col("slot") == i, F.lit(1))).alias(f"held{i}") for i in range(SLOTS)]
+    return entries.groupBy("space", "key", "more").agg(*slots, F.sum("found").alias("found"))
+
+
+def bad_of(held: Callable[[int], Column]) -> list[Column]:
+    """For each slot the bad rows of a key that holds so many in each: surplus or incomplete ones, and links without a parent."""
+    surplus = F.when(F.col("key").isNull(), held(0)).otherwise(F.greatest(held(0) - 1, F.lit(0)))
+    return [surplus] + [F.when((held(0) == 0) & F.col("key").isNotNull(), held(i)) for i in range(1, SLOTS)]
+
+
+def entries_of(tables: Tables) -> DataFrame | None:
+    """An entry for each row and question of the tables that are there; links without regard to their parent's table."""
+    parts = []
+    for table in TABLES.values():
+        if table.name in tables:
+            there = set(tables[table.name].columns)
+            entries = [_entry(*_place(q), q.columns) for q in QUESTIONS if q.table == table.name and set(q.columns) <= there]
+            if entries:
+                parts.append(tables[table.name].select(F.inline(F.array(*entries))))
+    return _union(parts) if parts else None
+
+
+def place_of(question: Question) -> tuple[int, int]:
+    return _place(question)
+
+
 def _answers(tables: Tables, asked: list[Question], rows_of: Sequence[Table] = ()) -> DataFrame:
     """``question, held, bad``: for keys the rows that are surplus or incomplete, for links the rows without a parent. The
     rows of a table and what is wrong within them are a question too, numbered below zero."""
@@ -98,11 +126,9 @@ def _answers(tables: Tables, asked: list[Question], rows_of: Sequence[Table] = (
             entries.append(_entry(-1 - number, 0, (), _wrong_in_row(tables, table)))
         if entries:
             parts.append(tables[table.name].select(F.inline(F.array(*entries))))
-    slots = [F.count(F.when(F.col("slot") == i, F.lit(1))).alias(f"held{i}") for i in range(SLOTS)]
-    per_key = _union(parts).groupBy("space", "key", "more").agg(*slots, F.sum("found").alias("found"))
-    surplus = F.when(F.col("key").isNull(), F.col("held0")).otherwise(F.greatest(F.col("held0") - 1, F.lit(0)))
-    bad = [F.when(F.col("space") < 0, F.col("found")).otherwise(surplus)]
-    bad += [F.when((F.col("held0") == 0) & F.col("key").isNotNull(), F.col(f"held{i}")) for i in range(1, SLOTS)]
+    per_key = held_per_key(_union(parts))
+    bad = bad_of(lambda slot: F.col(f"held{slot}"))
+    bad[0] = F.when(F.col("space") < 0, F.col("found")).otherwise(bad[0])
     sums = [F.struct(F.lit(i).alias("slot"), F.sum(f"held{i}").alias("held"), F.sum(bad[i]).alias("bad")) for i in range(SLOTS)]
     per_slot = per_key.groupBy("space").agg(F.array(*sums).alias("sums")).select("space", F.inline("sums"))
     places = [(*_place(q), q.number) for q in asked] + [(-1 - n, 0, -1 - n) for n, t in enumerate(TABLES.values()) if t in rows_of]

@@ -80,9 +80,14 @@ def save_tables(
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder that the whole cluster shares: in spark.checkpoint.dir, or this machine's own where that is unset."""
+    """A new folder that the whole cluster shares: in spark.checkpoint.dir. Where that is unset, this machine's own if all
+    tasks run on it, and an error on a cluster, whose executors would each write to a folder of their own."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/fab-{uuid.uuid4().hex}" if shared else f"file://{tempfile.mkdtemp(prefix='fab-')}"
+    if shared:
+        return f"{shared.rstrip('/')}/fab-{uuid.uuid4().hex}"
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+    return f"file://{tempfile.mkdtemp(prefix='fab-')}"
 
 
 def with_measures(tables: Mapping[str, DataFrame], folder: str) -> LazyTables:

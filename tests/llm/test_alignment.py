@@ -121,7 +121,7 @@ def test_texts_do_not_depend_on_those_they_are_aligned_with(monkeypatch):
     alone = [aligner.align([text]) for text in texts]
     for most in (4_096, 4, 0):
         monkeypatch.setattr(alignment, "LONG_GROUP", most)
-        monkeypatch.setattr(alignment.wordwise, "REMEMBERED", 10 + most)
+        monkeypatch.setattr(alignment, "REMEMBERED", 10 + most)
         aligner._forget()
         aligner.align(["words that it forgets", *texts[:9]])
         measures, digests, keys, times = aligner.align(texts)

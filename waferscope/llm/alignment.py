@@ -27,11 +27,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from waferscope.llm import wordwise
+from waferscope.llm.batches import slices
 from waferscope.llm.skew import with_facts
 from waferscope.llm.storage import stored
 
 BYTES_AT_ONCE = 1 << 20
+_ENCODED_AT_ONCE = 16_384
+# Distinct pieces, and their signs, that a task remembers: a memory bound only, as forgotten pieces are aligned again.
+REMEMBERED = 200_000
+REMEMBERED_CHARS = 6_000_000
 # Pairs that hold over one in FREQUENT of all pair counts: so many at most, sent to every task.
 FREQUENT = 200_000
 # Links of a group that are made one by one; of longer groups ids are counted first.
@@ -196,7 +200,8 @@ class Aligner:
         return n_a > 0, measures, np.diff(ends, prepend=0), pairs, self.written.joined(written), keys % self.span, times
 
     def _forget(self) -> None:
-        self.number = wordwise.Forgetful()
+        self.number: dict[str, int] = {}
+        self.chars = 0
         self.fits, self.measures = Growing(bool), Growing(np.int64, len(_MEASURES))
         # Where a piece's groups as text and its pairs begin, and how many they are.
         self.groups_at, self.pairs_at = Growing(np.int64, 2), Growing(np.int64, 2)
@@ -204,12 +209,15 @@ class Aligner:
 
     def _learn(self, wanted: set[str]) -> None:
         """Remembers at least the wanted pieces until the next call."""
-        before = len(self.number)
-        new = self.number.room_for(wanted)
-        if before and not self.number:
+        new = [piece for piece in wanted if piece not in self.number]
+        chars = sum(map(len, new))
+        if len(self.number) + len(new) > REMEMBERED or self.chars + chars > REMEMBERED_CHARS:
             self._forget()
-            new = self.number.room_for(wanted)
-        for some in wordwise.runs(list(new), BYTES_AT_ONCE // 4):
+            new = list(wanted)
+            chars = sum(map(len, new))
+        self.chars += chars
+        for at in range(0, len(new), _ENCODED_AT_ONCE):
+            some = new[at : at + _ENCODED_AT_ONCE]
             fits, measures, written, pairs, groups, keys, times = self._aligned(some)
             self.number.update(zip(some, range(self.fits.size, self.fits.size + len(some)), strict=True))
             self.groups_at.add(np.stack([self.groups.size + np.cumsum(written) - written, written], axis=1))
@@ -318,8 +326,7 @@ def align_texts(texts: DataFrame, byte_level: str, piece_model: str, ranks: str
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(byte_level, piece_model, ranks)
         for batch in found:
-            start = 0
-            for some in wordwise.runs(batch.column(0).to_pylist(), BYTES_AT_ONCE):
+            for start, some in slices(batch.column(0), BYTES_AT_ONCE):
                 measures, digests, keys, times = both.align(some)
                 bounds = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
                 columns = [
@@ -332,7 +339,6 @@ def align_texts(texts: DataFrame, byte_level: str, piece_model: str, ranks: str
                 ]
                 names = ["digest", "copies", *_MEASURES, "groups_sha256", "keys", "times"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-                start += len(some)
 
     return texts.select("text", "copies").mapInArrow(batches, _TEXTS)
 

@@ -19,9 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from waferscope.llm import wordwise
+from waferscope.llm.batches import slices
 
-CHARS_AT_ONCE = 1 << 21
+BYTES_AT_ONCE = 1 << 21
 # Kinds of signs: small letters, capitals, other letters, digits, white space, line ends, stops, loud signs, other signs.
 SMALL, CAPITAL, OTHER_LETTER, DIGIT, WHITE, LINE_END, STOP, LOUD, OTHER = range(9)
 _KINDS = 9
@@ -129,12 +129,10 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            start = 0
-            for some in wordwise.runs(batch.column(1).to_pylist(), CHARS_AT_ONCE):
+            for start, some in slices(batch.column(1), BYTES_AT_ONCE):
                 x = np.array([statistics(text) for text in some])
                 rows = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * _N), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(some)), rows], names=["doc_id", "x"])
-                start += len(some)
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +78,37 @@ def test_the_query_against_the_rows(spark, star_folder):
         row = found[key]
         assert row.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
         assert (row.n_turns, row.loss_chars, row.loss_sha256) == (len(turns), len(lost), hashlib.sha256(lost.encode()).hexdigest())
+
+
+@pytest.mark.parametrize("layout", [0, 1, 2, 3])
+def test_rows_take_every_layout(spark, layout):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "system", "c"), (None, 0, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.with_turns(chat.records_of(df, layout=F.lit(layout))).collect()
+    names = {"messages": 0, "conversations": 1, "turns": 2, "nested messages": 3}
+    assert {names[r.layout] for r in made} == {layout}
+    assert {r.conv_id: [tuple(t) for t in r.turns] for r in made} == {1: [("user", "a"), ("assistant", "b")], 2: [("system", "c")], None: [("", "")]}
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 10, 99, 100, 101])
+def test_spans_of_any_number_of_turns(spark, count):
+    said = [("assistant" if n % 3 else "user", "#" * (n % 7) + "é") for n in range(count)]
+    df = spark.createDataFrame([(said,)], "turns array<struct<role:string,text:string>>")
+    (row,) = chat.with_format(df).select("formatted", "loss_spans", chat.read_under(F.col("formatted"), F.col("loss_spans")).alias("lost")).collect()
+    bodies = [text.replace("#", "\\h") for role, text in said if role == "assistant"]
+    assert [row.formatted[a:b] for a, b in row.loss_spans] == bodies
+    assert row.lost == "".join(text for role, text in said if role == "assistant")
+
+
+def test_a_conversation_of_many_turns_takes_linear_time(spark):
+    """100,000 turns, through every step of the query."""
+    rows = spark.range(100_000).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("turn <"), F.col("id").cast("string"), F.lit("> says: no")).alias("text"),
+    )
+    made = chat.with_format(chat.with_turns(chat.records_of(rows)))
+    read = made.select(F.size(chat.read_turns(F.col("formatted"))).alias("turns"), chat.read_under(F.col("formatted"), F.col("loss_spans")).alias("lost"))
+    started = time.perf_counter()
+    (row,) = read.collect()
+    assert time.perf_counter() - started < 30
+    assert row.turns == 100_000 and row.lost == "".join(f"turn <{n}> says: no" for n in range(1, 100_000, 2))

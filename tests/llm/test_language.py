@@ -86,3 +86,45 @@ def test_held_out_accuracy_of_the_query(spark):
     right = found.join(docs, "doc_id").where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.min("score"), F.max("score"))
     accuracy, low, high = right.first()
     assert accuracy >= 0.98 and 0 <= low <= high <= 1
+
+
+def test_signs_that_are_no_letters_have_no_language(spark):
+    texts = ["½ ² ①", "Ⅷ ⅔", "12 ٣", "½ the", "①the other②", "_"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs = docs.withColumn("_text", F.lit("kept"))
+    labelled = spark.createDataFrame([("en", "the other thing ½ is here"), ("de", "der die das und so ①②③")] * 5, "lang string, text string")
+    model = language.train(labelled, order=3)
+    found = {r.doc_id: (r.lang_pred, r.score, r.rejected, r._text) for r in language.with_language(docs, model, "text", "doc_id", "_text").collect()}
+    none = ("und", 0.0, True, "kept")
+    assert [found[i] for i in (0, 1, 2, 5)] == [none] * 4
+    assert found[3][0] == found[4][0] == "en"
+
+
+def test_a_language_of_copies_is_learned(spark):
+    """Whether a language is learned depends on its texts, not on how many rows or copies it has."""
+    rng = np.random.default_rng(1)
+    texts = {f"l{n}": "".join(rng.choice(list("abcdefghij"), 40)) for n in range(12)}
+    rows = [(lang, text) for lang, text in texts.items() for _ in range(50)]
+    model = language.train(spark.createDataFrame(rows, "lang string, text string"), order=2)
+    assert model.languages == sorted(texts)
+
+
+def test_a_model_grows_with_the_ngrams_seen():
+    words = lambda n: {"".join(chr(0x4E00 + 40 * n + i * k % 40) for i in range(1, 6)): 1 for k in (1, 3, 7)}
+    sizes = []
+    for count in (100, 1_200):
+        model = language.fit({f"l{n:04}": words(n) for n in range(count)}, order=3)
+        sizes.append(sum(t.keys.nbytes + t.probabilities.nbytes + t.weights.nbytes for by in model.tables for t in by))
+        assert len(model.languages) == count
+        costs = model.costs([next(iter(words(count - 1)))])
+        assert costs.argmin() == count - 1
+    assert sizes[1] < 12.5 * sizes[0]
+
+
+def test_more_than_a_thousand_languages(spark):
+    rows = [(f"l{n:04}", f"{chr(0x4E00 + n)}{chr(0x5E00 + n)}") for n in range(1_200)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    model = language.train(df, order=2)
+    assert len(model.languages) == 1_200
+    found = language.with_language(df, model, "text", "lang").collect()
+    assert all(r.lang == r.lang_pred for r in found)

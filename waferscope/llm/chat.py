@@ -141,19 +141,36 @@ def with_turns(records: DataFrame, record_col: str = "record", layouts: tuple[La
     return marked.withColumns({"layout": name, "turns": turns}).drop(mark_name)
 
 
-def records_of(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv_id, record): the rows of each conversation as one record of the messages layout.
+def records_of(
+    rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", layout: Column | int = 0
+) -> DataFrame:
+    """(conv_id, record): the rows of each conversation as one record.
 
     Rows are ordered by turn (null first), rows of one turn by role and text; each row is a turn, repeated rows too. Null roles
-    and texts are empty; rows without a conv_id are one conversation. A conversation is one value, so its rows meet
+    and texts are empty; rows without a conv_id are one conversation. layout, an expression over conv_id, picks the record's layout: 0
+    messages, 1 conversations, 2 turns, 3 nested messages; null counts as 0. A conversation is one value, so its rows meet
     in one task however many there are.
     """
     message = F.struct(
         F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("content")
     )
     grouped = rows.select(F.col(conv).alias("conv_id"), message.alias("m")).groupBy("conv_id").agg(F.array_sort(F.collect_list("m")).alias("m"))
-    messages = F.transform("m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    return grouped.select("conv_id", F.to_variant_object(F.struct(messages.alias("messages"))).alias("record"))
+
+    def named(who: str, said: str) -> Column:
+        return F.transform("m", lambda m: F.struct(m["role"].alias(who), m["content"].alias(said)))
+
+    messages = named("role", "content")
+    records = [
+        F.struct(messages.alias("messages")),
+        F.struct(named("from", "value").alias("conversations")),
+        F.struct(named("role", "text").alias("turns")),
+        F.struct(F.struct(messages.alias("messages")).alias("data")),
+    ]
+    picked = layout if isinstance(layout, Column) else F.lit(layout)
+    record = F.to_variant_object(records[0])
+    for number, made in enumerate(records[1:], start=1):
+        record = F.when(picked == number, F.to_variant_object(made)).otherwise(record)
+    return grouped.select("conv_id", record.alias("record"))
 
 
 # Escaped signs: after escaping, a text holds no #, < or :, so a turn's marks are found by them alone.
@@ -173,28 +190,59 @@ def unescape(text: Column) -> Column:
     return text
 
 
+def _held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use of a value that is computed once, however often and deep inside other lambdas it is used; null for a null value."""
+    return F.when(value.isNotNull(), F.element_at(F.transform(F.array(value), use), 1))
+
+
+def _in_blocks(rows: Column, use: Callable[[Column], Column]) -> Column:
+    """use of each of about as many blocks of rows as a block has rows, so that work which grows with the square of a block's rows
+    does not grow with the square of all rows. rows is held."""
+    block = F.ceil(F.sqrt(F.greatest(F.size(rows), F.lit(1)).cast("double"))).cast("int")
+    starts = F.when(F.size(rows) > 0, F.sequence(F.lit(1), F.size(rows), block)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda at: use(F.slice(rows, at, block)))
+
+
+_SPANS = "array<struct<start:int,end:int>>"
+_TAIL = "</turn>\n"
+
+
+def _spans(pieces: Column) -> Column:
+    """The spans of the assistant's bodies, each block of pieces from its own beginning, then moved to where the block begins."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
+
+    def add(so_far: Column, p: Column) -> Column:
+        begin = so_far["at"] + p["head"]
+        end = begin + p["body"]
+        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
+        spans = F.when(p["loss"], F.concat(so_far["spans"], span)).otherwise(so_far["spans"])
+        return F.struct((end + len(_TAIL)).alias("at"), spans.alias("spans"))
+
+    def place(so_far: Column, block: Column) -> Column:
+        moved = F.transform(
+            block["spans"], lambda s: F.struct((s["start"] + so_far["at"]).alias("start"), (s["end"] + so_far["at"]).alias("end"))
+        )
+        return F.struct((so_far["at"] + block["at"]).alias("at"), F.concat(so_far["blocks"], F.array(moved)).alias("blocks"))
+
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("blocks"))
+    blocks = _in_blocks(pieces, lambda block: F.aggregate(block, start, add))
+    return F.flatten(F.aggregate(blocks, none, place, lambda found: found["blocks"]))
+
+
 def formatted(turns: Column) -> tuple[Column, Column]:
     """The turns as text, and its loss mask: (start, end) of each assistant text, in code points, end exclusive."""
+    text = F.array_join(
+        F.transform(turns, lambda t: F.concat(F.lit("### "), escape(t["role"]), F.lit(": "), escape(t["text"]), F.lit(_TAIL))), ""
+    )
     pieces = F.transform(
         turns,
         lambda t: F.struct(
-            F.concat(F.lit("### "), escape(t["role"]), F.lit(": ")).alias("head"),
-            escape(t["text"]).alias("body"),
+            (F.length(escape(t["role"])) + len("### : ")).alias("head"),
+            F.length(escape(t["text"])).alias("body"),
             (t["role"] == ASSISTANT).alias("loss"),
         ),
     )
-    tail = "</turn>\n"
-    text = F.array_join(F.transform(pieces, lambda p: F.concat(p["head"], p["body"], F.lit(tail))), "")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-
-    def add(so_far: Column, p: Column) -> Column:
-        begin = so_far["at"] + F.length(p["head"])
-        end = begin + F.length(p["body"])
-        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        spans = F.when(p["loss"], F.concat(so_far["spans"], span)).otherwise(so_far["spans"])
-        return F.struct((end + len(tail)).alias("at"), spans.alias("spans"))
-
-    return text, F.aggregate(pieces, start, add, lambda s: s["spans"])
+    return text, _held(pieces, _spans)
 
 
 def with_format(chats: DataFrame, turns_col: str = "turns") -> DataFrame:
@@ -210,5 +258,19 @@ def read_turns(text: Column) -> Column:
 
 
 def read_under(text: Column, spans: Column) -> Column:
-    """All text under the spans of a loss mask, unescaped, in order."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(text, s["start"] + 1, s["end"] - s["start"]))), "")
+    """All text under the spans of a loss mask, unescaped, in order. The spans are those of with_format, in order of their starts."""
+
+    def cut(text: Column, start: Column, end: Column) -> Column:
+        return F.substring(text, start + 1, end - start)
+
+    def block(text: Column, some: Column) -> Column:
+        begin = F.element_at(some, 1)["start"]
+        part = F.struct(begin.alias("begin"), cut(text, begin, F.element_at(some, -1)["end"]).alias("text"))
+        return _held(
+            part,
+            lambda p: F.array_join(F.transform(some, lambda s: unescape(cut(p["text"], s["start"] - p["begin"], s["end"] - p["begin"]))), ""),
+        )
+
+    whole = F.struct(text.alias("text"), spans.alias("spans"))
+    read = _held(whole, lambda w: F.array_join(_in_blocks(w["spans"], lambda some: block(w["text"], some)), ""))
+    return F.when(text.isNotNull() & spans.isNotNull(), read)

@@ -1,9 +1,9 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-One model for each language over the letters of words, each word between marks of its beginning and end. Its n-grams are
-held as sorted arrays of 64-bit hashes with a probability and a back-off weight for each language beside them. A text's
-language is the one with the lowest cross-entropy per letter. A word's costs do not depend on other words, so a task
-looks up each distinct word once for as long as it remembers it.
+One model for each language over the letters of words, each word between marks of its beginning and end. Each language holds the n-grams
+it has seen as sorted arrays of 64-bit hashes, with a probability and a back-off weight beside them: a model grows with the
+n-grams seen, not with languages times n-grams. A text's language is the one with the lowest cross-entropy per letter. A word's
+costs do not depend on other words, so a task looks up each distinct word once for as long as it remembers it.
 
 The classifier is fitted on a bounded sample of labelled texts: about `per_language` whole texts for each language, chosen by a
 hash of their content, fewer where there are fewer. Everything else covers all rows.
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,22 +22,30 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from waferscope.llm.storage import stored
 
-LETTERS = re.compile(r"[^\W\d_]+")
-REMEMBERED = 400_000
+RUNS = re.compile(r"[^\W\d_]+")
+# Costs of words that a task remembers, and characters of texts that it takes up at a time.
+REMEMBERED = 1_600_000
+CHARS_AT_ONCE = 1 << 20
 _LONG = 64
-_ROWS_AT_ONCE = 256
-FEW = 40
-# Languages that one model, which every task holds, may have.
-MOST_LANGUAGES = 1_000
 
 
-def has_letter(text: str) -> bool:
-    return any(c.isalpha() for c in text)
+def words_of(text: str) -> list[str]:
+    """The text's words, in small letters. A run of signs such as a fraction or a circled number, without a letter, is none."""
+    found = RUNS.findall(text.lower())
+    return found if text.isascii() else [word for word in found if any(map(str.isalpha, word))]
 
 
-def _codes(word: str) -> np.ndarray:
-    """Signs of a word between a beginning (1) and an end (2)."""
-    return np.array([1, *map(ord, word), 2], np.uint64)
+def runs(rows: list, size: int, text_of: Callable[[object], str]) -> Iterator[list]:
+    """Rows one after another in runs whose texts have about `size` characters."""
+    run, held = [], 0
+    for row in rows:
+        run.append(row)
+        held += len(text_of(row))
+        if held >= size:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
 
 
 def _joined(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,15 +68,22 @@ def _hashes(signs: np.ndarray, place: np.ndarray, order: int) -> tuple[np.ndarra
     return ends, keys
 
 
+@dataclass
+class Table:
+    """One language's n-grams of one order: sorted hashes, log probabilities, and log back-off weights as contexts."""
+
+    keys: np.ndarray
+    probabilities: np.ndarray
+    weights: np.ndarray
+
+
 @dataclass
 class Model:
-    """Sorted n-gram hashes by order; log probabilities and log back-off weights by n-gram and language."""
+    """For each language its tables by order and the log probability of a sign it never saw."""
 
     languages: list[str]
     order: int
-    keys: list[np.ndarray]
-    probabilities: list[np.ndarray]
-    weights: list[np.ndarray]
+    tables: list[list[Table]]
     unseen: np.ndarray
     slope: float = 8.0
     base: float = 0.0
@@ -78,32 +93,28 @@ class Model:
     def costs(self, words: list[str]) -> np.ndarray:
         """Bits that each language needs for each word, as words x languages."""
         signs, word, place = _joined(words)
-        found = np.tile(self.unseen, (len(signs), 1))
-        for n in range(1, self.order + 1):
-            ends, keys = _hashes(signs, place, n)
-            at, known = _find(self.keys[n - 1], keys)
-            back = np.zeros((len(ends), len(self.languages)))
-            if n > 1:
-                # An n-gram that was not seen costs its context's back-off on top of the shorter one.
-                context = self._context(signs, place, ends, n)
-                back = context
-            own = np.where(known[:, None], self.probabilities[n - 1][at], np.nan) if len(self.keys[n - 1]) else np.full(back.shape, np.nan)
-            found[ends] = np.where(np.isnan(own), found[ends] + back, own)
+        grams = [_hashes(signs, place, n) for n in range(1, self.order + 1)]
         scored = place > 0
         costs = np.zeros((len(words), len(self.languages)))
-        for j in range(len(self.languages)):
-            costs[:, j] = -np.bincount(word[scored], weights=found[scored, j], minlength=len(words))
+        for j, by_order in enumerate(self.tables):
+            found = np.full(len(signs), self.unseen[j])
+            # The back-off weight of the n-gram that ends at a sign, as a context of the next.
+            weight = np.zeros(len(signs))
+            for (ends, keys), table in zip(grams, by_order, strict=True):
+                at, known = _find(table.keys, keys)
+                longer = place[ends] > 0
+                back = np.where(longer, weight[np.maximum(ends - 1, 0)], 0.0)
+                # An n-gram that was not seen costs its context's back-off on top of the shorter one.
+                spare = found[ends] + back
+                weight = np.zeros(len(signs))
+                if len(table.keys):
+                    found[ends] = np.where(known, table.probabilities[at], spare)
+                    weight[ends] = np.where(known, table.weights[at], 0.0)
+                else:
+                    found[ends] = spare
+            costs[:, j] = -np.bincount(word[scored], weights=found[scored], minlength=len(words))
         return costs
 
-    def _context(self, signs: np.ndarray, place: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
-        shorter, keys = _hashes(signs, place, n - 1)
-        of = np.empty(len(signs), np.uint64)
-        of[shorter] = keys
-        at, known = _find(self.keys[n - 2], of[ends - 1])
-        if not len(self.keys[n - 2]):
-            return np.zeros((len(ends), len(self.languages)))
-        return np.where(known[:, None], self.weights[n - 2][at], 0.0)
-
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
@@ -146,14 +157,9 @@ def fit(counts: dict[str, dict[str, int]], order: int = 5, discount: float = 0.7
         tables.append(by_order)
     signs_seen = max(2, len(np.unique(np.concatenate([t[0][0] for t in tables]))) if tables else 2)
     unseen = np.full(len(languages), -np.log2(signs_seen + 1000.0))
-    keys, probabilities, weights = [], [], []
-    for n in range(order):
-        all_keys = np.unique(np.concatenate([t[n][0] for t in tables])) if tables else np.empty(0, np.uint64)
-        keys.append(all_keys)
-        probabilities.append(np.full((len(all_keys), len(languages)), np.nan))
-        weights.append(np.zeros((len(all_keys), len(languages))))
+    made = []
     for j, by_order in enumerate(tables):
-        lower: tuple[np.ndarray, np.ndarray] | None = None
+        own: list[Table] = []
         for n, (unique, number, context, rest) in enumerate(by_order):
             if n == 0:
                 total, kinds = number.sum(), (number > 0).sum()
@@ -164,14 +170,13 @@ def fit(counts: dict[str, dict[str, int]], order: int = 5, discount: float = 0.7
                 total = np.bincount(inverse, weights=number)
                 kinds = np.bincount(inverse)
                 share = discount * kinds / total
-                at, _ = _find(lower[0], rest)
-                p = np.maximum(number - discount, 0) / total[inverse] + share[inverse] * lower[1][at]
-                where, _ = _find(keys[n - 1], groups)
-                weights[n - 1][where, j] = np.log2(share)
-            where, _ = _find(keys[n], unique)
-            probabilities[n][where, j] = np.log2(p)
-            lower = (unique, p)
-    return Model(languages, order, keys, probabilities, weights, unseen)
+                at, _ = _find(own[-1].keys, rest)
+                p = np.maximum(number - discount, 0) / total[inverse] + share[inverse] * 2.0 ** own[-1].probabilities[at]
+                where, _ = _find(own[-1].keys, groups)
+                own[-1].weights[where] = np.log2(share)
+            own.append(Table(unique, np.log2(p), np.zeros(len(unique))))
+        made.append(own)
+    return Model(languages, order, made, unseen)
 
 
 class Scorer:
@@ -182,13 +187,15 @@ class Scorer:
 
     def entropies(self, texts: list[str]) -> np.ndarray:
         """Bits per letter (ends of words counted as one) for each text and language; nan without letters."""
-        counts = [Counter(LETTERS.findall(text.lower())) for text in texts]
+        counts = [Counter(words_of(text)) for text in texts]
         new = set().union(*counts).difference(self.known) if counts else set()
-        if len(self.known) + len(new) > REMEMBERED:
+        # A word's costs are a number for each language.
+        if (len(self.known) + len(new)) * len(self.model.languages) > REMEMBERED:
             self.known, new = {}, set().union(*counts)
         ordered = list(new)
-        for at in range(0, len(ordered), 20_000):
-            some = ordered[at : at + 20_000]
+        step = max(64, 100_000 // max(1, len(self.model.languages)))
+        for at in range(0, len(ordered), step):
+            some = ordered[at : at + step]
             self.known.update(zip(some, self.model.costs(some), strict=True))
         found = np.full((len(texts), len(self.model.languages)), np.nan)
         for i, words in enumerate(counts):
@@ -202,16 +209,10 @@ class Scorer:
         return found
 
 
-def calibrated(model: Model, entropies: np.ndarray, truth: list[str]) -> Model:
-    """model with its score fitted to how often the language with the least bits is right on these texts."""
-    usable = ~np.isnan(entropies[:, 0])
-    entropies = entropies[usable]
-    right = np.array([model.languages.index(t) for t in np.array(truth, object)[usable]], int)
-    if len(entropies) < 20:
+def calibrated(model: Model, hit: np.ndarray, margin: np.ndarray, lowest: np.ndarray) -> Model:
+    """model with its score fitted to how often the language with the least bits is right, by texts' margins and least bits."""
+    if len(hit) < 20:
         return model
-    best = entropies.argmin(1)
-    margin = _margin(entropies)
-    hit = (best == right).astype(float)
     slope, base = model.slope, model.base
     for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(slope * margin + base, -30, 30)))
@@ -220,7 +221,7 @@ def calibrated(model: Model, entropies: np.ndarray, truth: list[str]) -> Model:
         d_base = (hit - p).mean() - 0.001 * base
         slope, base = slope + 4.0 * d_slope, base + 4.0 * d_base
     model.slope, model.base = float(max(slope, 0.5)), float(base)
-    model.highest = float(np.quantile(entropies.min(1), 0.999) * 1.25 + 0.5)
+    model.highest = float(np.quantile(lowest, 0.999) * 1.25 + 0.5)
     return model
 
 
@@ -234,35 +235,30 @@ def _margin(entropies: np.ndarray) -> np.ndarray:
 def train(
     labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", per_language: int = 3_000, order: int = 5
 ) -> Model | None:
-    """A model from about per_language whole texts of each language; None if no row has a language and letters. More
-    than MOST_LANGUAGES languages are an error.
+    """A model from about per_language whole texts of each language; None if no row has a language and letters.
 
-    A quarter of the sample is set apart for calibration, the rest gives the counts; of a language with fewer than
-    FEW rows, all give counts.
+    A quarter of a language's distinct texts is set apart for calibration, the rest gives the counts; where all of them would be
+    set apart, all give counts. Texts without a letter count for nothing.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where(
         "lang is not null and text is not null"
     )
-    sizes = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages: too many for one model")
-    if not sizes:
-        return None
-    share = labelled.sparkSession.createDataFrame(
-        [(r.lang, min(1.0, per_language / r["count"]), r["count"] < FEW) for r in sizes], "lang string, share double, few boolean"
-    )
+    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(per_language)) / F.count(F.lit(1))).alias("share"))
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)
-    # One row for each language: texts are chosen where they are read, and only the sample is stored.
+    # One row for each language, less than the model that every task gets: texts are chosen where they are read, and only the
+    # sample is stored.
     sample = rows.join(F.broadcast(share), "lang").where(draw < F.col("share"))
-    sample = sample.withColumn("held", ~F.col("few") & (F.pmod(F.xxhash64("text", F.lit(1)), F.lit(4)) == 0))
+    sample = sample.withColumn("held", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(4)) == 0)
     # Copies are drawn alike, so they count once: no text can outgrow the sample.
     sample = stored(sample.select("lang", "text", "held").dropDuplicates(["lang", "text"]))
+    emptied = sample.groupBy("lang").agg(F.min("held").alias("all_held")).where("all_held").select("lang", "all_held")
+    sample = sample.join(F.broadcast(emptied), "lang", "left").withColumn("held", F.col("held") & F.col("all_held").isNull())
 
     def counted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = {}
         for batch in found:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
+                counts.setdefault(lang, Counter()).update(words_of(text))
         rows = [(lang, word, n) for lang, words in counts.items() for word, n in words.items()]
         columns = list(zip(*rows, strict=True)) or [[], [], []]
         yield pa.RecordBatch.from_arrays(
@@ -281,14 +277,20 @@ def train(
 
     def scored(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
+        names = {name: j for j, name in enumerate(scorer.model.languages)}
         for batch in found:
-            entropies = scorer.entropies(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(entropies.tolist(), pa.list_(pa.float64()))], names=["lang", "bits"])
-
-    held = sample.where("held").select("lang", "text").mapInArrow(scored, "lang string, bits array<double>").collect()
-    held = [r for r in held if r.lang in counts and r.bits and r.bits[0] is not None]
-    if held:
-        return calibrated(model, np.array([r.bits for r in held], float), [r.lang for r in held])
+            for some in runs(list(zip(*(c.to_pylist() for c in batch.columns), strict=True)), CHARS_AT_ONCE, lambda row: row[1]):
+                entropies = scorer.entropies([text for _, text in some])
+                truth = np.array([names.get(lang, -1) for lang, _ in some])
+                usable = ~np.isnan(entropies[:, 0]) & (truth >= 0)
+                entropies, truth = entropies[usable], truth[usable]
+                columns = [(entropies.argmin(1) == truth).astype(float), _margin(entropies), entropies.min(1)] if len(truth) else [np.empty(0)] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["hit", "margin", "lowest"])
+
+    # Three numbers for each text of the bounded sample that was set apart.
+    held = sample.where("held").select("lang", "text").mapInArrow(scored, "hit double, margin double, lowest double").toArrow()
+    if held.num_rows:
+        return calibrated(model, *(held.column(name).to_numpy() for name in ("hit", "margin", "lowest")))
     return model
 
 
@@ -301,14 +303,19 @@ def with_language(docs: DataFrame, model: Model | None, text_col: str = "text",
     model of None: lang_pred is und, score 0, rejected. Repeated rows keep a row each. No rows: no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
+    kept = docs.select(*keep)
+    said = "_text"
+    while said in {c.lower() for c in kept.columns}:
+        said += "_"
+    kept = docs.select(*keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(said))
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value) if sent.value else None
         for whole in found:
-            for at in range(0, whole.num_rows, _ROWS_AT_ONCE):
-                batch = whole.slice(at, _ROWS_AT_ONCE)
-                texts = [t or "" for t in batch.column("_text").to_pylist()]
+            at = 0
+            for texts in runs(whole.column(said).to_pylist(), CHARS_AT_ONCE, str):
+                batch = whole.slice(at, len(texts))
+                at += len(texts)
                 languages, scores, rejected = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
                 if scorer:
                     entropies = scorer.entropies(texts)
@@ -328,5 +335,5 @@ def with_language(docs: DataFrame, model: Model | None, text_col: str = "text",
                     names=[*batch.schema.names[:-1], "lang_pred", "score", "rejected"],
                 )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop("_text").schema.fields)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop(said).schema.fields)
     return kept.mapInArrow(batches, (fields + ", " if fields else "") + "lang_pred string, score double, rejected boolean")

@@ -49,7 +49,9 @@ def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(control).alias("text"))
-    chats = chat.with_format(chat.with_turns(chat.records_of(rows.unionByName(probe))))
+    # Conversations come in four layouts, which their fingerprints have to tell apart.
+    records = chat.records_of(rows.unionByName(probe), layout=F.pmod(F.col("conv_id"), F.lit(4)))
+    chats = chat.with_format(chat.with_turns(records))
     turns = chat.read_turns(F.col("formatted"))
     lost = chat.read_under(F.col("formatted"), F.col("loss_spans"))
     written = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
@@ -108,7 +110,7 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(crc_fold(3) == 1, F.lit(False))
     model = language.train(docs.where(~held_out), per_language=3_000, order=5)
     found = language.with_language(docs, model, "text", "doc_id", held_out.alias("held_out"))
-    return found.select("doc_id", "held_out", "lang_pred", "score")
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
 def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,8 +15,12 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of this process's own only where that is unset, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"file://{_own_folder()}"
+    """The folder in spark.checkpoint.dir. Where that is unset, one of this process's own if all tasks run in it, as in tests, and an
+    error on a cluster, whose executors would each write to a folder of their own."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+    return shared or f"file://{_own_folder()}"
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -138,3 +138,20 @@ def test_a_tools_day_with_a_third_of_all_readings_is_cut_into_slices(spark, fab)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     row = found["E1", "CD"]
     assert (row.readings, row.runs, row.readings_in_runs, row.longest_run) == (HOT_ROWS, 461, HOT_ROWS - HOT_ROWS % 13 % 8, 13)
+
+
+@pytest.mark.parametrize("operator", [spc.spc_limits, spc.spc_run_rules])
+def test_a_metrics_readings_do_not_meet_in_one_task(spark, fab, shuffled_joins, operator):
+    """Two thirds of all readings are of one metric; they stay where they are until they are dealt by tool and time."""
+    tables = fab()
+    tables["metrology_measurements"] = spark.range(0, HOT_ROWS, 1, 8).select(
+        F.col("id").alias("measurement_id"),
+        (F.col("id") % 3 + 1).alias("tool_id"),
+        F.concat(F.lit("M"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 2)).alias("metric_type"),
+        (F.col("id") % 10).cast("decimal(12,4)").alias("value"),
+        F.expr("timestampadd(MINUTE, CAST(id AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("measured_at"),
+    )
+    df = operator(tables)
+    assert sum(r.readings for r in df.collect()) == HOT_ROWS
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [metric_type" in plan and "SortMergeJoin [metric_type" not in plan

@@ -47,11 +47,19 @@ def _lower(center: Column, sigma: Column) -> Column:
     return (center - sigma * 3).cast(READING)
 
 
+def beside_limits(measured: DataFrame, limits: DataFrame) -> DataFrame:
+    """Readings beside their metric's limits, which are sent to all tasks, a row per metric.
+
+    Were readings moved to meet them, a task would read all readings of a metric, and what follows by tool or time within the metric
+    would stay in that task, however large.
+    """
+    return measured.join(F.broadcast(limits), "metric_type")
+
+
 def spc_limits(tables: Tables) -> DataFrame:
     """Centre, sigma, three-sigma limits and readings beyond them, per metric.
 
-    Centre and sigma are rounded before the limits and the comparison use them. The limits are an ordinary side of
-    the second pass: Spark broadcasts them once it has seen how few they are, and splits a hot metric otherwise.
+    Centre and sigma are rounded before the limits and the comparison use them.
     """
     measured = tables["metrology_measurements"].select("metric_type", "value")
     stats = (
@@ -63,7 +71,7 @@ def spc_limits(tables: Tables) -> DataFrame:
     beyond = (F.col("value") > F.col("ucl")) | (F.col("value") < F.col("lcl"))
     keys = ["metric_type", "readings", "center_line", "sigma", "ucl", "lcl"]
     return (
-        measured.join(stats, "metric_type")
+        beside_limits(measured, stats)
         .groupBy(*keys)
         .agg(count_if(beyond).alias("points_out_of_control"))
         .orderBy("metric_type")
@@ -198,7 +206,8 @@ def spc_run_rules(tables: Tables, length: int = 8) -> DataFrame:
     """
     measured = readings(tables, "tool_id").select("measurement_id", *_SERIES, "value", "measured_at")
     side = F.signum(F.col("value") - F.col("center_line")).cast("int")
-    sided = measured.join(metric_limits(tables).select("metric_type", "center_line"), "metric_type").select(*_SERIES, *_ORDER, side.alias("side"))
+    limits = metric_limits(tables).select("metric_type", "center_line")
+    sided = beside_limits(measured, limits).select(*_SERIES, *_ORDER, side.alias("side"))
     order = Window.partitionBy(*_SERIES, "slice").orderBy(*_ORDER)
     turns = F.when(F.lag("side").over(order).eqNullSafe(F.col("side")), 0).otherwise(1)
     is_long = (F.col("side") != 0) & (F.col("held") >= length)

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
-from waferscope.operators import commonality, defects, spc, wafer_map, yields
+from waferscope.operators import commonality, defects, drift, spc, wafer_map, yields
 from waferscope.operators.cohort import Suspect
 
 HOT_ROWS, COLD_WAFERS = 6000, 300
@@ -140,7 +140,7 @@ def test_a_tools_day_with_a_third_of_all_readings_is_cut_into_slices(spark, fab)
     assert (row.readings, row.runs, row.readings_in_runs, row.longest_run) == (HOT_ROWS, 461, HOT_ROWS - HOT_ROWS % 13 % 8, 13)
 
 
-@pytest.mark.parametrize("operator", [spc.spc_limits, spc.spc_run_rules])
+@pytest.mark.parametrize("operator", [spc.spc_limits, spc.spc_run_rules, drift.cusum_by_tool])
 def test_a_metrics_readings_do_not_meet_in_one_task(spark, fab, shuffled_joins, operator):
     """Two thirds of all readings are of one metric; they stay where they are until they are dealt by tool and time."""
     tables = fab()

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from waferscope.operators.cohort import Tables
-from waferscope.operators.spc import metric_limits, readings
+from waferscope.operators.spc import beside_limits, metric_limits, readings
 
 # Readings are counted in units of 1 / UNITS, in which half of a sigma of four digits is whole.
 UNITS = 20_000
@@ -59,7 +59,7 @@ def _sided(tables: Tables, slack: Column) -> DataFrame:
     limits = metric_limits(tables).select("metric_type", "center_line", F.col("sigma").alias("sg")).filter("sg IS NOT NULL")
     away = (F.col("value") - F.col("center_line")) * UNITS
     allowed = slack * UNITS
-    return measured.join(limits, "metric_type").select(
+    return beside_limits(measured, limits).select(
         *_SERIES,
         "measured_at",
         "measurement_id",

@@ -97,3 +97,48 @@ def test_loads_that_say_nothing(fab, spark, tmp_path):
         key_state.merge_runs(spark, root)
     assert key_state.audit_load({"notes": spark.range(3)}, root) == 1
     assert {r.bad for r in key_state.key_report(spark, root).collect()} == {0}
+
+
+def test_earlier_runs_meet_a_load_without_being_moved(fab, spark, tmp_path, monkeypatch):
+    """Counts are moved once, when a load's entries are counted; runs are dealt to files alike and meet where they lie."""
+    made, sums, root = [], key_state._sums, str(tmp_path)
+    monkeypatch.setattr(key_state, "_sums", lambda *given: made.append(sums(*given)) or made[-1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for part in parts(damaged(fab), 3):
+            key_state.audit_load(part, root, buckets=4)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in made]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [plan.count("FileScan parquet") for plan in plans] == [1, 2, 3] and not any("Exchange" in plan for plan in plans)
+    # A session that knows none of the runs, with another number of shuffle partitions.
+    for table in spark.catalog.listTables():
+        if table.name.startswith("key_run_"):
+            spark.sql(f"DROP TABLE {table.name}")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        key_state.audit_load(damaged(fab), root)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    twice = {name: df.unionByName(df) for name, df in damaged(fab).items()}
+    assert reported(spark, root) == full(twice)
+
+
+def test_whole_numbers_are_the_same_key_as_text_and_as_numbers(spark, tmp_path):
+    wafers = spark.createDataFrame([(n,) for n in (0, 7, -7, 2**63 - 1, -(2**63), 10**18)], "wafer_id bigint")
+    texts = ["0", "7", "-7", str(2**63 - 1), str(-(2**63)), str(10**18), "07", " 7", "+7", "-0", "7.0", str(2**63), "W7", "", None]
+    runs = spark.createDataFrame([(t,) for t in texts], "wafer_id string")
+    tables = {"wafers": wafers, "process_runs": runs}
+    assert {r.fk_name: r.orphans for r in audits.fk_audit(tables).collect()}["process_runs.wafer_id"] == 8
+    key_state.audit_load({"process_runs": runs}, str(tmp_path))
+    key_state.audit_load({"wafers": wafers}, str(tmp_path))
+    assert reported(spark, str(tmp_path))["process_runs", "wafer_id", "wafers"] == 8
+
+
+def test_runs_of_the_earlier_layout_are_refused(fab, spark, tmp_path):
+    old = key_state._RUNS_DDL.replace("files int, ", "")
+    rows = [(1, "run-1", False, 4, q.number, 0, 0) for q in key_state.QUESTIONS]
+    spark.createDataFrame(rows, old).write.parquet(f"{tmp_path}/{key_state.RUNS}")
+    with pytest.raises(ValueError, match="earlier layout"):
+        key_state.audit_load(fab(wafers=wafers(1)), str(tmp_path))

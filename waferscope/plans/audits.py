@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegralType
 
 from waferscope.operators.cohort import Tables
 from waferscope.sources.contract import TABLES, Field, Rule, Table
@@ -74,15 +75,31 @@ def _place(question: Question) -> tuple[int, int]:
 SLOTS = 1 + max(_place(q)[1] for q in QUESTIONS)
 
 
-def _entry(space: int, slot: int, columns: tuple[str, ...], found: Column | int = 0) -> Column:
-    """An entry for one row: the key as two hashes of its text, NULL where a part of it is missing."""
+# How a whole number is written as text, in one way only.
+_WHOLE_NUMBER = "^(0|-?[1-9][0-9]{0,18})$"
+
+
+def _numbers(df: DataFrame) -> set[str]:
+    """The columns that hold whole numbers by their type."""
+    return {f.name for f in df.schema.fields if isinstance(f.dataType, IntegralType)}
+
+
+def _entry(space: int, slot: int, columns: tuple[str, ...], numbers: set[str], found: Column | int = 0) -> Column:
+    """An entry for one row: the key as it is if its text is that of a whole number, else as two hashes of the text, 96 bits; NULL
+    where a part of it is missing."""
     texts = [F.col(c).cast("string") for c in columns]
     whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns], F.lit(True))
+    key, more = F.xxhash64(*texts, F.lit(0)), F.hash(F.lit(1), *texts)
+    if len(columns) == 1 and columns[0] in numbers:
+        key, more = F.col(columns[0]).cast("bigint"), F.lit(0)
+    elif len(columns) == 1:
+        number = F.when(texts[0].rlike(_WHOLE_NUMBER), texts[0].try_cast("bigint"))
+        key, more = F.coalesce(number, key), F.when(number.isNotNull(), 0).otherwise(more)
     return F.struct(
         F.lit(space).alias("space"),
         F.lit(slot).alias("slot"),
-        F.when(whole, F.xxhash64(*texts, F.lit(0))).alias("key"),
-        F.when(whole, F.xxhash64(F.lit(1), *texts)).alias("more"),
+        F.when(whole, key).alias("key"),
+        F.when(whole, more).alias("more"),
         (found if isinstance(found, Column) else F.lit(found)).cast("long").alias("found"),
     )
 
@@ -105,7 +122,7 @@ def entries_of(tables: Tables) -> DataFrame | None:
     for table in TABLES.values():
         if table.name in tables:
             there = set(tables[table.name].columns)
-            entries = [_entry(*_place(q), q.columns) for q in QUESTIONS if q.table == table.name and set(q.columns) <= there]
+            entries = [_entry(*_place(q), q.columns, _numbers(tables[table.name])) for q in QUESTIONS if q.table == table.name and set(q.columns) <= there]
             if entries:
                 parts.append(tables[table.name].select(F.inline(F.array(*entries))))
     return _union(parts) if parts else None
@@ -121,9 +138,9 @@ def _answers(tables: Tables, asked: list[Question], rows_of: Sequence[Table] = (
     scanned = {q.number: q for q in [*asked, *[_key_of(q.parent) for q in asked if q.parent]]}.values()
     parts = []
     for number, table in enumerate(TABLES.values()):
-        entries = [_entry(*_place(q), q.columns) for q in scanned if q.table == table.name]
+        entries = [_entry(*_place(q), q.columns, _numbers(tables[table.name])) for q in scanned if q.table == table.name]
         if table in rows_of:
-            entries.append(_entry(-1 - number, 0, (), _wrong_in_row(tables, table)))
+            entries.append(_entry(-1 - number, 0, (), set(), _wrong_in_row(tables, table)))
         if entries:
             parts.append(tables[table.name].select(F.inline(F.array(*entries))))
     per_key = held_per_key(_union(parts))
